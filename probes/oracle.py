@@ -248,7 +248,6 @@ def shown(table: str, name: str | None = None, silver: bool = False) -> str:
 
 
 for _table in SOURCES:
-    ORACLE[f"source_{_table}"] = raw(shown(_table))
     ORACLE[f"silver_{_table}"] = on_silver(shown(_table, f"s_{_table}", True))
 ORACLE["silver_enrollment_grade_summary"] = on_silver("select * from s_enrollment_grade_summary")
 for _table in (

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from probes.bindings import AS_OF, SOURCES, TestTables, bronze
+from probes.bindings import AS_OF, TestTables, bronze
 from strata.plans import kpi
+from strata.plans.audits import billing, crm, crossdomain, university
 from strata.plans.gold import gold
 from strata.plans.layer import Layer
 from strata.plans.silver import silver
@@ -57,14 +58,15 @@ def query(name: str):
     return add
 
 
-for _source in SOURCES:
-    QUERIES[f"source_{_source}"] = lambda c, n=_source: c.bronze[n]
 for _table in silver(Layer({})):
     QUERIES[f"silver_{_table}"] = lambda c, n=_table: c.silver[n]
 for _table in gold(Layer({}), None):
     QUERIES[f"gold_{_table}"] = lambda c, n=_table: c.gold[n]
 for _name, _build in {**kpi.KPIS, **kpi.CHARTS}.items():
     QUERIES[_name] = lambda c, f=_build: f(c.gold)
+for _audits in (university, billing, crm, crossdomain):
+    for _name, _build in _audits.AUDITS.items():
+        QUERIES[_name] = lambda c, f=_build: f(c.typed, AS_OF)
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -22,12 +22,13 @@ class ValueCounts:
     a lost task always assigns a value to the same bucket. They only steer the work; results are exact.
     """
 
-    def __init__(self, df: DataFrame, value: str, by: Sequence[str] = (), small: int = SMALL,
-                 buckets: int = BUCKETS) -> None:
+    def __init__(self, df: DataFrame, value: str, by: Sequence[str] = (), weight: str | None = None,
+                 small: int = SMALL, buckets: int = BUCKETS) -> None:
         self.by = list(by)
         counted = (
-            df.select(*self.by, F.col(value).alias("value")).where("value is not null")
-            .groupBy(*self.by, "value").agg(F.count(F.lit(1)).alias("n"))
+            df.select(*self.by, F.col(value).alias("value"), (F.col(weight) if weight else F.lit(1)).alias("w"))
+            .where("value is not null")
+            .groupBy(*self.by, "value").agg(F.sum("w").alias("n"))
         )
         self.frame = stage(counted)
         position = F.col("value").cast("double")
@@ -111,9 +112,13 @@ class ValueCounts:
 
 
 def exact_quantiles(df: DataFrame, value: str, shares: Sequence[float], names: Sequence[str],
-                    by: Sequence[str] = (), digits: int | None = 4, **sizes: int) -> DataFrame:
-    """One column per share and group, rounded like the audits print it. Without groups always one row."""
-    table = ValueCounts(df, value, by, **sizes).quantiles(shares)
+                    by: Sequence[str] = (), digits: int | None = 4, weight: str | None = None,
+                    **sizes: int) -> DataFrame:
+    """One column per share and group, rounded like the audits print it. Without groups always one row.
+
+    ``weight`` names a count column when ``df`` holds folded rows.
+    """
+    table = ValueCounts(df, value, by, weight, **sizes).quantiles(shares)
     columns = []
     for i, name in enumerate(names):
         column = F.get(F.col("quantiles"), F.lit(i))

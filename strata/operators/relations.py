@@ -59,7 +59,7 @@ def fk_audit(child: DataFrame, fk: str, parent: DataFrame, pk: str, relation: st
         F.round(F.get("q", F.lit(1)), 2).alias("p95_children"),
         "max_children",
         F.round(empty, 2).alias("expected_unreferenced"),
-        F.round(unused - empty, 2).alias("observed_minus_expected"),
+        (F.round(unused - empty, 2) + F.lit(0.0)).alias("observed_minus_expected"),  # never -0.0
     )
 
 
