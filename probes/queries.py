@@ -12,6 +12,7 @@ from probes.bindings import AS_OF, TestTables, bronze
 from strata.plans import kpi
 from strata.plans.audits import billing, crm, crossdomain, university
 from strata.plans.gold import gold
+from strata.plans.insights import INSIGHTS, Model
 from strata.plans.layer import Layer
 from strata.plans.silver import silver
 from strata.plans.typed import typed
@@ -31,6 +32,7 @@ class Context:
             F.make_date(F.year(F.min("o_orderdate")) - 1, F.lit(1), F.lit(1)).alias("first_day"),
             F.make_date(F.year(F.max("o_orderdate")) + 1, F.lit(12), F.lit(31)).alias("last_day"))
         self.gold = gold(self.silver, span)
+        self.model = Model(self.silver, self.gold, AS_OF)
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -67,6 +69,8 @@ for _name, _build in {**kpi.KPIS, **kpi.CHARTS}.items():
 for _audits in (university, billing, crm, crossdomain):
     for _name, _build in _audits.AUDITS.items():
         QUERIES[_name] = lambda c, f=_build: f(c.typed, AS_OF)
+for _name, _build in INSIGHTS.items():
+    QUERIES[_name] = lambda c, f=_build: f(c.model)
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
