@@ -9,13 +9,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from probes.bindings import AS_OF, TestTables, bronze
-from strata.plans import kpi
+from strata.catalog import DATE_KINDS, NUMBER_KINDS, SOURCES, columns_of, primary_key
+from strata.functions.text import row_hash
+from strata.operators import profile, stats
+from strata.operators.dedupe import duplicate_counts
+from strata.operators.quality import union_all
+from strata.operators.quantiles import ValueCounts, exact_quantiles
+from strata.plans import kpi, validators
 from strata.plans.audits import billing, crm, crossdomain, university
 from strata.plans.gold import gold
 from strata.plans.insights import INSIGHTS, Model
 from strata.plans.layer import Layer
 from strata.plans.silver import silver
-from strata.plans.typed import typed
+from strata.plans.typed import issues, typed
 
 
 class Context:
@@ -72,6 +78,161 @@ for _audits in (university, billing, crm, crossdomain):
 for _name, _build in INSIGHTS.items():
     QUERIES[_name] = lambda c, f=_build: f(c.model)
 
+# ------------------------------------------------------------------ profiles
+
+def _per_table(c: Context, build) -> DataFrame:
+    return union_all(frame for frame in (build(c.typed[t], t) for t in SOURCES) if frame is not None)
+
+
+def _numbers(df: DataFrame, table: str) -> DataFrame | None:
+    columns = list(columns_of(table, *NUMBER_KINDS))
+    return profile.number_summary(df, columns, table) if columns else None
+
+
+def _dates(df: DataFrame, table: str) -> DataFrame | None:
+    columns = list(columns_of(table, *DATE_KINDS))
+    return profile.date_summary(df, columns, table, AS_OF) if columns else None
+
+
+def _categories(df: DataFrame, table: str) -> DataFrame:
+    dates = set(columns_of(table, *DATE_KINDS))
+    return profile.small_categories(df, [c for c in df.columns if c not in dates], table)
+
+
+@query("profile_columns")
+def profile_columns(c: Context) -> DataFrame:
+    return _per_table(c, profile.column_basics)
+
+
+@query("profile_tables")
+def profile_tables(c: Context) -> DataFrame:
+    return _per_table(c, lambda df, t: profile.table_shape(df, t, primary_key(t)))
+
+
+@query("profile_structure")
+def profile_structure(c: Context) -> DataFrame:
+    return profile_tables(c).agg(
+        F.count(F.lit(1)).alias("tables"), F.sum("row_count").alias("row_count"), F.sum("column_count").alias("column_count"),
+        F.sum("missing_cells").alias("missing_cells"), F.sum("exact_duplicate_rows").alias("exact_duplicate_rows"),
+        F.sum("rows_in_duplicated_keys").alias("rows_in_duplicated_keys"))
+
+
+@query("profile_numbers")
+def profile_numbers(c: Context) -> DataFrame:
+    return _per_table(c, _numbers)
+
+
+@query("profile_dates")
+def profile_dates(c: Context) -> DataFrame:
+    return _per_table(c, _dates)
+
+
+@query("profile_categories")
+def profile_categories(c: Context) -> DataFrame:
+    return _per_table(c, _categories)
+
+
+@query("profile_emails")
+def profile_emails(c: Context) -> DataFrame:
+    return _per_table(c, lambda df, t: profile.email_quality(df, "email", t) if "email" in df.columns else None)
+
+
+@query("profile_parse_issues")
+def profile_parse_issues(c: Context) -> DataFrame:
+    return issues(c.bronze)
+
+
+@query("profile_document_copies")
+def profile_document_copies(c: Context) -> DataFrame:
+    """Documents whose whole text, in lower case, occurs more than once."""
+    prints = c.tables["documents"].select(F.sha2(F.lower("text"), 256).alias("print"))
+    return duplicate_counts(prints, ["print"])
+
+
+# ------------------------------------------------------------------ references, rules and gates
+
+QUERIES["rel_foreign_keys"] = lambda c: validators.relationship_audit(c.typed)
+QUERIES["dq_silver_keys"] = lambda c: validators.silver_keys(c.silver)
+QUERIES["dq_gold_keys"] = lambda c: validators.gold_keys(c.gold)
+QUERIES["dq_silver_references"] = lambda c: validators.silver_references(c.silver)
+QUERIES["dq_gold_references"] = lambda c: validators.gold_references(c.gold)
+QUERIES["dq_row_rules"] = lambda c: validators.silver_row_rules(c.silver)
+QUERIES["dq_required"] = lambda c: validators.silver_required(c.silver)
+QUERIES["gate_silver_rows"] = lambda c: validators.silver_rows(c.bronze, c.silver)
+QUERIES["gate_silver_flags"] = lambda c: validators.silver_flags(c.silver, {}).select("label", "got")
+QUERIES["gate_silver_derived"] = lambda c: validators.silver_derived(c.silver)
+QUERIES["gate_gold_integrity"] = lambda c: validators.gold_integrity(c.gold)
+QUERIES["gate_gold_consistency"] = lambda c: validators.gold_consistency(c.silver, c.gold)
+
+
+@query("gate_gold_rows")
+def gate_gold_rows(c: Context) -> DataFrame:
+    """Dimensions and facts against the tables they come from."""
+    base = {
+        "dim_student": "customer", "dim_customer": "customer", "dim_product": "part", "dim_course": "part",
+        "dim_account": "supplier", "fact_invoice": "orders", "fact_subscription": "orders", "fact_opportunity": "part",
+        "fact_activity": "events", "fact_lead": "documents",
+    }
+    count = F.count(F.lit(1))
+    return validators.gold_rows(c.gold, {g: F.lit(c.tables[t].agg(count).scalar()) for g, t in base.items()})
+
+
+@query("gate_kpi_totals")
+def gate_kpi_totals(c: Context) -> DataFrame:
+    """KPI totals against direct counts on the bound sources."""
+    b, typed_ = c.bronze, c.typed
+    count = F.count(F.lit(1))
+    of = lambda df: F.lit(df.agg(count).scalar())
+    invoices = b["billing_invoices"]
+    stage = typed_["crm_opportunities"]
+    groups = typed_["university_enrollments"].select("student_id", "course_id", "semester_id").distinct()
+    return validators.kpi_totals(c.gold, [
+        of(invoices), F.lit(invoices.agg(F.count_distinct("currency")).scalar()), of(invoices.where("status = 'paid'")),
+        of(groups), of(typed_["billing_subscriptions"].where("status = 'active'")), of(stage.where("stage = 'won'")),
+        of(stage.where("stage = 'lost'")), of(typed_["crm_leads"].where("status = 'converted'")), of(invoices)])
+
+
+# ------------------------------------------------------------------ statistics straight on the test tables
+
+@query("stat_decile_counts")
+def stat_decile_counts(c: Context) -> DataFrame:
+    binned = stats.add_decile(c.tables["orders"], "o_totalprice")
+    return binned.groupBy("decile").agg(F.count(F.lit(1)).alias("n"))
+
+
+QUERIES["stat_cramers_v"] = lambda c: stats.cramers_v(c.tables["orders"], "o_orderstatus", "o_orderpriority")
+QUERIES["stat_decile_association"] = lambda c: stats.decile_association(
+    c.tables["orders"], "o_orderstatus", "o_totalprice", "cramers_v")
+QUERIES["stat_pearson"] = lambda c: stats.safe_corr(c.tables["lineitem"], "l_quantity", "l_extendedprice", name="pearson")
+QUERIES["stat_spearman"] = lambda c: stats.safe_corr(
+    c.tables["lineitem"], "l_quantity", "l_extendedprice", "spearman", "spearman")
+QUERIES["stat_histogram"] = lambda c: stats.histogram(c.tables["lineitem"], "l_extendedprice", 60)
+
+
+@query("stat_share_match")
+def stat_share_match(c: Context) -> DataFrame:
+    return stats.share_match(c.tables["customer"], "c_nationkey", c.tables["supplier"], "s_nationkey").select(
+        F.round("probability", 9).alias("probability"))
+
+
+@query("stat_quantiles_by_priority")
+def stat_quantiles_by_priority(c: Context) -> DataFrame:
+    return exact_quantiles(c.tables["orders"], "o_totalprice", [0.25, 0.5, 0.75, 0.95], ["p25", "p50", "p75", "p95"],
+                           ["o_orderpriority"])
+
+
+@query("ranks_by_value")
+def ranks_by_value(c: Context) -> DataFrame:
+    """Average rank of every distinct line price, through the bucketed path that large tables take."""
+    return ValueCounts(c.tables["lineitem"], "l_extendedprice", small=100, buckets=64).ranked()
+
+
+@query("ingest_row_hash")
+def ingest_row_hash(c: Context) -> DataFrame:
+    """Row fingerprints of the customer source."""
+    rows = c.bronze["billing_customers"]
+    return rows.select("customer_id", row_hash(rows.columns).alias("row_hash"))
+
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
