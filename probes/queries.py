@@ -84,11 +84,6 @@ def _per_table(c: Context, build) -> DataFrame:
     return union_all(frame for frame in (build(c.typed[t], t) for t in SOURCES) if frame is not None)
 
 
-def _numbers(df: DataFrame, table: str) -> DataFrame | None:
-    columns = list(columns_of(table, *NUMBER_KINDS))
-    return profile.number_summary(df, columns, table) if columns else None
-
-
 def _dates(df: DataFrame, table: str) -> DataFrame | None:
     columns = list(columns_of(table, *DATE_KINDS))
     return profile.date_summary(df, columns, table, AS_OF) if columns else None
@@ -119,7 +114,7 @@ def profile_structure(c: Context) -> DataFrame:
 
 @query("profile_numbers")
 def profile_numbers(c: Context) -> DataFrame:
-    return _per_table(c, _numbers)
+    return profile.number_summary({t: (c.typed[t], list(columns_of(t, *NUMBER_KINDS))) for t in SOURCES})
 
 
 @query("profile_dates")

@@ -17,10 +17,12 @@ def _yes(condition: Column) -> Column:
 
 
 def contained(points: DataFrame, intervals: DataFrame, keys: Sequence[str], at: str, start: str,
-              end: str) -> DataFrame:
+              end: str, weight: str | None = None) -> DataFrame:
     """Per (keys, date) of ``points``: row count, whether the key has any interval at all (``known``),
-    and whether some interval of the key holds the date (``inside``). Bounds belong to the interval."""
-    seen = points.groupBy(*keys, F.col(at).alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    and whether some interval of the key holds the date (``inside``). Bounds belong to the interval.
+    ``weight`` names a count column when ``points`` holds folded rows."""
+    n = F.sum(weight) if weight else F.count(F.lit(1))
+    seen = points.groupBy(*keys, F.col(at).alias("day")).agg(n.alias("n"))
     starts = intervals.groupBy(*keys, F.col(start).alias("day")).agg(F.max(end).alias("reach"))
     line = seen.withColumn("reach", F.lit(None).cast("date")).unionByName(
         starts.withColumn("n", F.lit(None).cast("bigint")).withColumn("reach", F.col("reach").cast("date"))

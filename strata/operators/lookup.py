@@ -57,15 +57,16 @@ def lookup(rows: DataFrame, parent: DataFrame, on: Sequence[tuple[str, str]], ta
     right = parent.select(
         *[F.col(p).alias(f"__p{i}") for i, (_, p) in enumerate(on)],
         *[F.col(c).alias(f"__t{i}") for i, c in enumerate(take)],
-        F.lit(0).alias("__copy"),
     )
-    missing = reduce(or_, [F.col(c).isNull() for c, _ in on])
-    slot = F.when(missing, F.pmod(F.xxhash64(*rows.columns), F.lit(SPREAD)) + 1).otherwise(F.lit(0))
-    left = rows.withColumn("__slot", slot.cast("int")) if how == "left" else rows.withColumn("__slot", F.lit(0))
     same = reduce(and_, [F.col(c) == F.col(f"__p{i}") for i, (c, _) in enumerate(on)])
-    return left.join(right, same & (F.col("__slot") == F.col("__copy")), how).select(
-        *rows.columns, *[F.col(f"__t{i}").alias(n) for i, n in enumerate(take.values())]
-    )
+    if how == "left":
+        missing = reduce(or_, [F.col(c).isNull() for c, _ in on])
+        slot = F.when(missing, F.pmod(F.xxhash64(*rows.columns), F.lit(SPREAD)) + 1).otherwise(F.lit(0))
+        left = rows.withColumn("__slot", slot.cast("int"))
+        joined = left.join(right.withColumn("__copy", F.lit(0)), same & (F.col("__slot") == F.col("__copy")), "left")
+    else:
+        joined = rows.join(right, same, how)
+    return joined.select(*rows.columns, *[F.col(f"__t{i}").alias(n) for i, n in enumerate(take.values())])
 
 
 def mark_exists(rows: DataFrame, key: str, others: DataFrame, other_key: str, name: str) -> DataFrame:

@@ -128,9 +128,9 @@ def exact_quantiles(df: DataFrame, value: str, shares: Sequence[float], names: S
     return table.select(*by, *columns)
 
 
-def quantile_edges(df: DataFrame, value: str, parts: int = 10, **sizes: int) -> list[float]:
+def quantile_edges(df: DataFrame, value: str, parts: int = 10, weight: str | None = None, **sizes: int) -> list[float]:
     """The distinct edges of ``parts`` equally filled bins: at most parts + 1 numbers."""
-    row = ValueCounts(df, value, **sizes).quantiles([i / parts for i in range(parts + 1)]).first()
+    row = ValueCounts(df, value, weight=weight, **sizes).quantiles([i / parts for i in range(parts + 1)]).first()
     return sorted(set(row[0])) if row and row[0] else []
 
 

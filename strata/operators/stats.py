@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.lookup import attach_group
 from strata.operators.quantiles import ValueCounts, bin_by_edges, quantile_edges
+from strata.session import stage
 
 
 def pearson(x: Column, y: Column, digits: int = 4) -> Column:
@@ -20,13 +21,17 @@ def pearson(x: Column, y: Column, digits: int = 4) -> Column:
     return F.when(varies, F.round(value, digits))
 
 
-def spearman(df: DataFrame, x: str, y: str, name: str = "spearman", digits: int = 4, **sizes: int) -> DataFrame:
-    """Rank correlation with average ranks for ties, over rows with both values."""
-    pairs = (
-        df.select(F.col(x).alias("x"), F.col(y).alias("y")).where("x is not null and y is not null")
-    )
-    counted = ValueCounts(pairs, "x", **sizes), ValueCounts(pairs, "y", **sizes)
-    folded = pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"))
+def spearman(df: DataFrame, x: str, y: str, name: str = "spearman", digits: int = 4, weight: str | None = None,
+             **sizes: int) -> DataFrame:
+    """Rank correlation with average ranks for ties, over rows with both values.
+
+    ``weight`` names a count column when ``df`` holds folded rows.
+    """
+    pairs = df.select(
+        F.col(x).alias("x"), F.col(y).alias("y"), (F.col(weight) if weight else F.lit(1)).alias("w")
+    ).where("x is not null and y is not null")
+    folded = stage(pairs.groupBy("x", "y").agg(F.sum("w").alias("n")))  # the input is read once
+    counted = ValueCounts(folded, "x", weight="n", **sizes), ValueCounts(folded, "y", weight="n", **sizes)
     for axis, table in zip("xy", counted):
         ranks = table.ranked().select(
             F.col("value").alias(axis), F.col("rank").alias(f"r{axis}"), F.col("n").alias(f"n{axis}")
@@ -49,11 +54,16 @@ def safe_corr(df: DataFrame, x: str, y: str, method: str = "pearson", name: str
     return df.agg(pearson(F.col(x), F.col(y)).alias(name))
 
 
-def cramers_v(df: DataFrame, a: str, b: str, name: str = "cramers_v", digits: int = 4) -> DataFrame:
-    """Association of two categories from the filled cells of their table; NULL when a side has one level."""
+def cramers_v(df: DataFrame, a: str, b: str, name: str = "cramers_v", digits: int = 4,
+              weight: str | None = None) -> DataFrame:
+    """Association of two categories from the filled cells of their table; NULL when a side has one level.
+
+    ``weight`` names a count column when ``df`` holds folded rows.
+    """
+    n = F.sum(weight) if weight else F.count(F.lit(1))
     cells = (
-        df.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null")
-        .groupBy("a", "b").agg(F.count(F.lit(1)).cast("double").alias("n"))
+        df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
+        .groupBy(F.col(a).alias("a"), F.col(b).alias("b")).agg(n.cast("double").alias("n"))
     )
     rows = cells.groupBy("a").agg(F.sum("n").alias("row_n"))
     cols = cells.groupBy("b").agg(F.sum("n").alias("col_n"))
@@ -65,18 +75,19 @@ def cramers_v(df: DataFrame, a: str, b: str, name: str = "cramers_v", digits: in
         )
     )
     sides = F.least(F.col("r"), F.col("c")) - 1
-    return totals.select(
-        F.when(sides > 0, F.round(F.sqrt(F.greatest(F.col("s") - 1, F.lit(0.0)) / sides), digits)).alias(name)
-    )
+    value = F.sqrt(F.greatest(F.col("s") - 1, F.lit(0.0)) / F.when(sides > 0, sides))
+    return totals.select(F.round(value, digits).alias(name))
 
 
-def add_decile(df: DataFrame, value: str, name: str = "decile", **sizes: int) -> DataFrame:
+def add_decile(df: DataFrame, value: str, name: str = "decile", weight: str | None = None, **sizes: int) -> DataFrame:
     """Number of the tenth of the rows a value falls in; repeated edges merge bins."""
-    return df.withColumn(name, bin_by_edges(F.col(value), quantile_edges(df, value, 10, **sizes)))
+    return df.withColumn(name, bin_by_edges(F.col(value), quantile_edges(df, value, 10, weight, **sizes)))
 
 
 def decile_association(df: DataFrame, category: str, value: str, name: str) -> DataFrame:
-    return cramers_v(add_decile(df, value, "__decile"), category, "__decile", name)
+    """Association of a category with the tenths of a value. The input is read once."""
+    folded = stage(df.groupBy(category, value).agg(F.count(F.lit(1)).alias("__n")))
+    return cramers_v(add_decile(folded, value, "__decile", "__n"), category, "__decile", name, weight="__n")
 
 
 def share_match(left: DataFrame, a: str, right: DataFrame, b: str, name: str = "probability") -> DataFrame:

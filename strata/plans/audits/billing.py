@@ -15,6 +15,7 @@ from strata.operators.lookup import condense, weighted_if
 from strata.operators.quantiles import exact_quantiles
 from strata.operators.stats import decile_association, pearson
 from strata.plans.audits.university import Tables, day
+from strata.session import stage
 
 
 def _n() -> Column:
@@ -149,7 +150,7 @@ def unit_price_against_catalogue(t: Tables, as_of: str) -> DataFrame:
     u, m, n = F.col("unit_price").cast("double"), F.col("monthly_price").cast("double"), F.col("n")
     gap = F.abs(F.col("unit_price") - F.col("monthly_price"))
     near = F.when(F.col("monthly_price") > 0, gap * 100 <= F.col("monthly_price"))
-    rows = rows.withColumn("error", F.try_divide(F.abs(u - m), m))
+    rows = stage(rows.withColumn("error", F.try_divide(F.abs(u - m), m)))
     # Weighted correlation of the folded rows, centred on the means to keep the sums small.
     means = rows.agg((F.sum(n * u) / F.sum(n)).alias("mu"), (F.sum(n * m) / F.sum(n)).alias("mm"))
     du, dm = u - F.lit(means.select("mu").scalar()), m - F.lit(means.select("mm").scalar())
@@ -166,9 +167,9 @@ def unit_price_against_catalogue(t: Tables, as_of: str) -> DataFrame:
 
 def item_subscription_match(t: Tables, as_of: str) -> DataFrame:
     """Items whose customer ever subscribed to the product, and whose invoice date lies in such a contract."""
-    items = t["billing_invoice_items"].join(
+    items = condense(t["billing_invoice_items"], ["invoice_id", "product_id"]).join(
         t["billing_invoices"].select("invoice_id", "customer_id", "issued_at"), "invoice_id")
-    held = contained(items, t["billing_subscriptions"], ["customer_id", "product_id"], "issued_at", "start_date", "end_date")
+    held = contained(items, t["billing_subscriptions"], ["customer_id", "product_id"], "issued_at", "start_date", "end_date", "n")
     return held.agg(
         weighted_if(F.col("known")).alias("ever_subscribed"), weighted_if(F.col("inside")).alias("inside_contract"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_items"))

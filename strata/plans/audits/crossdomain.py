@@ -18,6 +18,7 @@ from strata.operators.stats import pearson, share_match, spearman
 from strata.plans.audits.billing import _n, _with_scalars
 from strata.plans.audits.crm import bridge
 from strata.plans.audits.university import Tables, course_departments
+from strata.session import stage
 
 # Relations whose empty parents are compared with uniform assignment.
 OCCUPANCY = (
@@ -105,9 +106,10 @@ def score_against_billing(t: Tables, as_of: str) -> DataFrame:
     refs = t["university_students"].select("student_id")
     rows = _counts(t).join(refs, F.col("external_ref") == F.col("student_id")).drop("student_id").join(
         students, F.col("external_ref") == F.col("student_id"), "left")
+    rows = stage(rows.groupBy("mean_score", "invoice_count", "subscription_count").agg(_n().alias("n")))
     return _with_scalars(
-        spearman(rows, "mean_score", "invoice_count", "score_vs_invoices"),
-        spearman(rows, "mean_score", "subscription_count", "score_vs_subscriptions"))
+        spearman(rows, "mean_score", "invoice_count", "score_vs_invoices", weight="n"),
+        spearman(rows, "mean_score", "subscription_count", "score_vs_subscriptions", weight="n"))
 
 
 def linked_behaviour(t: Tables, as_of: str) -> DataFrame:
