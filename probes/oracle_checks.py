@@ -120,6 +120,10 @@ ORACLE["dq_row_rules"] = on_silver("\nunion all\n".join(
 ORACLE["dq_required"] = on_silver("\nunion all\n".join(
     f"select '{t}' as table_name, '{c}' as column_name, count(*) filter ({c} is null) as nulls from s_{t}"
     for t, columns in REQUIRED.items() for c in columns))
+ORACLE["dq_overflow"] = on_silver("""
+select 'enrollment_grade_summary' as table_name, 'n_grades' as column_name, count(*) filter (n_grades > 32767) as overflows from s_enrollment_grade_summary
+union all select 'enrollment_grade_summary', 'weight_sum', count(*) filter (abs(weight_sum) >= 1000) from s_enrollment_grade_summary
+union all select 'billing_invoices', 'total', count(*) filter (abs(total) >= 10000000000) from s_billing_invoices""")
 
 
 def checked(section: str, label: str, got: str, expected: str = "0") -> str:

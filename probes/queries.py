@@ -153,6 +153,7 @@ QUERIES["dq_silver_references"] = lambda c: validators.silver_references(c.silve
 QUERIES["dq_gold_references"] = lambda c: validators.gold_references(c.gold)
 QUERIES["dq_row_rules"] = lambda c: validators.silver_row_rules(c.silver)
 QUERIES["dq_required"] = lambda c: validators.silver_required(c.silver)
+QUERIES["dq_overflow"] = lambda c: validators.silver_overflow(c.silver)
 QUERIES["gate_silver_rows"] = lambda c: validators.silver_rows(c.bronze, c.silver)
 QUERIES["gate_silver_flags"] = lambda c: validators.silver_flags(c.silver, {}).select("label", "got")
 QUERIES["gate_silver_derived"] = lambda c: validators.silver_derived(c.silver)

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.session import stage
+
 
 def _yes(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
@@ -50,7 +52,7 @@ def overlapping(intervals: DataFrame, keys: Sequence[str], start: str, end: str)
       starting at s, by a proper row starting after s but by e, or by an inverted row with s <= end, start <= e;
     * an inverted interval is met by any row that starts by e and reaches s.
     """
-    shapes = (
+    shapes = stage(
         intervals.select(*keys, F.col(start).alias("s"), F.col(end).alias("e"))
         .where("s is not null and e is not null")
         .groupBy(*keys, "s", "e").agg(F.count(F.lit(1)).alias("n"))

@@ -99,7 +99,7 @@ def _against(details: DataFrame, amount: str, t: Tables, name: str) -> DataFrame
 
 
 def lines_against_header(t: Tables, as_of: str) -> DataFrame:
-    rows = _against(t["billing_invoice_items"], "line_total", t, "lines")
+    rows = stage(_against(t["billing_invoice_items"], "line_total", t, "lines").select("header", "lines", "delta"))
     delta = F.col("delta")
     base = rows.agg(
         F.count_if(F.col("lines").isNull()).alias("without_items"), F.count("lines").alias("with_items"),
@@ -211,10 +211,10 @@ def payment_delay(t: Tables, as_of: str) -> DataFrame:
 
 
 def payment_share(t: Tables, as_of: str) -> DataFrame:
-    rows = _payments_with_invoice(t, "total").select(
+    rows = stage(_payments_with_invoice(t, "total").select(
         F.col("amount"), F.col("total"),
         F.try_divide(F.col("amount").cast("double"), F.col("total").cast("double")).alias("ratio"),
-        (cents(F.col("amount")) > cents(F.col("total"))).alias("greater"))
+        (cents(F.col("amount")) > cents(F.col("total"))).alias("greater")))
     base = rows.agg(
         pearson(F.col("amount"), F.col("total")).alias("pearson"), F.count_if("greater").alias("greater_than_invoice"))
     spread = exact_quantiles(rows, "ratio", [0.0, 0.5, 0.95, 1.0], ["ratio_min", "ratio_median", "ratio_p95", "ratio_max"])

@@ -13,6 +13,7 @@ from strata.operators.dedupe import duplicate_counts
 from strata.operators.lookup import condense, weighted_if
 from strata.operators.quantiles import exact_quantiles
 from strata.operators.stats import decile_association, histogram, share_match
+from strata.session import stage
 
 Tables = Mapping[str, DataFrame]
 MAX_LOAD = 8
@@ -166,7 +167,7 @@ def _weight_sums(t: Tables) -> DataFrame:
 
 
 def weight_sums(t: Tables, as_of: str) -> DataFrame:
-    w = _weight_sums(t)
+    w = stage(_weight_sums(t))
     spread = exact_quantiles(w, "w", [0.0, 0.5, 1.0], ["weight_min", "weight_median", "weight_max"])
     counts = w.agg(
         F.count_if(F.round(F.col("w") * 100, 0) == 100).alias("exactly_one_at_cent_precision"),
@@ -200,10 +201,11 @@ def normal_scores(t: Tables) -> DataFrame:
 
 
 def scores_by_status(t: Tables, as_of: str) -> DataFrame:
-    scored = normal_scores(t).where("normal_score is not null")
-    base = scored.groupBy("status").agg(
-        F.count(F.lit(1)).alias("scored"), F.round(F.avg("normal_score"), 2).alias("score_mean"))
-    middle = exact_quantiles(scored, "normal_score", [0.5], ["score_median"], ["status"], digits=2)
+    folded = stage(normal_scores(t).where("normal_score is not null").groupBy("status", "normal_score").agg(
+        F.count(F.lit(1)).alias("n")))
+    base = folded.groupBy("status").agg(
+        F.sum("n").alias("scored"), F.round(F.sum(F.col("normal_score") * F.col("n")) / F.sum("n"), 2).alias("score_mean"))
+    middle = exact_quantiles(folded, "normal_score", [0.5], ["score_median"], ["status"], digits=2, weight="n")
     return base.join(middle, "status")
 
 

@@ -91,7 +91,11 @@ def grades(raw: DataFrame) -> DataFrame:
 
 
 def grade_summary(raw: DataFrame) -> DataFrame:
-    """Per enrollment, from the unrounded source numbers; rounding happens only in the result."""
+    """Per enrollment, from the unrounded source numbers; rounding happens only in the result.
+
+    Sums are wider than the published column types, so that an enrollment with very many grades does not
+    stop the load; the overflow rule counts what exceeds the published type.
+    """
     score, weight = F.col("score").cast("decimal(18,6)"), F.col("weight").cast("decimal(18,6)")
     sums = raw.groupBy("enrollment_id").agg(
         F.count(F.lit(1)).alias("n_grades"), F.sum(weight).alias("w"),
@@ -99,8 +103,8 @@ def grade_summary(raw: DataFrame) -> DataFrame:
     )
     one = F.lit("1").cast("decimal(18,6)")
     return sums.select(
-        "enrollment_id", F.col("n_grades").cast("int").alias("n_grades"),
-        F.col("w").cast("decimal(6,3)").alias("weight_sum"),
+        "enrollment_id", "n_grades",
+        F.col("w").cast("decimal(22,3)").alias("weight_sum"),
         _flag(within(F.col("w"), one), "weight_sum_ok"),
         exact_div(F.col("points"), F.col("w")).cast("decimal(6,3)").alias("final_score_weighted"),
         exact_div(F.col("s"), F.col("c")).cast("decimal(6,3)").alias("final_score_simple"),
@@ -135,7 +139,7 @@ def invoices(raw: DataFrame, items: DataFrame, payments: DataFrame, as_of: str)
     total, status = F.col("total"), F.col("status")
     return rows.select(
         "invoice_id", "issued_at", "due_at", total.alias("total_reported"),
-        F.col("items").cast("decimal(12,2)").alias("total"), "status", "currency", "customer_id",
+        F.col("items").cast("decimal(22,2)").alias("total"), "status", "currency", "customer_id",
         _flag(beyond(total, F.col("items")), "is_total_mismatch"),
         (~F.col("has_items")).alias("has_no_items"),
         _flag((F.col("due_at") < F.lit(as_of).cast("date")) & (status != "paid"), "is_past_due"),

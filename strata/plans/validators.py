@@ -206,6 +206,23 @@ def silver_required(silver: Tables) -> DataFrame:
     return union_all(null_counts(silver[t], columns, t) for t, columns in REQUIRED.items())
 
 
+# Columns whose published precision is narrower than what a sum can reach.
+PUBLISHED_TYPES = (
+    ("enrollment_grade_summary", "n_grades", "smallint"), ("enrollment_grade_summary", "weight_sum", "decimal(6,3)"),
+    ("billing_invoices", "total", "decimal(12,2)"),
+)
+
+
+def silver_overflow(silver: Tables) -> DataFrame:
+    """Values that do not fit the published column type."""
+    def lost(column: str, kind: str) -> Column:
+        return F.count_if(F.col(column).isNotNull() & F.col(column).try_cast(kind).isNull())
+
+    return union_all(
+        silver[t].agg(lost(c, k).alias("overflows")).select(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"), "overflows")
+        for t, c, k in PUBLISHED_TYPES)
+
+
 def relationship_audit(typed: Tables) -> DataFrame:
     """Reference metrics of all foreign keys."""
     return union_all(fk_audit(typed[c], fk, typed[p], pk, f"{c}.{fk} -> {p}.{pk}") for c, fk, p, pk in FOREIGN_KEYS)
