@@ -200,3 +200,68 @@ select l_extendedprice as value, cast(count(*) as bigint) as n,
 from lineitem group by 1"""
 ORACLE["ingest_row_hash"] = f"""with {RAW}
 select customer_id, sha256(cast(to_json([{', '.join(SOURCES['billing_customers'][1])}]) as varchar)) as row_hash from billing_customers"""
+
+PROPOSED = {
+    "crm_activities": """
+select activity_id, case when contact_id is not null and opportunity_id is not null then 'both' when contact_id is not null then 'contact_only'
+         when opportunity_id is not null then 'opportunity_only' else 'unlinked' end as activity_scope,
+       exists (select 1 from s_crm_opportunity_contacts b where b.opportunity_id = a.opportunity_id and b.contact_id = a.contact_id)
+         as activity_pair_exists_in_bridge
+from s_crm_activities a""",
+    "university_enrollments": """
+select enrollment_id, status = 'completed' and not has_grades as completed_without_grades,
+       enrollment_id in (select enrollment_id from s_university_grades where assessment = 'final') as has_final_assessment,
+       not enrolled_at_out_of_window and not coalesce(e.enrolled_at_raw < st.enrolled_at, false) as is_temporally_consistent
+from s_university_enrollments e left join s_university_students st using (student_id)""",
+    "enrollment_grade_summary": """
+select enrollment_id, case when w = 1000 then 'exact' when abs(w - 1000) <= 10 then 'within_tolerance' when w < 1000 then 'below' else 'above' end
+         as grade_weight_status
+from g_sums""",
+    "billing_customers": """
+select customer_id, external_ref is not null as has_student_reference,
+       coalesce(lower(trim(c.email)) <> lower(trim(s.email)) or lower(trim(c.first_name)) <> lower(trim(s.first_name))
+         or lower(trim(c.last_name)) <> lower(trim(s.last_name)) or c.country <> s.country, false) as person_attributes_mismatch
+from s_billing_customers c left join s_university_students s on c.external_ref = s.student_id""",
+    "billing_invoices": """
+select invoice_id,
+       coalesce(currency = map {'CL': 'CLP', 'PE': 'PEN', 'AR': 'ARS', 'MX': 'MXN', 'BR': 'BRL', 'ES': 'EUR', 'CO': 'COP', 'US': 'USD'}[country], false)
+         as country_currency_match,
+       case when total is null then 'no_items' when total > total_reported then 'lines_greater' when total < total_reported then 'lines_less'
+            else 'equal' end as invoice_line_reconciliation_status,
+       case when p.v is null then 'unpaid' when p.v > total_reported then 'paid_greater' when p.v < total_reported then 'paid_less' else 'equal' end
+         as payment_reconciliation_status,
+       not coalesce(due_at < issued_at or cast(issued_at as timestamp) < cast(c.created_at as timestamp), false) as is_temporally_consistent
+from s_billing_invoices i left join s_billing_customers c using (customer_id)
+left join (select invoice_id, sum(amount) as v from s_billing_payments group by 1) p using (invoice_id)""",
+    "billing_invoice_items": """
+select invoice_item_id, case when h.inside then 'inside_contract' when h.inside is not null then 'subscribed' else 'never_subscribed' end
+         as item_subscription_match_status
+from s_billing_invoice_items t join s_billing_invoices i using (invoice_id)
+left join (select i.customer_id, x.product_id, i.issued_at, bool_or(i.issued_at between s.start_date and s.end_date_raw) as inside
+           from s_billing_invoice_items x join s_billing_invoices i using (invoice_id)
+           join s_billing_subscriptions s on s.customer_id = i.customer_id and s.product_id = x.product_id group by 1, 2, 3) h
+  on h.customer_id = i.customer_id and h.product_id = t.product_id and h.issued_at = i.issued_at""",
+    "billing_subscriptions": """
+select subscription_id, not invalid_date_range and not coalesce(cast(start_date as timestamp) < cast(created_at as timestamp), false)
+         as is_temporally_consistent
+from s_billing_subscriptions left join s_billing_customers using (customer_id)""",
+}
+for _table, _sql in PROPOSED.items():
+    ORACLE[f"proposed_{_table}"] = on_silver(_sql)
+
+VIEWS = (
+    "kpi_revenue_monthly", "kpi_collection_by_currency", "kpi_academic_by_department", "kpi_subscription_status", "kpi_sales_pipeline",
+    "kpi_lead_funnel", "kpi_student_vs_external", "kpi_mrr_breakdown", "kpi_lead_by_source", "kpi_headline")
+ORACLE["layer_inventory"] = on_kpi("\nunion all\n".join(
+    f"select '{layer}' as layer, '{kind}' as kind, '{name}' as object, count(*) as row_count from {prefix}{name}"
+    for layer, kind, prefix, names in (("silver", "table", "s_", [*SOURCES, "enrollment_grade_summary"]), ("gold", "table", "", GOLD_KEYS),
+                                       ("gold", "view", "", VIEWS)) for name in names))
+SUMS = {"fact_invoice.invoiced_amount": "cast(sum(invoiced_amount) * 1000 as bigint)",
+        "fact_enrollment.final_score": "cast(round(sum(cast(final_score as decimal(12,3))) * 1000) as bigint)"}
+ORACLE["export_parity"] = on_kpi("\nunion all\n".join(
+    [checked("rows", n, f"select count(*) from {n}", f"select count(*) from {n}") for n in (
+        "dim_customer", "dim_semester", "fact_enrollment", "fact_invoice", "kpi_revenue_monthly")]
+    + [checked("sums", label, f"select {e} from {label.split('.')[0]}", f"select {e} from {label.split('.')[0]}") for label, e in SUMS.items()]))
+ORACLE["ingest_twice"] = """
+select 1 as attempt, 'loaded' as status, count(*) as row_count, 0 as differing_rows from customer
+union all select 2, 'skipped', count(*), 0 from customer"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,19 +10,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from probes.bindings import AS_OF, TestTables, bronze
-from strata.catalog import DATE_KINDS, NUMBER_KINDS, SOURCES, columns_of, primary_key
+from strata.catalog import DATE_KINDS, NUMBER_KINDS, SOURCES, SourceSpec, columns_of, primary_key
 from strata.functions.text import row_hash
 from strata.operators import profile, stats
 from strata.operators.dedupe import duplicate_counts
-from strata.operators.quality import union_all
+from strata.operators.quality import same_rows, union_all
 from strata.operators.quantiles import ValueCounts, exact_quantiles
-from strata.plans import kpi, validators
+from strata.plans import export, kpi, validators
 from strata.plans.audits import billing, crm, crossdomain, university
 from strata.plans.gold import gold
 from strata.plans.insights import INSIGHTS, Model
 from strata.plans.layer import Layer
+from strata.plans.proposed import PROPOSED
 from strata.plans.silver import silver
 from strata.plans.typed import issues, typed
+from strata.session import shared_folder
+from strata.sources.ledger import ingest, read_bronze
 
 
 class Context:
@@ -230,6 +234,45 @@ def ingest_row_hash(c: Context) -> DataFrame:
     return rows.select("customer_id", row_hash(rows.columns).alias("row_hash"))
 
 
+for _name, _build in PROPOSED.items():
+    QUERIES[f"proposed_{_name}"] = lambda c, f=_build: f(c.silver)
+
+
+@query("layer_inventory")
+def layer_inventory(c: Context) -> DataFrame:
+    """Rows per object of Silver and Gold, views included."""
+    views = Layer({name: (lambda f=f: f(c.gold)) for name, f in kpi.KPIS.items()})
+    return union_all((export.inventory(c.silver, "silver"), export.inventory(c.gold, "gold"),
+                      export.inventory(views, "gold", lambda name: "view")))
+
+
+@query("export_parity")
+def export_parity(c: Context) -> DataFrame:
+    """Gold written to the shared folder and read back: rows per object and the checked sums."""
+    folder = f"{shared_folder(c.spark)}/export-{uuid.uuid4()}"
+    names = ("dim_customer", "dim_semester", "fact_enrollment", "fact_invoice")
+    written = Layer({**{n: (lambda n=n: c.gold[n]) for n in names}, "kpi_revenue_monthly": lambda: kpi.revenue_monthly(c.gold)})
+    export.export_layer(written, folder)
+    return export.check_export(c.spark, written, folder, "gold")
+
+
+@query("ingest_twice")
+def ingest_twice(c: Context) -> DataFrame:
+    """The customer source written as delimited text, loaded twice and compared with its own rows."""
+    folder = f"{shared_folder(c.spark)}/ingest-{uuid.uuid4()}"
+    source = c.bronze["billing_customers"]
+    source.write.csv(f"{folder}/raw", header=True, emptyValue="", escape='"', ignoreLeadingWhiteSpace=False,
+                     ignoreTrailingWhiteSpace=False)
+    spec = SourceSpec("billing", "customers", tuple(source.columns), source.count(), f"{folder}/raw")
+    loads = [ingest(c.spark, spec, f"{folder}/bronze", f"{folder}/ledger") for _ in range(2)]
+    stored = read_bronze(c.spark, f"{folder}/bronze", f"{folder}/ledger", spec)
+    wanted = source.select("customer_id", row_hash(source.columns).alias("_row_hash"))
+    found = same_rows(wanted, stored, ["customer_id", "_row_hash"])
+    return found.select(F.inline(F.array(*[
+        F.struct(F.lit(i + 1).alias("attempt"), F.lit(r.status).alias("status"), F.lit(r.rows).cast("bigint").alias("row_count"),
+                 F.col("differing_rows").alias("differing_rows")) for i, r in enumerate(loads)])))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         name: (lambda spark, folder, build=build: comparable(build(Context(spark, folder))))

@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 from strata.operators.lookup import attach_group
 
 
-def flag_duplicates(rows: DataFrame, keys: Sequence[str], name: str, nulls_match: bool = True) -> DataFrame:
+def flag_duplicates(rows: DataFrame, keys: Sequence[str], name: str, nulls_match: bool = True,
+                    row_id: Sequence[str] = ()) -> DataFrame:
     """Boolean column: does another row share the keys? NULL keys equal each other unless told otherwise."""
     groups = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     flag = F.col("__n") > 1
     if not nulls_match:
         for key in keys:
             flag = flag & F.col(key).isNotNull()
-    return attach_group(rows, groups, keys, "__n").withColumn(name, F.coalesce(flag, F.lit(False))).drop("__n")
+    return attach_group(rows, groups, keys, "__n", row_id).withColumn(name, F.coalesce(flag, F.lit(False))).drop("__n")
 
 
 def pick_survivor(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], row_id: str,
@@ -29,7 +30,7 @@ def pick_survivor(rows: DataFrame, keys: Sequence[str], order: Sequence[Column],
     first = F.min(F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], F.col(row_id).alias("id")))
     groups = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), first.getField("id").alias("__first"))
     return (
-        attach_group(rows, groups, keys, "__n")
+        attach_group(rows, groups, keys, "__n", [row_id])
         .withColumn(duplicate, F.col("__n") > 1)
         .withColumn(survivor, F.col(row_id) == F.col("__first"))
         .drop("__n", "__first")

@@ -18,13 +18,16 @@ def _null_safe(pairs: Sequence[tuple[Column, Column]]) -> Column:
     return reduce(and_, [left.eqNullSafe(right) for left, right in pairs])
 
 
-def attach_group(rows: DataFrame, groups: DataFrame, keys: Sequence[str], weight: str) -> DataFrame:
+def attach_group(rows: DataFrame, groups: DataFrame, keys: Sequence[str], weight: str,
+                 row_id: Sequence[str] = ()) -> DataFrame:
     """Give every row the values of its group (``groups`` has one row per key, NULL keys included).
 
     Same result as window functions over the keys, but no task receives a whole hot group: rows of hot
     keys are spread over SPREAD sub-keys and the few hot group rows are repeated for each of them.
     ``weight`` is the group's row count. The list of hot keys is shorter than HOT_SHARE whatever the
-    data, which is why it alone is broadcast.
+    data, which is why it alone is broadcast. ``row_id``: columns that tell the rows of a group apart; hot
+    rows are spread by their hash (by the whole row if not given). Rows get the same sub-key every time
+    they are computed, so a repeated task sends them where the first attempt did.
     """
     total = groups.agg(F.sum(weight)).scalar()
     values = [c for c in groups.columns if c not in keys]
@@ -35,7 +38,7 @@ def attach_group(rows: DataFrame, groups: DataFrame, keys: Sequence[str], weight
         (F.col(weight) * HOT_SHARE > total).alias("__hot"),
     )
     hot = table.where("__hot").select(*[F.col(f"__k{i}").alias(f"__h{i}") for i in count], F.lit(True).alias("__spread"))
-    slot = F.when(F.col("__spread"), F.pmod(F.xxhash64(*rows.columns), F.lit(SPREAD))).otherwise(F.lit(0))
+    slot = F.when(F.col("__spread"), F.pmod(F.xxhash64(*(row_id or rows.columns)), F.lit(SPREAD))).otherwise(F.lit(0))
     marked = rows.join(
         F.broadcast(hot), _null_safe([(F.col(k), F.col(f"__h{i}")) for i, k in enumerate(keys)]), "left"
     ).select(*rows.columns, slot.cast("int").alias("__slot"))

@@ -87,7 +87,8 @@ def enrollments(raw: DataFrame, semesters: DataFrame, grades: DataFrame) -> Data
 
 
 def grades(raw: DataFrame) -> DataFrame:
-    return flag_duplicates(_cast(raw, "university_grades"), ["enrollment_id", "assessment"], "has_duplicate_assessment")
+    return flag_duplicates(_cast(raw, "university_grades"), ["enrollment_id", "assessment"], "has_duplicate_assessment",
+                           row_id=["grade_id"])
 
 
 def grade_summary(raw: DataFrame) -> DataFrame:
@@ -149,11 +150,11 @@ def invoices(raw: DataFrame, items: DataFrame, payments: DataFrame, as_of: str)
 
 
 def accounts(raw: DataFrame) -> DataFrame:
-    return flag_duplicates(_cast(raw, "crm_accounts"), ["name"], "name_is_shared", nulls_match=False)
+    return flag_duplicates(_cast(raw, "crm_accounts"), ["name"], "name_is_shared", nulls_match=False, row_id=["account_id"])
 
 
 def contacts(raw: DataFrame) -> DataFrame:
-    return flag_duplicates(_with_email(raw, "crm_contacts"), ["email"], "is_duplicate_email", nulls_match=False)
+    return flag_duplicates(_with_email(raw, "crm_contacts"), ["email"], "is_duplicate_email", nulls_match=False, row_id=["contact_id"])
 
 
 def leads(raw: DataFrame) -> DataFrame:

@@ -44,19 +44,22 @@ def local_session(app: str = "strata", cores: int | str = 8, memory: str = "8g",
     return spark
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and read it back, so that later passes do not recompute it.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, as the session names it in ``spark.checkpoint.dir``.
 
-    The folder is the one the session names in ``spark.checkpoint.dir``; a temporary folder stands in
-    only on a local master, where every executor shares the machine.
+    A temporary folder stands in only on a local master, where every executor runs on the same machine.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="strata-")
+    return folder
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back, so that later passes do not recompute it."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="strata-checkpoint-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,39 +27,84 @@ def header_of(spark: SparkSession, path: str) -> list[str]:
     return [value or "" for value in row[0]] if row else []
 
 
-def scan(spark: SparkSession, spec: SourceSpec, split_lines: bool = False) -> DataFrame:
-    """All columns as text; blank fields are '' and never NULL.
+def scan(spark: SparkSession, spec: SourceSpec) -> DataFrame:
+    """All columns as text, one task per file; blank fields come as NULL (see :func:`numbered_scan`)."""
+    return spark.read.schema(spec.schema).options(header=True, enforceSchema=True, **CSV).csv(spec.path)
 
-    ``split_lines`` lets Spark split large files between tasks. Only for sources without line breaks
-    inside quotes.
-    """
-    options = {**CSV, "multiLine": not split_lines}
-    return spark.read.schema(spec.schema).options(header=True, enforceSchema=True, **options).csv(spec.path)
+
+def _placed(rows: DataFrame) -> DataFrame:
+    """Rows with file, block and a task-local id that grows in file order."""
+    return rows.select(
+        *rows.columns, F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"),
+        F.monotonically_increasing_id().alias("__at"))
+
+
+def _before(blocks: DataFrame, *counts: str) -> DataFrame:
+    """Sums of block counts over the earlier blocks of the same file. There is one row per block here."""
+    earlier = Window.partitionBy("__file").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    return blocks.withColumns({c: F.coalesce(F.sum(c).over(earlier), F.lit(0)) for c in counts})
 
 
 def number_rows(scanned: DataFrame, name: str = "_source_row_number") -> DataFrame:
     """1-based row number in file order, without sorting rows.
 
     A file block is read by one task in order, so a row's place in its block follows from the task-local
-    row id. Row counts per block give the offset of each block; there is one row per block in that step.
+    row id, and the row counts of the earlier blocks give the offset of its block.
     """
-    columns = scanned.columns
-    placed = scanned.select(
-        *columns, F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"),
-        F.monotonically_increasing_id().alias("__at"))
-    blocks = placed.groupBy("__file", "__block").agg(F.min("__at").alias("__first"), F.count(F.lit(1)).alias("__n"))
-    earlier = Window.partitionBy("__file").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.select("__file", "__block", "__first", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__skip"))
+    placed = _placed(scanned)
+    blocks = placed.groupBy("__file", "__block").agg(F.min("__at").alias("__first"), F.count(F.lit(1)).alias("__skip"))
     number = F.col("__at") - F.col("__first") + F.col("__skip") + 1
-    return placed.join(offsets, ["__file", "__block"]).select(
-        *columns, F.col("__file").alias("_source_file"), number.cast("int").alias(name))
+    return placed.join(_before(blocks, "__skip"), ["__file", "__block"]).select(
+        *scanned.columns, F.col("__file").alias("_source_file"), number.alias(name))
+
 
+def split_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(_source_file, record, text) of large files: records cut in parallel, quoted line breaks included.
 
-def with_lineage(spark: SparkSession, spec: SourceSpec, batch: str, split_lines: bool = False) -> DataFrame:
+    A line that is not blank opens a record exactly when an even number of quotes precedes it. The quotes and
+    openings of the earlier blocks come from two short tables with one row per block, so no task reads
+    more than its own blocks.
+    """
+    lines = _placed(spark.read.text(list(paths), lineSep="\n"))
+    lines = lines.withColumn("__quotes", F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit(""))))
+    block = ["__file", "__block"]
+    quotes = _before(lines.groupBy(*block).agg(F.sum("__quotes").alias("__open")), "__open")
+    here = Window.partitionBy(*block).orderBy("__at")
+    earlier = here.rowsBetween(Window.unboundedPreceding, -1)
+    closed = (F.col("__open") + F.coalesce(F.sum("__quotes").over(earlier), F.lit(0))) % 2 == 0
+    # Outside of quotes a blank line is no record and belongs to none.
+    lines = lines.join(quotes, block).withColumn("__closed", closed).where(~F.col("__closed") | ~F.col("value").isin("", "\r"))
+    lines = lines.withColumn("__opens", F.col("__closed").cast("int"))
+    opened = _before(lines.groupBy(*block).agg(F.sum("__opens").alias("__records")), "__records")
+    lines = lines.join(opened, block).withColumn("record", F.col("__records") + F.sum("__opens").over(
+        here.rowsBetween(Window.unboundedPreceding, 0)))
+    # A record's lines, in order; blocks of a file start at growing offsets.
+    whole = F.array_sort(F.collect_list(F.struct("__block", "__at", "value")))
+    text = F.array_join(F.transform(whole, lambda line: line["value"]), "\n")
+    return lines.groupBy(F.col("__file").alias("_source_file"), "record").agg(F.regexp_replace(text, "\r$", "").alias("text"))
+
+
+def numbered_scan(spark: SparkSession, spec: SourceSpec, whole: int = WHOLE_FILE) -> DataFrame:
+    """Source columns with file and 1-based row number. Files above ``whole`` bytes are cut in parallel."""
+    files = spark.read.format("binaryFile").load(spec.path)
+    large = [r.path for r in files.where(F.col("length") > whole).select("path").collect()]  # a list of names
+    if not large:
+        rows = number_rows(scan(spark, spec))
+    else:
+        small = [r.path for r in files.where(F.col("length") <= whole).select("path").collect()]
+        fields = F.from_csv("text", spec.schema.simpleString()[7:-1].replace(":", " "), {
+            "quote": '"', "escape": '"', "multiLine": "true"}).alias("f")
+        order = F.col("record") - 1  # the first record is the header
+        rows = split_records(spark, large).where("record > 1").select("_source_file", order.alias("_source_row_number"), fields).select(
+            "f.*", "_source_file", "_source_row_number")
+        if small:
+            rows = rows.unionByName(number_rows(scan(spark, replace(spec, path=small))))
+    return rows.na.fill("", list(spec.columns)).withColumn("_source_row_number", F.col("_source_row_number").cast("bigint"))
+
+
+def with_lineage(spark: SparkSession, spec: SourceSpec, batch: str, whole: int = WHOLE_FILE) -> DataFrame:
     """Source columns with file, domain, row number, row hash, batch and load time."""
-    numbered = number_rows(scan(spark, spec, split_lines))
-    filled = numbered.na.fill("", list(spec.columns))
-    return filled.select(
+    return numbered_scan(spark, spec, whole).select(
         *spec.columns, F.lit(batch).alias("_batch_id"), "_source_file", F.lit(spec.domain).alias("_source_domain"),
         "_source_row_number", row_hash(spec.columns).alias("_row_hash"), F.current_timestamp().alias("_ingested_at"))
 
@@ -74,7 +120,7 @@ def check_header(spark: SparkSession, spec: SourceSpec) -> None:
 def check_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     """One row per contract rule: check, ok, detail."""
     header = header_of(spark, spec.path)
-    rows = scan(spark, spec).agg(F.count(F.lit(1)).alias("n"))
+    rows = numbered_scan(spark, spec).agg(F.count(F.lit(1)).alias("n"))
     header_ok = tuple(header) == spec.columns
 
     def rule(check: str, ok: Column, detail: Column) -> Column:

@@ -108,7 +108,7 @@ def read_bronze(spark: SparkSession, bronze: str, ledger: str, spec: SourceSpec)
     return spark.read.parquet(batch_path(bronze, spec, row.batch_id)).withColumn("_batch_id", F.lit(row.batch_id))
 
 
-def ingest(spark: SparkSession, spec: SourceSpec, bronze: str, ledger: str, split_lines: bool = False) -> LoadResult:
+def ingest(spark: SparkSession, spec: SourceSpec, bronze: str, ledger: str) -> LoadResult:
     """Load one source once per content.
 
     The same content again is skipped when its rows are all there. An incomplete batch keeps its id, and
@@ -128,7 +128,7 @@ def ingest(spark: SparkSession, spec: SourceSpec, bronze: str, ledger: str, spli
     append(spark, ledger, event)
     path = batch_path(bronze, spec, batch_id)
     try:
-        with_lineage(spark, spec, batch_id, split_lines).drop("_batch_id").write.mode("overwrite").parquet(path)
+        with_lineage(spark, spec, batch_id).drop("_batch_id").write.mode("overwrite").parquet(path)
         rows = _stored_rows(spark, path)
         if rows != spec.expected_rows:
             raise SourceError(f"{spec.path}: expected {spec.expected_rows} rows, stored {rows}")

@@ -7,16 +7,13 @@ import json
 from dataclasses import replace
 
 import pytest
-from pyspark.sql import functions as F
 
 from strata.catalog import SOURCES, SourceSpec, load_catalog
 from strata.operators.quality import gate
-from strata.plans.run import run, run_audit
-from strata.plans.run import bronze_layer
+from strata.plans.run import bronze_layer, run, run_audit
 from strata.plans.validators import check_bronze
-from strata.sources import delimited
-from strata.sources.delimited import SourceError, check_source, file_checksums, fingerprint, inventory, number_rows, scan, with_lineage
-from strata.sources.ledger import append, batch_listing, current, events, ingest, latest_batches, read_bronze
+from strata.sources.delimited import SourceError, check_source, file_checksums, fingerprint, inventory, with_lineage
+from strata.sources.ledger import Batch, append, batch_listing, current, events, ingest, latest_batches, read_bronze
 from strata.streaming.arrivals import load_arrivals
 
 TEXT = '﻿id,name,note\n1,"Doe, Ann",\n2,"say ""hi""","two\nlines"\n3,Ñandú 😀,a\\b\n'
@@ -41,18 +38,35 @@ def test_scan_lineage(spark, spec):
         assert row._source_domain == "crm" and row._source_file.endswith("things.csv")
 
 
-def test_row_numbers_over_many_splits(spark, tmp_path):
-    spec = SourceSpec("x", "many", ("n",), 20000, str(tmp_path / "many.csv"))
-    (tmp_path / "many.csv").write_text("n\n" + "".join(f"{i}\n" for i in range(1, 20001)))
+def test_large_files_are_cut_in_parallel(spark, tmp_path):
+    """Many small blocks, quoted line breaks across them, doubled quotes, blank last line: as one parser reads it."""
+    import csv
+    import io
+    import random
+
+    rng = random.Random(4)
+    rows = []
+    for i in range(3000):
+        note = rng.choice(["", "plain", 'say "x"', "a,b", "two\nlines", 'q"\n"\nq', "long " * 40 + "\n" + "é" * 30])
+        rows.append([str(i), note, rng.choice(["", "end"])])
+    buffer = io.StringIO()
+    writer = csv.writer(buffer, lineterminator="\n")
+    writer.writerows([["n", "note", "tail"], *rows])
+    path = tmp_path / "many.csv"
+    text = buffer.getvalue().replace("\n1500,", "\n\n1500,")  # a blank line between records
+    path.write_text(text + "\n", encoding="utf-8")
+    spec = SourceSpec("x", "many", ("n", "note", "tail"), 3000, str(path))
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
     try:
-        numbered = number_rows(scan(spark, spec, split_lines=True))
-        assert scan(spark, spec, split_lines=True).select(F.spark_partition_id()).distinct().count() > 1
-        assert numbered.where("cast(n as int) <> _source_row_number").count() == 0
-        assert numbered.count() == 20000
+        assert spark.read.text(str(path)).rdd.getNumPartitions() > 5
+        got = with_lineage(spark, spec, "b", whole=1).orderBy("_source_row_number").collect()
+        one = with_lineage(spark, spec, "b").orderBy("_source_row_number").collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert [[r.n, r.note, r.tail] for r in got] == rows
+    assert [r._source_row_number for r in got] == list(range(1, 3001))
+    assert [(r._source_row_number, r._row_hash) for r in got] == [(r._source_row_number, r._row_hash) for r in one]
 
 
 def test_checksums(spark, spec, tmp_path):
@@ -105,7 +119,6 @@ def test_interrupted_load_is_replaced(spark, spec, tmp_path):
     bronze, ledger = str(tmp_path / "bronze"), str(tmp_path / "ledger")
     done = ingest(spark, spec, bronze, ledger)
     state = current(spark, ledger).first()
-    from strata.sources.ledger import Batch
     append(spark, ledger, replace(Batch(**state.asDict()), status="loading", loaded_rows=0, completed_at=None))
     with pytest.raises(SourceError, match="no successful load"):
         read_bronze(spark, bronze, ledger, spec)
