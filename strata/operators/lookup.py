@@ -50,26 +50,41 @@ def attach_group(rows: DataFrame, groups: DataFrame, keys: Sequence[str], weight
     )
 
 
-def lookup(rows: DataFrame, parent: DataFrame, on: Sequence[tuple[str, str]], take: dict[str, str],
-           how: str = "left") -> DataFrame:
-    """Left join to a parent with a unique key, adding ``take`` = {parent column: new name}.
+def _hot_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The fewer than HOT_SHARE keys that hold more than 1/HOT_SHARE of the rows each, as __h0, __h1, ..."""
+    counts = rows.groupBy(*[F.col(k).alias(f"__h{i}") for i, k in enumerate(keys)]).agg(F.count(F.lit(1)).alias("__n"))
+    total = counts.agg(F.sum("__n")).scalar()
+    return counts.where(F.col("__n") * HOT_SHARE > total).drop("__n").withColumn("__spread", F.lit(True))
 
-    Rows without a key match nothing and are spread over SPREAD partitions instead of all landing in the
-    partition of NULL. Hot non-NULL keys are split by adaptive execution.
+
+def lookup(rows: DataFrame, parent: DataFrame, on: Sequence[tuple[str, str]], take: dict[str, str], how: str = "left",
+           row_id: Sequence[str] = (), small: bool = False) -> DataFrame:
+    """Join to a parent with a unique key, adding ``take`` = {parent column: new name}.
+
+    Rows of a hot key are spread over SPREAD sub-keys, for each of which the parent row is repeated; rows
+    without a key match nothing and are spread the same way. Finding the hot keys costs one count over the
+    key columns. ``small``: the parent is a short list by nature (half-years), so no key needs spreading.
     """
     right = parent.select(
         *[F.col(p).alias(f"__p{i}") for i, (_, p) in enumerate(on)],
         *[F.col(c).alias(f"__t{i}") for i, c in enumerate(take)],
     )
+    names = [F.col(f"__t{i}").alias(n) for i, n in enumerate(take.values())]
     same = reduce(and_, [F.col(c) == F.col(f"__p{i}") for i, (c, _) in enumerate(on)])
-    if how == "left":
-        missing = reduce(or_, [F.col(c).isNull() for c, _ in on])
-        slot = F.when(missing, F.pmod(F.xxhash64(*rows.columns), F.lit(SPREAD)) + 1).otherwise(F.lit(0))
-        left = rows.withColumn("__slot", slot.cast("int"))
-        joined = left.join(right.withColumn("__copy", F.lit(0)), same & (F.col("__slot") == F.col("__copy")), "left")
-    else:
-        joined = rows.join(right, same, how)
-    return joined.select(*rows.columns, *[F.col(f"__t{i}").alias(n) for i, n in enumerate(take.values())])
+    if small:
+        return rows.join(right, same, how).select(*rows.columns, *names)
+    keys = [c for c, _ in on]
+    present = reduce(and_, [F.col(c).isNotNull() for c in keys])
+    hot = F.broadcast(_hot_keys(rows.select(*keys).where(present), keys))
+    count = range(len(on))
+    left = rows.join(hot, reduce(and_, [F.col(k) == F.col(f"__h{i}") for i, k in enumerate(keys)]), "left")
+    piece = F.pmod(F.xxhash64(*(row_id or rows.columns)), F.lit(SPREAD))
+    slot = F.when(F.col("__spread") | ~present, piece).otherwise(F.lit(0)).cast("int")
+    left = left.select(*rows.columns, slot.alias("__slot"))
+    copies = F.when(F.col("__spread"), F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(F.array(F.lit(0)))
+    right = right.join(hot, reduce(and_, [F.col(f"__p{i}") == F.col(f"__h{i}") for i in count]), "left").withColumn(
+        "__copy", F.explode(copies))
+    return left.join(right, same & (F.col("__slot") == F.col("__copy")), how).select(*rows.columns, *names)
 
 
 def mark_exists(rows: DataFrame, key: str, others: DataFrame, other_key: str, name: str) -> DataFrame:

@@ -11,7 +11,7 @@ from strata.catalog import COUNTRY_CURRENCY
 from strata.functions.dates import midnight
 from strata.functions.money import cents, pct
 from strata.operators.intervals import contained, overlap_counts
-from strata.operators.lookup import condense, weighted_if
+from strata.operators.lookup import condense, lookup, weighted_if
 from strata.operators.quantiles import exact_quantiles
 from strata.operators.stats import decile_association, pearson
 from strata.plans.audits.university import Tables, day
@@ -193,7 +193,8 @@ def payment_rules(t: Tables, as_of: str) -> DataFrame:
 
 
 def _payments_with_invoice(t: Tables, *columns: str) -> DataFrame:
-    return t["billing_payments"].join(t["billing_invoices"].select("invoice_id", *columns), "invoice_id")
+    return lookup(t["billing_payments"], t["billing_invoices"], [("invoice_id", "invoice_id")], {c: c for c in columns}, "inner",
+                  ["payment_id"])
 
 
 def payments_by_currency(t: Tables, as_of: str) -> DataFrame:

@@ -11,7 +11,7 @@ from strata.catalog import FOREIGN_KEYS
 from strata.functions.dates import epoch_day, midnight
 from strata.functions.money import exact_div, pct
 from strata.functions.text import normal_email, strip, trailing_number
-from strata.operators.lookup import condense, weighted_if
+from strata.operators.lookup import condense, lookup, weighted_if
 from strata.operators.quality import union_all
 from strata.operators.relations import fk_audit
 from strata.operators.stats import pearson, share_match, spearman
@@ -33,10 +33,10 @@ PEOPLE = (
 
 def linked(t: Tables) -> DataFrame:
     """Customers with the student they refer to; both sides' attributes."""
-    s = t["university_students"]
-    students = s.select(F.col("student_id"), *[F.col(c).alias(f"student_{c}") for c in s.columns if c != "student_id"])
-    return t["billing_customers"].where("external_ref is not null").join(
-        students, F.col("external_ref") == F.col("student_id"))
+    students = t["university_students"]
+    take = {c: (c if c == "student_id" else f"student_{c}") for c in students.columns}
+    return lookup(t["billing_customers"].where("external_ref is not null"), students, [("external_ref", "student_id")], take,
+                  "inner", ["customer_id"])
 
 
 def link_counts(t: Tables, as_of: str) -> DataFrame:

@@ -45,13 +45,13 @@ def fact_invoice(invoices: DataFrame) -> DataFrame:
 
 
 def fact_payment(payments: DataFrame, invoices: DataFrame) -> DataFrame:
-    return lookup(payments, invoices, [("invoice_id", "invoice_id")], {"customer_id": "customer_id"}, "inner").select(
+    return lookup(payments, invoices, [("invoice_id", "invoice_id")], {"customer_id": "customer_id"}, "inner", ["payment_id"]).select(
         "payment_id", "invoice_id", "customer_id", F.col("paid_at").alias("paid_date"), "amount", "method")
 
 
 def fact_subscription(subscriptions: DataFrame, products: DataFrame) -> DataFrame:
     return lookup(subscriptions, products, [("product_id", "product_id")],
-                  {"monthly_price": "monthly_price"}, "inner").select(
+                  {"monthly_price": "monthly_price"}, "inner", ["subscription_id"]).select(
         "subscription_id", "customer_id", "product_id", "status", "start_date", "end_date",
         "is_effectively_expired", "invalid_date_range", "monthly_price")
 

@@ -25,7 +25,7 @@ Silver = Mapping[str, DataFrame]
 def activities(s: Silver) -> DataFrame:
     pairs = s["crm_opportunity_contacts"].select("opportunity_id", "contact_id").distinct().withColumn("known", F.lit(True))
     rows = lookup(s["crm_activities"].select("activity_id", "contact_id", "opportunity_id"), pairs,
-                  [("opportunity_id", "opportunity_id"), ("contact_id", "contact_id")], {"known": "known"})
+                  [("opportunity_id", "opportunity_id"), ("contact_id", "contact_id")], {"known": "known"}, row_id=["activity_id"])
     return rows.select(
         "activity_id", scope(F.col("contact_id"), F.col("opportunity_id")).alias("activity_scope"),
         true_or_false(F.col("known")).alias("activity_pair_exists_in_bridge"))
@@ -35,7 +35,8 @@ def enrollments(s: Silver) -> DataFrame:
     """Temporally consistent: enrolled inside the semester and not before the student's registration."""
     rows = s["university_enrollments"].select(
         "enrollment_id", "student_id", "status", "has_grades", "enrolled_at_raw", "enrolled_at_out_of_window")
-    rows = lookup(rows, s["university_students"], [("student_id", "student_id")], {"enrolled_at": "registered_at"})
+    rows = lookup(rows, s["university_students"], [("student_id", "student_id")], {"enrolled_at": "registered_at"},
+                  row_id=["enrollment_id"])
     finals = s["university_grades"].where("assessment = 'final'")
     rows = mark_exists(rows, "enrollment_id", finals, "enrollment_id", "has_final_assessment")
     early = true_or_false(F.col("enrolled_at_raw") < F.col("registered_at"))
@@ -56,7 +57,7 @@ def customers(s: Silver) -> DataFrame:
     rows = lookup(
         s["billing_customers"].select("customer_id", "external_ref", "first_name", "last_name", "email", "country"),
         s["university_students"].withColumn("known", F.lit(True)), [("external_ref", "student_id")],
-        {"known": "known", "first_name": "f", "last_name": "l", "email": "e", "country": "c"})
+        {"known": "known", "first_name": "f", "last_name": "l", "email": "e", "country": "c"}, row_id=["customer_id"])
     differs = lambda a, b: F.lower(strip(F.col(a))) != F.lower(strip(F.col(b)))
     mismatch = differs("email", "e") | differs("first_name", "f") | differs("last_name", "l") | (F.col("country") != F.col("c"))
     return rows.select(
@@ -75,7 +76,8 @@ def invoices(s: Silver) -> DataFrame:
         s["billing_invoices"].select("invoice_id", "customer_id", "currency", "issued_at", "due_at", "total_reported"), "invoice_id",
         detail_sums(s["billing_invoice_items"], "invoice_id", "line_total", "lines"),
         detail_sums(s["billing_payments"], "invoice_id", "amount", "paid"))
-    rows = lookup(rows, s["billing_customers"], [("customer_id", "customer_id")], {"country": "country", "created_at": "created_at"})
+    rows = lookup(rows, s["billing_customers"], [("customer_id", "customer_id")], {"country": "country", "created_at": "created_at"},
+                  row_id=["invoice_id"])
     expected = F.create_map(*[F.lit(x) for pair in COUNTRY_CURRENCY.items() for x in pair])[F.col("country")]
     broken = (F.col("due_at") < F.col("issued_at")) | (midnight(F.col("issued_at")) < F.col("created_at"))
     return rows.select(
@@ -88,7 +90,7 @@ def invoices(s: Silver) -> DataFrame:
 def invoice_items(s: Silver) -> DataFrame:
     """Whether the invoice date lies in a contract of the customer for the product, or there ever was one."""
     rows = lookup(s["billing_invoice_items"].select("invoice_item_id", "invoice_id", "product_id"), s["billing_invoices"],
-                  [("invoice_id", "invoice_id")], {"customer_id": "customer_id", "issued_at": "day"})
+                  [("invoice_id", "invoice_id")], {"customer_id": "customer_id", "issued_at": "day"}, row_id=["invoice_item_id"])
     keys = ["customer_id", "product_id"]
     held = contained(rows, s["billing_subscriptions"], keys, "day", "start_date", "end_date_raw")
     rows = attach_group(rows, held, [*keys, "day"], "n", ["invoice_item_id"])
@@ -98,7 +100,8 @@ def invoice_items(s: Silver) -> DataFrame:
 
 def subscriptions(s: Silver) -> DataFrame:
     rows = lookup(s["billing_subscriptions"].select("subscription_id", "customer_id", "start_date", "invalid_date_range"),
-                  s["billing_customers"], [("customer_id", "customer_id")], {"created_at": "created_at"})
+                  s["billing_customers"], [("customer_id", "customer_id")], {"created_at": "created_at"},
+                  row_id=["subscription_id"])
     early = true_or_false(midnight(F.col("start_date")) < F.col("created_at"))
     return rows.select("subscription_id", (~F.col("invalid_date_range") & ~early).alias("is_temporally_consistent"))
 

@@ -59,7 +59,7 @@ def students(raw: DataFrame) -> DataFrame:
 
 def courses(raw: DataFrame, professors: DataFrame) -> DataFrame:
     joined = lookup(_cast(raw, "university_courses"), professors, [("professor_id", "professor_id")],
-                    {"department": "__their_department"})
+                    {"department": "__their_department"}, row_id=["course_id"])
     return joined.select("*", _flag(F.col("department") != F.col("__their_department"), "department_mismatch")).drop(
         "__their_department")
 
@@ -76,7 +76,7 @@ def enrollments(raw: DataFrame, semesters: DataFrame, grades: DataFrame) -> Data
     )
     rows = lookup(rows, semesters.select("semester_id", F.col("start_date").cast("date").alias("s"),
                                          F.col("end_date").cast("date").alias("e")),
-                  [("semester_id", "semester_id")], {"s": "__start", "e": "__end"})
+                  [("semester_id", "semester_id")], {"s": "__start", "e": "__end"}, small=True)
     rows = mark_exists(rows, "enrollment_id", grades, "enrollment_id", "has_grades")
     return rows.select(
         "enrollment_id", "status", "student_id", "course_id", "semester_id", "enrolled_at_raw",
@@ -119,7 +119,8 @@ def customers(raw: DataFrame) -> DataFrame:
 
 def subscriptions(raw: DataFrame, products: DataFrame, as_of: str) -> DataFrame:
     """The expiry flag looks at the raw end date, so it includes ranges whose end date is voided."""
-    rows = lookup(_cast(raw, "billing_subscriptions"), products, [("product_id", "product_id")], {"active": "__active"})
+    rows = lookup(_cast(raw, "billing_subscriptions"), products, [("product_id", "product_id")], {"active": "__active"},
+                  row_id=["subscription_id"])
     start, end, live = F.col("start_date"), F.col("end_date"), F.col("status") == "active"
     inverted = true_or_false(end < start)
     return rows.select(
@@ -171,13 +172,13 @@ def opportunities(raw: DataFrame, bridge: DataFrame) -> DataFrame:
     return mark_exists(rows, "opportunity_id", bridge, "opportunity_id", "has_contacts")
 
 
-def _both_accounts(rows: DataFrame, opportunities: DataFrame, contacts: DataFrame) -> DataFrame:
-    rows = lookup(rows, opportunities, [("opportunity_id", "opportunity_id")], {"account_id": "__deal_account"})
-    return lookup(rows, contacts, [("contact_id", "contact_id")], {"account_id": "__person_account"})
+def _both_accounts(rows: DataFrame, opportunities: DataFrame, contacts: DataFrame, *row_id: str) -> DataFrame:
+    rows = lookup(rows, opportunities, [("opportunity_id", "opportunity_id")], {"account_id": "__deal_account"}, row_id=row_id)
+    return lookup(rows, contacts, [("contact_id", "contact_id")], {"account_id": "__person_account"}, row_id=row_id)
 
 
 def opportunity_contacts(raw: DataFrame, opportunities: DataFrame, contacts: DataFrame) -> DataFrame:
-    rows = _both_accounts(_cast(raw, "crm_opportunity_contacts"), opportunities, contacts)
+    rows = _both_accounts(_cast(raw, "crm_opportunity_contacts"), opportunities, contacts, "opportunity_id", "contact_id")
     return rows.select("opportunity_id", "contact_id", "role",
                        _flag(F.col("__deal_account") != F.col("__person_account"), "account_mismatch"))
 
@@ -187,7 +188,7 @@ def activities(raw: DataFrame, opportunities: DataFrame, contacts: DataFrame) ->
     for key in ("contact_id", "opportunity_id"):
         rows = rows.withColumn(key, blank_to_null(F.col(key)))
     orphan = F.col("contact_id").isNull() & F.col("opportunity_id").isNull()
-    rows = _both_accounts(rows, opportunities, contacts)
+    rows = _both_accounts(rows, opportunities, contacts, "activity_id")
     return rows.select(
         "activity_id", "type", "subject", "occurred_at", "contact_id", "opportunity_id", orphan.alias("is_orphan"),
         _flag(F.col("__deal_account") != F.col("__person_account"), "account_mismatch"),
