@@ -16,13 +16,11 @@ import duckdb
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from probes.bindings import TABLES  # noqa: E402
-
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
-    for table in TABLES:
-        con.execute(f"create view {table} as select * from read_parquet('{folder}/{table}.parquet')")
+    for path in sorted(Path(folder).glob("*.parquet")):
+        con.execute(f"create view {path.stem} as select * from read_parquet('{path}{'/*' if path.is_dir() else ''}')")
     return con
 
 
