@@ -60,42 +60,86 @@ def _splits(data: np.ndarray) -> np.ndarray:
     return at[left & right]
 
 
+class Known:
+    """Pieces that this process has encoded: their keys (sorted), bytes and ids. Holds MOST pieces, then keeps those it has."""
+
+    MOST = 1_000_000
+
+    def __init__(self) -> None:
+        self.keys = np.zeros(0, np.uint64)
+        self.at = np.zeros((0, 4), np.int64)  # first byte, bytes, first id, ids
+        self.data = np.zeros(0, np.uint8)
+        self.ids = np.zeros(0, np.uint32)
+
+    def find(self, keys: np.ndarray, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Row of each piece in ``at``, -1 if it is not known. Bytes are compared, so equal keys of different pieces do no harm."""
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        row = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        hit = np.flatnonzero((self.keys[row] == keys) & (self.at[row, 1] == lengths))
+        sizes = lengths[hit]
+        equal = self.data[flat(self.at[row[hit], 0], sizes)] == data[flat(starts[hit], sizes)]
+        same = np.logical_and.reduceat(equal, np.cumsum(sizes) - sizes) if len(hit) else np.zeros(0, bool)
+        out = np.full(len(keys), -1)
+        out[hit[same]] = row[hit[same]]
+        return out
+
+    def add(self, keys: np.ndarray, joined: np.ndarray, sizes: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        fresh = np.column_stack([np.cumsum(sizes) - sizes + len(self.data), sizes, np.cumsum(counts) - counts + len(self.ids), counts])
+        self.data, self.ids = np.concatenate([self.data, joined]), np.concatenate([self.ids, ids])
+        place = np.searchsorted(self.keys, keys)
+        self.keys, self.at = np.insert(self.keys, place, keys), np.insert(self.at, place, fresh, axis=0)
+
+
+_KNOWN: dict[str, Known] = {}
+
+
 def encode(path: str, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ids of several texts: (ids, bounds), the ids of text i are ids[bounds[i]:bounds[i + 1]]."""
     n = len(offsets) - 1
-    filled = np.flatnonzero(np.diff(offsets))
+    edge = np.zeros(len(data) + 2, bool)
+    edge[offsets] = True
     at = _splits(data)
-    at = at[~np.isin(at, offsets) & ~np.isin(at + 1, offsets)]
-    starts = np.union1d(offsets[filled], at).astype(np.int64)
+    begin_here = edge.copy()
+    begin_here[at[~edge[at] & ~edge[at + 1]]] = True
+    begin_here[len(data):] = False
+    starts = np.flatnonzero(begin_here)
     if not len(starts):
         return np.zeros(0, np.uint32), np.zeros(n + 1, np.int64)
     ends = np.append(starts[1:], len(data))
-    first = np.isin(starts, offsets)
-    last = np.isin(ends, offsets)
-    plain = ~first & ~last  # begins with " x" and is followed by " x"
+    plain = ~edge[starts] & ~edge[ends]  # begins with " x" and is followed by " x"
     lengths = ends - starts
     place = np.arange(len(data)) - np.repeat(starts, lengths)
-    terms = mix(data.astype(np.uint64) + np.uint64(1)) * powers(_BASE, int(lengths.max()))[place]
+    terms = mix(np.arange(1, 257, dtype=np.uint64))[data] * powers(_BASE, int(lengths.max()))[place]
     key = mix(np.add.reduceat(terms, starts) + lengths.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     del place, terms
     which = np.flatnonzero(plain)
-    _, chosen, same = np.unique(key[which], return_index=True, return_inverse=True)
+    keys, chosen, same = np.unique(key[which], return_index=True, return_inverse=True)
     chosen = which[chosen]
     counts = np.zeros(len(starts), np.int64)
     begin = np.zeros(len(starts), np.int64)
-    pool: list[np.ndarray] = []
-    filled_to = 0
-    if len(chosen):
-        sizes = lengths[chosen]
-        joined = data[flat(starts[chosen], sizes)]
+    known = _KNOWN.setdefault(path, Known())
+    row = known.find(keys, data, starts[chosen], lengths[chosen])
+    own_counts, own_begin = known.at[row, 3] if len(known.at) else np.zeros(len(row), np.int64), known.at[row, 2] if len(known.at) else np.zeros(len(row), np.int64)
+    pool: list[np.ndarray] = [known.ids]
+    filled_to = len(known.ids)
+    new = np.flatnonzero(row < 0)
+    if len(new):
+        sizes = lengths[chosen[new]]
+        joined = data[flat(starts[chosen[new]], sizes)]
         ids = _encode(path, [joined.tobytes()])[0]
-        if int(byte_lengths(path)[ids].sum()) != len(joined):
-            raise ValueError("the tokenizer changes its texts; byte-level files are needed")
         reach = np.concatenate(([0], np.cumsum(byte_lengths(path)[ids])))
+        if reach[-1] != len(joined):
+            raise ValueError("the tokenizer changes its texts; byte-level files are needed")
         cut = np.searchsorted(reach, np.concatenate(([0], np.cumsum(sizes))))
-        counts[which], begin[which] = np.diff(cut)[same], cut[:-1][same]
+        own_counts[new], own_begin[new] = np.diff(cut), cut[:-1] + filled_to
         pool.append(ids)
-        filled_to = len(ids)
+        filled_to += len(ids)
+        if len(known.keys) > Known.MOST and 2 * len(new) > len(row):  # the texts have changed: start anew
+            known = _KNOWN[path] = Known()
+        if len(known.keys) <= Known.MOST:
+            known.add(keys[new], joined, sizes, ids, np.diff(cut))
+    counts[which], begin[which] = own_counts[same], own_begin[same]
     rest = np.flatnonzero(~plain)
     for i, ids in zip(rest, _encode(path, [data[starts[i]:ends[i]].tobytes() for i in rest]), strict=True):
         counts[i], begin[i] = len(ids), filled_to
