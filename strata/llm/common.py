@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
 from collections.abc import Iterator, Sequence
 
@@ -9,10 +11,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.session import shared_folder
+from strata.session import shared_folder, tune
 
 #: Bytes of text handled at a time inside a task; bounds the memory of the arrays made from it.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
+
+
+#: Rows that Spark hands to a task's Python process at a time. Texts are long: fewer rows than Spark's default bound the memory.
+ROWS_PER_BATCH = 2000
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
+    return tune(spark)
 
 
 def staged(df: DataFrame) -> DataFrame:
@@ -57,11 +68,21 @@ def slices(offsets: np.ndarray, most: int = BLOCK_BYTES) -> Iterator[tuple[int,
 
 def text_blocks(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
     """Batches cut to blocks of whole rows: (rows, bytes, offsets, is_null) of the text column."""
-    for batch in batches:
-        if batch.num_rows:
-            data, offsets, nulls = utf8(batch.column(text))
-            for a, b in slices(offsets):
-                yield batch.slice(a, b - a), data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], nulls[a:b]
+    try:
+        for batch in batches:
+            if batch.num_rows:
+                data, offsets, nulls = utf8(batch.column(text))
+                for a, b in slices(offsets):
+                    yield batch.slice(a, b - a), data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], nulls[a:b]
+    finally:
+        give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Spark keeps a task's Python process for later tasks beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only the C library of Linux has it
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def flat(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

@@ -6,13 +6,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import flat, text_blocks
-from strata.llm.words import mix, powers
+from strata.llm.words import mix
 
 #: Bytes of a stretch; longer runs without white space are cut into stretches of this length.
 STEPS = 24
@@ -182,7 +181,9 @@ def score_block(network: Network, data: np.ndarray, offsets: np.ndarray) -> np.n
     if not len(starts):
         return out
     x = matrix(data, starts, lengths)
-    key = mix(((x.astype(np.uint64) + np.uint64(1)) * powers(_BASE, STEPS)).sum(axis=1, dtype=np.uint64) + lengths.astype(np.uint64))
+    key = lengths.astype(np.uint64)
+    for column in x.view(np.uint64).T:
+        key = mix(key * _BASE + column)
     _, chosen, same = np.unique(key, return_index=True, return_inverse=True)
     order = np.argsort(-lengths[chosen], kind="stable")
     sums = np.zeros((len(chosen), K))
@@ -272,19 +273,15 @@ def identify(docs: DataFrame, network: Network) -> DataFrame:
 
 
 def _classifier(labels: list[str], weights: dict[str, np.ndarray], hidden: int):
-    @F.pandas_udf("lang_pred string, score double")
-    def classify(texts: pd.Series) -> pd.DataFrame:
+    @F.arrow_udf("lang_pred string, score double")
+    def classify(texts: pa.Array) -> pa.Array:
         network = Network(labels, hidden, weights)
-        names, scores = [], []
-        column = pa.array(texts, pa.large_string())
-        batch = pa.RecordBatch.from_arrays([column], ["text"])
-        for _, data, offsets, _ in text_blocks(iter([batch]), "text"):
+        best, scores = [np.zeros(0, np.int64)], [np.zeros(0)]
+        for _, data, offsets, _ in text_blocks(iter([pa.RecordBatch.from_arrays([texts], ["text"])]), "text"):
             p = score_block(network, data, offsets)
-            best = p.argmax(axis=1)
-            names += [labels[k] for k in best]
-            scores += [min(1.0, float(v)) for v in p[np.arange(len(best)), best]]
-        return pd.DataFrame({"lang_pred": names, "score": scores})
+            best.append(p.argmax(axis=1))
+            scores.append(np.minimum(1.0, p.max(axis=1)))
+        names = pa.array(labels, pa.string()).take(pa.array(np.concatenate(best)))
+        return pa.StructArray.from_arrays([names, pa.array(np.concatenate(scores), pa.float64())], ["lang_pred", "score"])
 
     return classify
-
-

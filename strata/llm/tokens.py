@@ -63,7 +63,7 @@ def _splits(data: np.ndarray) -> np.ndarray:
 class Known:
     """Pieces that this process has encoded: their keys (sorted), bytes and ids. Holds MOST pieces, then keeps those it has."""
 
-    MOST = 1_000_000
+    MOST = 600_000
 
     def __init__(self) -> None:
         self.keys = np.zeros(0, np.uint64)
