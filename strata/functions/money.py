@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-WIDE = "decimal(38,18)"
+# Spark keeps 38 digits of a quotient and gives up those behind the point first. These types leave it sixteen of them.
+NUMERATOR, DENOMINATOR = "decimal(28,10)", "decimal(18,4)"
 
 
 def cents(amount: Column) -> Column:
@@ -14,8 +15,8 @@ def cents(amount: Column) -> Column:
 
 
 def exact_div(numerator: Column, denominator: Column) -> Column:
-    """Decimal quotient with 18 digits after the point; NULL where the denominator is 0."""
-    return F.try_divide(numerator.cast(WIDE), denominator.cast("decimal(38,18)"))
+    """Decimal quotient with 16 digits after the point; NULL where the denominator is 0."""
+    return F.try_divide(numerator.cast(NUMERATOR), denominator.cast(DENOMINATOR))
 
 
 def ratio(numerator: Column, denominator: Column, digits: int) -> Column:

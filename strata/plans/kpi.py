@@ -80,7 +80,7 @@ def _customer_billing(g: Gold) -> DataFrame:
 
 def _per_customer(customers: DataFrame, *by: str) -> DataFrame:
     label = F.when(F.col("is_student"), STUDENT).otherwise(EXTERNAL).alias("customer_type")
-    count = F.count_distinct("customer_id")
+    count = F.count("customer_id")  # customers are one row each
     bills = F.coalesce(F.sum("invoices"), F.lit(0))
     return customers.groupBy(*by, label).agg(
         count.alias("customers"), bills.alias("invoices"),
@@ -139,19 +139,19 @@ KPIS: dict[str, Callable[[Gold], DataFrame]] = {
 }
 
 
-def _top(kpi: DataFrame, by: str, value: str, limit: int = 100) -> DataFrame:
-    """One bar per category. Rows are already aggregated, so shares take MAX; ties end by name."""
-    return kpi.groupBy(by).agg(F.max(value).alias(value)).orderBy(F.col(value).desc_nulls_last(), by).limit(limit)
+def _top(kpi: DataFrame, by: str, value: str, limit: int | None = None) -> DataFrame:
+    """One bar per category. Rows are already aggregated, so shares take MAX; ties end by name. ``limit``: bars shown, all by default."""
+    bars = kpi.groupBy(by).agg(F.max(value).alias(value)).orderBy(F.col(value).desc_nulls_last(), by)
+    return bars if limit is None else bars.limit(limit)
 
 
 def _monthly_chart(g: Gold) -> DataFrame:
     return (
         revenue_monthly(g).groupBy(month_start(F.col("month")).alias("month"), "currency")
-        .agg(F.sum("revenue").alias("revenue")).orderBy("month", "currency").limit(10000)
+        .agg(F.sum("revenue").alias("revenue")).orderBy("month", "currency")
     )
 
 
-# The row limits belong to the charts.
 CHARTS: dict[str, Callable[[Gold], DataFrame]] = {
     "chart_mrr_real": lambda g: headline(g).agg(F.max("mrr_real").alias("mrr_real")),
     "chart_pct_sin_cobrar": lambda g: headline(g).agg(F.max("pct_sin_cobrar").alias("pct_sin_cobrar")),
@@ -163,10 +163,10 @@ CHARTS: dict[str, Callable[[Gold], DataFrame]] = {
     "chart_subscriptions_by_status": lambda g: _top(subscription_status(g), "status", "subscriptions"),
     "chart_pass_rate_by_department": lambda g: _top(academic_by_department(g), "department", "pass_rate_pct"),
     "chart_academic_table": lambda g: academic_by_department(g).select(
-        "department", "enrollments", "with_grades", "avg_final_score", "pass_rate_pct").orderBy("department").limit(100),
+        "department", "enrollments", "with_grades", "avg_final_score", "pass_rate_pct").orderBy("department"),
     "chart_pipeline_by_stage": lambda g: _top(sales_pipeline(g), "stage", "total_amount"),
     "chart_conversion_by_source": lambda g: _top(lead_by_source(g), "source", "conversion_pct"),
     "chart_student_vs_external": lambda g: student_vs_external(g).select(
         "customer_type", "customers", "invoices", "invoices_per_customer", "revenue_per_customer")
-    .orderBy("customer_type").limit(100),
+    .orderBy("customer_type"),
 }
