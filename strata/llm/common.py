@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from strata.session import shared_folder, tune
 
 #: Bytes of text handled at a time inside a task; bounds the memory of the arrays made from it.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 2 << 20
 
 
 #: Rows that Spark hands to a task's Python process at a time. Texts are long: fewer rows than Spark's default bound the memory.

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import flat, text_blocks
+from strata.llm.common import flat, give_back, text_blocks
 from strata.llm.words import mix
 
 #: Bytes of a stretch; longer runs without white space are cut into stretches of this length.
@@ -254,7 +254,9 @@ def train(docs: DataFrame, documents_per_label: int = 400, stretches_per_documen
     x = np.frombuffer(b"".join(rows.column("bytes").to_pylist()), np.uint8).reshape(-1, STEPS)
     lengths, target = (np.asarray(rows.column(c).to_numpy()).astype(np.int64) for c in ("length", "label"))
     order = np.lexsort((*x.T, lengths, target))  # the same network whatever order the rows arrive in
-    return fit(x[order], lengths[order], target[order], labels, hidden, rounds)
+    network = fit(x[order], lengths[order], target[order], labels, hidden, rounds)
+    give_back()
+    return network
 
 
 def identify(docs: DataFrame, network: Network) -> DataFrame:
