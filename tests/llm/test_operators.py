@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strata.llm import archive, attribution, chat, forest, jaccard, langid, mixing, packing, repeats, simhash, tokens, words
+from strata.llm import archive, attribution, chat, components, forest, jaccard, langid, mixing, packing, repeats, simhash, tokens, words
 from strata.llm.common import prepared
 
 DOC = "doc_id bigint, text string, lang string, source string, n_chars bigint, score double"
@@ -136,6 +136,31 @@ def test_jaccard_odd_rows(spark):
     assert {r[2] for r in jaccard.jaccard_components(docs_of(spark, [BASE, BASE], [None, 5])).collect()} == {5}
 
 
+def test_classes_take_more_links(spark):
+    """Links that come in two lots: paths, stars and rings, classes that the second lot joins, nodes that are new in it."""
+    rng = random.Random(9)
+    first = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(101, 130)] + [(rng.randrange(200, 400), rng.randrange(200, 400)) for _ in range(120)]
+    second = [(60, 129), (500, 501), (501, 30), (600, 601), (601, 600), (7, 7)] + [(rng.randrange(200, 600), rng.randrange(200, 600)) for _ in range(60)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    def lot(pairs):
+        for a, b in pairs:
+            if a != b:
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+        return {x: find(x) for x in root}
+
+    classes = components.connected(spark.createDataFrame(first, "a bigint, b bigint"))
+    assert {r.node: r.root for r in classes.collect()} == lot(first)
+    more = components.merged(classes, spark.createDataFrame(second, "a bigint, b bigint"))
+    assert {r.node: r.root for r in more.collect()} == lot(second)
+
+
 def test_similar_sets_share_a_signature():
     r = np.random.default_rng(3)
     for n in (3, 4, 5, 9, 17, 40, 133):
