@@ -176,6 +176,8 @@ class SourceSpec:
     columns: tuple[str, ...]
     expected_rows: int
     path: str
+    #: May quoted fields hold line breaks? If not, files are parsed in blocks, side by side.
+    line_breaks: bool = True
 
     @property
     def name(self) -> str:

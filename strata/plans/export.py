@@ -41,7 +41,10 @@ def inventory(frames: Mapping[str, DataFrame], layer: str, kind: Callable[[str],
 
 
 def check_export(spark: SparkSession, frames: Mapping[str, DataFrame], folder: str, layer: str) -> DataFrame:
-    """Rows per object and the checked sums (in units of 0.001), written against source."""
+    """Rows per object and the checked sums (in units of 0.001), written against ``frames``, from which they were written.
+
+    Only counts and one column a sum are computed anew from the frames, so Spark prunes the rest.
+    """
     written = read_layer(spark, folder, list(frames))
     count = F.count(F.lit(1))
     checks = [

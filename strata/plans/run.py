@@ -7,14 +7,16 @@ at most the tasks of the layer at hand. A failed gate stops the run.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.catalog import SourceSpec, load_catalog
-from strata.operators.quality import gate, long_form, union_all
+from strata.operators.quality import Check, gate, long_form, run_checks, union_all
 from strata.plans import validators
 from strata.plans.audits import billing, crm, crossdomain, university
 from strata.plans.export import check_export, export_layer, refresh
@@ -24,7 +26,7 @@ from strata.plans.layer import Layer
 from strata.plans.silver import AS_OF, silver
 from strata.plans.typed import typed
 from strata.session import tune
-from strata.sources.delimited import with_lineage
+from strata.sources.delimited import inventory, with_lineage
 from strata.sources.ledger import LoadResult, current, ingest, read_bronze
 
 AUDIT_AS_OF = "2026-07-21"
@@ -36,9 +38,23 @@ class Summary:
     checks: int
 
 
-def load_all(spark: SparkSession, specs: Sequence[SourceSpec], out: str) -> tuple[LoadResult, ...]:
-    """Sources are independent of each other; each is one distributed job."""
-    return tuple(ingest(spark, spec, f"{out}/bronze", f"{out}/ledger") for spec in specs)
+def load_all(spark: SparkSession, specs: Sequence[SourceSpec], out: str, at_once: int = 4) -> tuple[LoadResult, ...]:
+    """Sources are independent of each other; each is a few distributed jobs, and those of ``at_once`` sources share the cluster."""
+    with ThreadPoolExecutor(at_once) as pool:
+        return tuple(pool.map(inheritable_thread_target(spark)(lambda spec: ingest(spark, spec, f"{out}/bronze", f"{out}/ledger")), specs))
+
+
+def check_sources(spark: SparkSession, specs: Sequence[SourceSpec], raw_dir: str) -> DataFrame:
+    """Declared sources are there. Files that nobody declared are let be; :func:`inventory` lists them."""
+    found = inventory(spark, raw_dir, specs)
+    return run_checks([Check("sources", "declared but missing", found, F.count_if(F.col("declared") & ~F.col("present")), 0)])
+
+
+def pass_gate(results: DataFrame, title: str, out: str) -> int:
+    """Keep the results as a table of the run, also those that then stop it."""
+    path = f"{out}/checks/{title.lower()}"
+    results.write.mode("overwrite").parquet(path)
+    return gate(results.sparkSession.read.parquet(path), title)
 
 
 def bronze_layer(spark: SparkSession, specs: Sequence[SourceSpec], out: str) -> Layer:
@@ -56,25 +72,29 @@ def run(spark: SparkSession, manifest: str, raw_dir: str, out: str, as_of: str =
     """``published``: also hold flag counts, Gold rows and KPI totals against those of the published data."""
     tune(spark)
     specs = load_catalog(spark, manifest, raw_dir)
+    checks = pass_gate(check_sources(spark, specs, raw_dir), "Sources", out)
     loads = load_all(spark, specs, out)
     bronze = bronze_layer(spark, specs, out)
-    checks = gate(check_bronze(spark, specs, bronze, out), "Bronze")
+    state = current(spark, f"{out}/ledger")
+    checks += pass_gate(check_bronze(spark, specs, bronze, out).unionByName(validators.check_ledger(state)), "Bronze", out)
 
-    s = refresh(spark, silver(bronze, as_of), f"{out}/silver")
-    results = [validators.silver_rows(bronze, s), validators.silver_derived(s)]
+    built = silver(bronze, as_of)
+    s = refresh(spark, built, f"{out}/silver")
+    results = [validators.silver_rows(bronze, s), validators.silver_derived(s), check_export(spark, built, f"{out}/silver", "silver")]
     if published:
         results.append(validators.silver_flags(s))
-    checks += gate(union_all(results), "Silver")
+    checks += pass_gate(union_all(results), "Silver", out)
 
-    g = refresh(spark, gold(s, date_span(spark)), f"{out}/gold")
-    results = [validators.gold_integrity(g), validators.gold_consistency(s, g)]
+    built = gold(s, date_span(spark))
+    g = refresh(spark, built, f"{out}/gold")
+    results = [validators.gold_integrity(g), validators.gold_consistency(s, g), check_export(spark, built, f"{out}/gold", "gold")]
     if published:
         results += [validators.gold_rows(g), validators.kpi_totals(g)]
-    checks += gate(union_all(results), "Gold")
+    checks += pass_gate(union_all(results), "Gold", out)
 
     kpis = Layer({name: (lambda f=f: f(g)) for name, f in KPIS.items()})
     export_layer(kpis, f"{out}/gold")
-    checks += gate(check_export(spark, {**g, **kpis}, f"{out}/gold", "gold"), "Export")
+    checks += pass_gate(check_export(spark, kpis, f"{out}/gold", "gold"), "Export", out)
     return Summary(loads, checks)
 
 

@@ -78,6 +78,20 @@ def _count_of(frame: DataFrame) -> Column:
 
 # ------------------------------------------------------------------ Bronze
 
+STATUSES = ("loading", "success", "failed")
+
+
+def check_ledger(state: DataFrame) -> DataFrame:
+    """Rules of the ledger: one state per file version, known states, no negative counts."""
+    version = ("source_domain", "source_table", "source_checksum")
+    twice = state.groupBy(*version).agg(_n().alias("n"))
+    return run_checks([
+        Check("ledger", "versions with several states", twice, F.count_if(F.col("n") > 1), 0),
+        Check("ledger", "unknown states", state, F.count_if(~F.coalesce(F.col("status").isin(*STATUSES), F.lit(False))), 0),
+        Check("ledger", "negative counts", state, F.count_if((F.col("expected_rows") < 0) | (F.col("loaded_rows") < 0)), 0),
+    ])
+
+
 def check_bronze(spec: SourceSpec, source: DataFrame, stored: DataFrame, ledger_state: DataFrame) -> DataFrame:
     """A loaded source against its file and ledger entry. ``source`` and ``stored`` carry row number and hash."""
     content = same_rows(source, stored, ["_source_row_number", "_row_hash"])

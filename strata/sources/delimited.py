@@ -1,9 +1,13 @@
-"""All-text scans of delimited files with header contract, row numbers, row hashes and file fingerprints."""
+"""All-text scans of delimited files with header contract, row numbers, row hashes and file fingerprints.
+
+One way for files of every size. Whether fields may hold line breaks is a property of the source (``SourceSpec.line_breaks``): if
+they may, a file is parsed by one task; if not, files are cut into blocks that are parsed side by side.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import replace
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -12,24 +16,26 @@ from pyspark.sql import types as T
 from strata.catalog import SourceSpec
 from strata.functions.text import row_hash
 
-CSV = {"quote": '"', "escape": '"', "multiLine": True, "encoding": "UTF-8"}
-# Files up to this size are hashed as a whole; larger ones are fingerprinted line by line in parallel.
-WHOLE_FILE = 256 * 1024 * 1024
+CSV = {"quote": '"', "escape": '"', "encoding": "UTF-8"}
 
 
 class SourceError(ValueError):
     """A source does not keep its contract."""
 
 
+def csv_options(spec: SourceSpec) -> dict[str, object]:
+    return {"header": True, "multiLine": spec.line_breaks, **CSV}
+
+
 def header_of(spark: SparkSession, path: str) -> list[str]:
     """The first line of a file, as values. One row reaches the driver."""
-    row = spark.read.options(**CSV).csv(path, header=False).limit(1).collect()
+    row = spark.read.options(multiLine=True, **CSV).csv(path, header=False).limit(1).collect()
     return [value or "" for value in row[0]] if row else []
 
 
 def scan(spark: SparkSession, spec: SourceSpec) -> DataFrame:
-    """All columns as text, one task per file; blank fields come as NULL (see :func:`numbered_scan`)."""
-    return spark.read.schema(spec.schema).options(header=True, enforceSchema=True, **CSV).csv(spec.path)
+    """All columns as text; blank fields come as NULL (see :func:`numbered_scan`)."""
+    return spark.read.schema(spec.schema).options(enforceSchema=True, **csv_options(spec)).csv(spec.path)
 
 
 def _placed(rows: DataFrame) -> DataFrame:
@@ -51,77 +57,99 @@ def number_rows(scanned: DataFrame, name: str = "_source_row_number") -> DataFra
     A file block is read by one task in order, so a row's place in its block follows from the task-local
     row id, and the row counts of the earlier blocks give the offset of its block.
     """
-    placed = _placed(scanned)
+    return place_numbers(_placed(scanned), scanned.columns, name)
+
+
+def place_numbers(placed: DataFrame, columns: Sequence[str], name: str = "_source_row_number") -> DataFrame:
+    """Row numbers of rows that have their file, block and task-local id with them."""
     blocks = placed.groupBy("__file", "__block").agg(F.min("__at").alias("__first"), F.count(F.lit(1)).alias("__skip"))
     number = F.col("__at") - F.col("__first") + F.col("__skip") + 1
     return placed.join(_before(blocks, "__skip"), ["__file", "__block"]).select(
-        *scanned.columns, F.col("__file").alias("_source_file"), number.alias(name))
-
+        *columns, F.col("__file").alias("_source_file"), number.alias(name))
 
-def split_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """(_source_file, record, text) of large files: records cut in parallel, quoted line breaks included.
 
-    A line that is not blank opens a record exactly when an even number of quotes precedes it. The quotes and
-    openings of the earlier blocks come from two short tables with one row per block, so no task reads
-    more than its own blocks.
-    """
-    lines = _placed(spark.read.text(list(paths), lineSep="\n"))
-    lines = lines.withColumn("__quotes", F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit(""))))
-    block = ["__file", "__block"]
-    quotes = _before(lines.groupBy(*block).agg(F.sum("__quotes").alias("__open")), "__open")
-    here = Window.partitionBy(*block).orderBy("__at")
-    earlier = here.rowsBetween(Window.unboundedPreceding, -1)
-    closed = (F.col("__open") + F.coalesce(F.sum("__quotes").over(earlier), F.lit(0))) % 2 == 0
-    # Outside of quotes a blank line is no record and belongs to none.
-    lines = lines.join(quotes, block).withColumn("__closed", closed).where(~F.col("__closed") | ~F.col("value").isin("", "\r"))
-    lines = lines.withColumn("__opens", F.col("__closed").cast("int"))
-    opened = _before(lines.groupBy(*block).agg(F.sum("__opens").alias("__records")), "__records")
-    lines = lines.join(opened, block).withColumn("record", F.col("__records") + F.sum("__opens").over(
-        here.rowsBetween(Window.unboundedPreceding, 0)))
-    # A record's lines, in order; blocks of a file start at growing offsets.
-    whole = F.array_sort(F.collect_list(F.struct("__block", "__at", "value")))
-    text = F.array_join(F.transform(whole, lambda line: line["value"]), "\n")
-    return lines.groupBy(F.col("__file").alias("_source_file"), "record").agg(F.regexp_replace(text, "\r$", "").alias("text"))
-
-
-def numbered_scan(spark: SparkSession, spec: SourceSpec, whole: int = WHOLE_FILE) -> DataFrame:
-    """Source columns with file and 1-based row number. Files above ``whole`` bytes are cut in parallel."""
-    files = spark.read.format("binaryFile").load(spec.path)
-    large = [r.path for r in files.where(F.col("length") > whole).select("path").collect()]  # a list of names
-    if not large:
-        rows = number_rows(scan(spark, spec))
-    else:
-        small = [r.path for r in files.where(F.col("length") <= whole).select("path").collect()]
-        fields = F.from_csv("text", spec.schema.simpleString()[7:-1].replace(":", " "), {
-            "quote": '"', "escape": '"', "multiLine": "true"}).alias("f")
-        order = F.col("record") - 1  # the first record is the header
-        rows = split_records(spark, large).where("record > 1").select("_source_file", order.alias("_source_row_number"), fields).select(
-            "f.*", "_source_file", "_source_row_number")
-        if small:
-            rows = rows.unionByName(number_rows(scan(spark, replace(spec, path=small))))
+def numbered_scan(spark: SparkSession, spec: SourceSpec) -> DataFrame:
+    """Source columns with file and 1-based row number."""
+    rows = number_rows(scan(spark, spec))
     return rows.na.fill("", list(spec.columns)).withColumn("_source_row_number", F.col("_source_row_number").cast("bigint"))
 
 
-def with_lineage(spark: SparkSession, spec: SourceSpec, batch: str, whole: int = WHOLE_FILE) -> DataFrame:
+def with_lineage(spark: SparkSession, spec: SourceSpec, batch: str) -> DataFrame:
     """Source columns with file, domain, row number, row hash, batch and load time."""
-    return numbered_scan(spark, spec, whole).select(
+    return numbered_scan(spark, spec).select(
         *spec.columns, F.lit(batch).alias("_batch_id"), "_source_file", F.lit(spec.domain).alias("_source_domain"),
         "_source_row_number", row_hash(spec.columns).alias("_row_hash"), F.current_timestamp().alias("_ingested_at"))
 
 
-def check_header(spark: SparkSession, spec: SourceSpec) -> None:
-    header = header_of(spark, spec.path)
-    if not header:
+def file_facts(spark: SparkSession, path: str, columns: Sequence[str] = ()) -> DataFrame:
+    """(file, bytes, checksum, header_ok) per file that is not empty, in one pass over blocks read side by side.
+
+    The checksum stands for all bytes of the file in their order: size, number of lines (ended by a line feed alone, so a carriage
+    return counts as content), and for both halves of the lines' hashes their sum and their sum weighted by line number. It
+    does not depend on how a file is cut into blocks: weights within a block are moved by the lines before the block.
+    ``header_ok``: the first line names ``columns``, quoted or not.
+    """
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # within the task
+    named = F.replace(F.regexp_replace("value", "^\ufeff|\r$", ""), F.lit('"'), F.lit("")) == F.lit(",".join(columns))
+    lines = spark.read.text(path, lineSep="\n").select(
+        F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_size").alias("bytes"),
+        F.col("_metadata.file_block_start").alias("__block"), place.alias("__at"), F.xxhash64("value").alias("__hash"),
+        F.when(F.col("_metadata.file_block_start") == 0, named).alias("__named"))
+    halves = {"lo": F.col("__hash").bitwiseAND(F.lit((1 << 32) - 1)), "hi": F.shiftrightunsigned("__hash", 32)}
+    whole = {k: v.cast("decimal(10,0)") for k, v in halves.items()}
+    blocks = lines.groupBy("__file", "__block").agg(
+        F.first("bytes").alias("bytes"), F.count(F.lit(1)).alias("n"), F.count(F.lit(1)).alias("__skip"), F.min("__at").alias("__first"),
+        F.min_by("__named", "__at").alias("__named"), *[F.sum(v).alias(f"s_{k}") for k, v in whole.items()],
+        *[F.sum(v * F.col("__at").cast("decimal(10,0)")).alias(f"w_{k}") for k, v in whole.items()])
+    moved = (F.col("__skip") - F.col("__first")).cast("decimal(16,0)")
+    files = _before(blocks, "__skip").groupBy(F.col("__file").alias("file")).agg(
+        F.first("bytes").alias("bytes"), F.sum("n").alias("n"), F.bool_or((F.col("__block") == 0) & F.col("__named")).alias("header_ok"),
+        *[F.sum(f"s_{k}").alias(f"s_{k}") for k in whole],
+        *[F.sum(F.col(f"w_{k}") + moved * F.col(f"s_{k}")).alias(f"w_{k}") for k in whole])
+    return files.select("file", "bytes", F.sha2(F.concat_ws(":", "bytes", "n", "s_lo", "s_hi", "w_lo", "w_hi"), 256).alias("checksum"),
+                        F.coalesce("header_ok", F.lit(False)).alias("header_ok"))
+
+
+@dataclass(frozen=True)
+class Contents:
+    """What the files of a source are: how many, one of those with another header, one checksum for all."""
+
+    files: int
+    other_header: str | None
+    checksum: str
+
+
+def examine(spark: SparkSession, path: str, columns: Sequence[str] = ()) -> Contents:
+    """One row reaches the driver. The checksum of several files is an order-free digest over their names and checksums."""
+    name = F.element_at(F.split("file", "/"), -1)
+    row = file_facts(spark, path, columns).agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.when(~F.col("header_ok"), F.col("file"))).alias("other"), F.max("checksum").alias("only"),
+        F.sum(F.xxhash64(name, "checksum").cast("decimal(38,0)")).alias("h"),
+    ).select("n", "other", F.when(F.col("n") == 1, F.col("only")).otherwise(F.sha2(F.concat_ws(":", "n", "h"), 256)).alias("checksum")).first()
+    return Contents(row["n"], row["other"], row["checksum"])
+
+
+def fingerprint(spark: SparkSession, path: str) -> str:
+    return examine(spark, path).checksum
+
+
+def check_contents(spark: SparkSession, spec: SourceSpec) -> Contents:
+    """Contents of a source whose files all begin with the declared header. Files without a byte hold no rows and are not seen."""
+    found = examine(spark, spec.path, spec.columns)
+    if not found.files:
         raise SourceError(f"empty file: {spec.path}")
-    if tuple(header) != spec.columns:
-        raise SourceError(f"unexpected columns in {spec.path}: expected {list(spec.columns)}, got {header}")
+    if found.other_header:
+        got = header_of(spark, found.other_header)
+        raise SourceError(f"unexpected columns in {found.other_header}: expected {list(spec.columns)}, got {got}")
+    return found
 
 
 def check_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     """One row per contract rule: check, ok, detail."""
-    header = header_of(spark, spec.path)
+    found = examine(spark, spec.path, spec.columns)
+    header = header_of(spark, found.other_header or spec.path)
     rows = numbered_scan(spark, spec).agg(F.count(F.lit(1)).alias("n"))
-    header_ok = tuple(header) == spec.columns
+    header_ok = found.files > 0 and found.other_header is None
 
     def rule(check: str, ok: Column, detail: Column) -> Column:
         return F.struct(F.lit(check).alias("check"), ok.alias("ok"), detail.alias("detail"))
@@ -132,30 +160,6 @@ def check_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     )))
 
 
-def file_checksums(spark: SparkSession, path: str, whole: int = WHOLE_FILE) -> DataFrame:
-    """(file, bytes, checksum) per file: SHA-256 of the bytes, or of the numbered lines of a large file."""
-    files = spark.read.format("binaryFile").load(path)
-    small = files.where(F.col("length") <= whole).select(
-        F.col("path").alias("file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("checksum"))
-    large = [r.path for r in files.where(F.col("length") > whole).select("path").collect()]  # a list of names
-    if not large:
-        return small
-    lines = number_rows(spark.read.text(large), "__no").groupBy(F.col("_source_file").alias("file")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("__no", "value").cast("decimal(38,0)")).alias("h"),
-        F.sum(F.octet_length("value") + 1).alias("bytes"))
-    return small.unionByName(lines.select("file", "bytes", F.sha2(F.concat_ws(":", "n", "h"), 256).alias("checksum")))
-
-
-def fingerprint(spark: SparkSession, path: str, whole: int = WHOLE_FILE) -> str:
-    """One checksum for a source: that of its single file, or an order-free digest over its files."""
-    name = F.element_at(F.split("file", "/"), -1)
-    row = file_checksums(spark, path, whole).agg(
-        F.count(F.lit(1)).alias("n"), F.max("checksum").alias("only"),
-        F.sum(F.xxhash64(name, "checksum").cast("decimal(38,0)")).alias("h"),
-    ).select(F.when(F.col("n") == 1, F.col("only")).otherwise(F.sha2(F.concat_ws(":", "n", "h"), 256))).first()
-    return row[0]
-
-
 def inventory(spark: SparkSession, raw_dir: str, specs: Sequence[SourceSpec]) -> DataFrame:
     """Declared sources against the files that are there: source, present, declared."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(

@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.catalog import SourceSpec
-from strata.sources.delimited import SourceError, check_header, fingerprint, with_lineage
+from strata.sources.delimited import SourceError, check_contents, with_lineage
 
 ERROR_LENGTH = 4000
+#: Batches of streamed arrivals begin with this; they add to the last load of a source instead of taking its place.
+ARRIVAL = "arrival-"
 EVENT = T.StructType([
     T.StructField("batch_id", T.StringType()), T.StructField("source_domain", T.StringType()),
     T.StructField("source_table", T.StringType()), T.StructField("target_table", T.StringType()),
@@ -100,12 +102,19 @@ def _stored_rows(spark: SparkSession, path: str) -> int:
 
 
 def read_bronze(spark: SparkSession, bronze: str, ledger: str, spec: SourceSpec) -> DataFrame:
-    """Rows of the newest successful batch of a source; only its partition is read."""
-    row = latest_batches(spark, ledger).where(
-        (F.col("source_domain") == spec.domain) & (F.col("source_table") == spec.table)).first()
-    if row is None:
+    """Rows of the newest successful load of a source and of the arrivals after it; only their partitions are read."""
+    mine = current(spark, ledger).where(
+        (F.col("source_domain") == spec.domain) & (F.col("source_table") == spec.table) & (F.col("status") == "success"))
+    arrived = F.col("batch_id").startswith(ARRIVAL)
+    row = mine.agg(F.max_by("batch_id", F.when(~arrived, F.col("completed_at"))).alias("full"),
+                   F.max(F.when(~arrived, F.col("completed_at"))).alias("since"), F.count_if(arrived).alias("arrivals"),
+                   F.count(F.lit(1)).alias("n")).first()
+    if not row["n"]:
         raise SourceError(f"no successful load of {spec.name}")
-    return spark.read.parquet(batch_path(bronze, spec, row.batch_id)).withColumn("_batch_id", F.lit(row.batch_id))
+    if not row["arrivals"]:
+        return spark.read.parquet(batch_path(bronze, spec, row["full"])).withColumn("_batch_id", F.lit(row["full"]))
+    later = mine.where((arrived & (F.col("completed_at") > F.lit(row["since"] or 0))) | F.col("batch_id").eqNullSafe(F.lit(row["full"])))
+    return spark.read.parquet(f"{bronze}/{spec.name}").join(later.select(F.col("batch_id").alias("_batch_id")), "_batch_id", "left_semi")
 
 
 def ingest(spark: SparkSession, spec: SourceSpec, bronze: str, ledger: str) -> LoadResult:
@@ -114,8 +123,7 @@ def ingest(spark: SparkSession, spec: SourceSpec, bronze: str, ledger: str) -> L
     The same content again is skipped when its rows are all there. An incomplete batch keeps its id, and
     its folder is replaced. A new content becomes an additional batch.
     """
-    check_header(spark, spec)
-    checksum = fingerprint(spark, spec.path)
+    checksum = check_contents(spark, spec).checksum
     known = current(spark, ledger).where(
         (F.col("source_domain") == spec.domain) & (F.col("source_table") == spec.table)
         & (F.col("source_checksum") == checksum)).first()

@@ -7,12 +7,15 @@ import json
 from dataclasses import replace
 
 import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
 
 from strata.catalog import SOURCES, SourceSpec, load_catalog
-from strata.operators.quality import gate
+from strata.operators.quality import GateError, gate
+from strata.plans.export import check_export, export_layer
 from strata.plans.run import bronze_layer, run, run_audit
-from strata.plans.validators import check_bronze
-from strata.sources.delimited import SourceError, check_source, file_checksums, fingerprint, inventory, with_lineage
+from strata.plans.validators import check_bronze, check_ledger
+from strata.sources.delimited import SourceError, check_source, file_facts, fingerprint, inventory, with_lineage
 from strata.sources.ledger import Batch, append, batch_listing, current, events, ingest, latest_batches, read_bronze
 from strata.streaming.arrivals import load_arrivals
 
@@ -38,45 +41,72 @@ def test_scan_lineage(spark, spec):
         assert row._source_domain == "crm" and row._source_file.endswith("things.csv")
 
 
-def test_large_files_are_cut_in_parallel(spark, tmp_path):
-    """Many small blocks, quoted line breaks across them, doubled quotes, blank last line: as one parser reads it."""
-    import csv
-    import io
-    import random
-
-    rng = random.Random(4)
-    rows = []
-    for i in range(3000):
-        note = rng.choice(["", "plain", 'say "x"', "a,b", "two\nlines", 'q"\n"\nq', "long " * 40 + "\n" + "é" * 30])
-        rows.append([str(i), note, rng.choice(["", "end"])])
-    buffer = io.StringIO()
-    writer = csv.writer(buffer, lineterminator="\n")
-    writer.writerows([["n", "note", "tail"], *rows])
-    path = tmp_path / "many.csv"
-    text = buffer.getvalue().replace("\n1500,", "\n\n1500,")  # a blank line between records
-    path.write_text(text + "\n", encoding="utf-8")
-    spec = SourceSpec("x", "many", ("n", "note", "tail"), 3000, str(path))
+@pytest.fixture
+def small_blocks(spark):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
-    try:
-        assert spark.read.text(str(path)).rdd.getNumPartitions() > 5
-        got = with_lineage(spark, spec, "b", whole=1).orderBy("_source_row_number").collect()
-        one = with_lineage(spark, spec, "b").orderBy("_source_row_number").collect()
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    assert [[r.n, r.note, r.tail] for r in got] == rows
-    assert [r._source_row_number for r in got] == list(range(1, 3001))
+    yield
+    spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_files_without_line_breaks_are_cut(spark, tmp_path, small_blocks):
+    """Many small blocks, stray quotes, doubled quotes, a blank line: the rows one parser reads, numbered as in the file."""
+    notes = ["", "plain", '"say ""x"""', '"a,b"', '5" pipe', "long " * 40 + "é" * 30]
+    lines = [f"{i},{notes[i % 6]},{'end' if i % 2 else ''}" for i in range(3000)]
+    path = tmp_path / "many.csv"
+    path.write_text("\n".join(["n,note,tail", *lines[:1500], "", *lines[1500:], ""]), encoding="utf-8")
+    spec = SourceSpec("x", "many", ("n", "note", "tail"), 3000, str(path), line_breaks=False)
+    cut = with_lineage(spark, spec, "b")
+    assert cut.rdd.getNumPartitions() > 1 and spark.read.text(str(path)).rdd.getNumPartitions() > 5
+    got = cut.orderBy("_source_row_number").collect()
+    assert [(r._source_row_number, r.n) for r in got] == [(i + 1, str(i)) for i in range(3000)]
+    assert {r.note for r in got} == {"", "plain", 'say "x"', "a,b", '5" pipe', "long " * 40 + "é" * 30}
+    one = with_lineage(spark, replace(spec, line_breaks=True), "b").orderBy("_source_row_number").collect()
     assert [(r._source_row_number, r._row_hash) for r in got] == [(r._source_row_number, r._row_hash) for r in one]
 
 
-def test_checksums(spark, spec, tmp_path):
-    whole = file_checksums(spark, spec.path).first()
-    with open(spec.path, "rb") as file:
-        assert whole.checksum == hashlib.sha256(file.read()).hexdigest() == fingerprint(spark, spec.path)
-    by_lines = fingerprint(spark, spec.path, whole=1)
-    assert len(by_lines) == 64 and by_lines != whole.checksum
-    (tmp_path / "swapped.csv").write_text(TEXT.replace("1,", "9,"), encoding="utf-8")
-    assert fingerprint(spark, str(tmp_path / "swapped.csv"), whole=1) != by_lines
+def test_checksum_does_not_depend_on_blocks(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text("n,note\n" + "".join(f"{i},{'x' * (i % 50)}\n" for i in range(3000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    seen = set()
+    try:
+        for size in ("4096", "20000", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            seen.add(fingerprint(spark, str(path)))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert len(seen) == 1
+
+
+def test_checksum_changes_with_every_byte(spark, tmp_path):
+    texts = ['id,note\n1,"a\nb"\n2,c\n', 'id,note\n1,"a\r\nb"\n2,c\n', 'id,note\r\n1,"a\nb"\n2,c\n', 'id,note\n2,c\n1,"a\nb"\n', 'id,note\n1,"a\nb"\n2,c',
+             'id,note\n1,"a\nb"\n2,c\n\n', 'id,note\n1,"a\nB"\n2,c\n', '\ufeffid,note\n1,"a\nb"\n2,c\n']
+    folder = tmp_path / "versions"
+    folder.mkdir()
+    for i, text in enumerate(texts):
+        (folder / f"{i}.csv").write_bytes(text.encode())
+    rows = file_facts(spark, str(folder), ("id", "note")).collect()
+    assert len({r.checksum for r in rows}) == len(texts) == len(rows) and all(r.header_ok for r in rows)
+
+
+def test_every_header_counts(spark, tmp_path):
+    """A folder in which one file has its columns swapped is not loaded; a file without a byte has no rows, alone it is an error."""
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    (folder / "a.csv").write_text("id,note\n1,x\n")
+    (folder / "b.csv").write_text('"id","note"\r\n2,y\r\n')
+    spec = SourceSpec("x", "parts", ("id", "note"), 2, str(folder))
+    place = str(tmp_path / "bronze"), str(tmp_path / "ledger")
+    assert ingest(spark, spec, *place).status == "loaded" and ingest(spark, spec, *place).status == "skipped"
+    assert sorted((r.id, r.note, r._source_row_number) for r in read_bronze(spark, *place, spec).collect()) == [("1", "x", 1), ("2", "y", 1)]
+    (folder / "c.csv").write_text("note,id\nz,3\n")
+    with pytest.raises(SourceError, match="unexpected columns in .*c.csv"):
+        ingest(spark, replace(spec, expected_rows=3), *place)
+    (folder / "c.csv").write_text("")
+    assert ingest(spark, spec, *place).status == "skipped"
+    with pytest.raises(SourceError, match="empty file: .*c.csv"):
+        ingest(spark, replace(spec, path=str(folder / "c.csv")), *place)
 
 
 def test_contract(spark, spec):
@@ -130,15 +160,26 @@ def test_arrivals_load_each_file_once(spark, spec, tmp_path):
     landing = tmp_path / "landing"
     landing.mkdir()
     (landing / "a.csv").write_text(TEXT, encoding="utf-8")
-    bronze, checkpoint = str(tmp_path / "bronze"), str(tmp_path / "cp")
+    bronze, ledger, checkpoint = str(tmp_path / "bronze"), str(tmp_path / "ledger"), str(tmp_path / "cp")
 
     def load():
-        load_arrivals(spark, spec, str(landing), bronze, checkpoint).awaitTermination()
-        return spark.read.parquet(f"{bronze}/{spec.name}").count()
+        load_arrivals(spark, spec, str(landing), bronze, ledger, checkpoint).awaitTermination()
+        return sorted((r.id, r._source_row_number) for r in read_bronze(spark, bronze, ledger, spec).collect())
 
-    assert (load(), load()) == (3, 3)
+    once = [("1", 1), ("2", 2), ("3", 3)]
+    assert load() == once and load() == once
     (landing / "b.csv").write_text(TEXT, encoding="utf-8")
-    assert load() == 6
+    assert load() == sorted(once * 2)
+    assert [(r.status, r.loaded_rows) for r in current(spark, ledger).collect()] == [("success", 3)] * 2
+
+    ingest(spark, spec, bronze, ledger)  # a load takes the place of what arrived before it
+    assert read_bronze(spark, bronze, ledger, spec).count() == 3
+    (landing / "c.csv").write_text(TEXT, encoding="utf-8")
+    assert load() == sorted(once * 2)
+    (landing / "d.csv").write_text(TEXT.replace("id,name,note", "id,note,name"), encoding="utf-8")
+    with pytest.raises(StreamingQueryException):
+        load()
+    assert read_bronze(spark, bronze, ledger, spec).count() == 6
 
 
 def tiny_sources(folder):
@@ -177,6 +218,21 @@ def tiny_sources(folder):
     return str(manifest)
 
 
+def test_damaged_export_and_ledger_are_seen(spark, tmp_path):
+    folder = str(tmp_path / "out")
+    frames = {"fact_invoice": spark.createDataFrame([(1, "10.00"), (2, "5.50")], "id int, invoiced_amount string").withColumn(
+        "invoiced_amount", F.col("invoiced_amount").cast("decimal(12,2)"))}
+    export_layer(frames, folder)
+    assert gate(check_export(spark, frames, folder, "gold"), "x") == 2
+    export_layer({"fact_invoice": frames["fact_invoice"].where("id = 1")}, folder)
+    with pytest.raises(GateError, match="2 of 2 checks"):
+        gate(check_export(spark, frames, folder, "gold"), "x")
+
+    bad = [("d", "t", "c1", "success", 1, 1), ("d", "t", "c1", "failed", 1, 0), ("d", "t", "c2", "odd", 1, -1), ("d", "t", "c3", None, 1, 1)]
+    state = spark.createDataFrame(bad, "source_domain string, source_table string, source_checksum string, status string, expected_rows int, loaded_rows int")
+    assert {r.label: r.got for r in check_ledger(state).collect()} == {"versions with several states": 1, "unknown states": 2, "negative counts": 1}
+
+
 def test_whole_run_with_gates(spark, tmp_path):
     raw = tmp_path / "raw"
     raw.mkdir()
@@ -184,8 +240,10 @@ def test_whole_run_with_gates(spark, tmp_path):
     out = str(tmp_path / "out")
     done = run(spark, manifest, str(raw), out)
     assert {r.status for r in done.loads} == {"loaded"} and len(done.loads) == 18
-    # 18 sources x 6, 18 row counts + 5 derived, 5 references + 4 consistency, 14 tables + 10 KPIs + 2 sums
-    assert done.checks == 18 * 6 + 18 + 5 + 5 + 4 + 14 + 10 + 2
+    # inventory, 18 sources x 6 + 3 of the ledger, 18 row counts + 5 derived + 19 tables + 1 sum, 5 references + 4 consistency + 14 tables + 2 sums, 10 KPIs
+    assert done.checks == 1 + 18 * 6 + 3 + 18 + 5 + 19 + 1 + 5 + 4 + 14 + 2 + 10
+    kept = [spark.read.parquet(f"{out}/checks/{gate}") for gate in ("sources", "bronze", "silver", "gold", "export")]
+    assert sum(k.count() for k in kept) == done.checks and all(k.where("not ok").isEmpty() for k in kept)
     again = run(spark, manifest, str(raw), out)
     assert {r.status for r in again.loads} == {"skipped"} and again.checks == done.checks
     assert spark.read.parquet(f"{out}/gold/fact_enrollment").first().enrollment_id == "E1"
