@@ -59,14 +59,15 @@ class LoadResult:
 
 
 def append(spark: SparkSession, ledger: str, event: Batch) -> None:
+    """Every event is a folder of its own, so that loads side by side do not clear each other's unfinished files."""
     event = replace(event, event_ns=time.time_ns())
     row = tuple(asdict(event)[f.name] for f in EVENT.fields)
-    spark.createDataFrame([row], EVENT).coalesce(1).write.mode("append").parquet(ledger)
+    spark.createDataFrame([row], EVENT).coalesce(1).write.parquet(f"{ledger}/{event.event_ns}-{uuid.uuid4()}")
 
 
 def events(spark: SparkSession, ledger: str) -> DataFrame:
     try:
-        return spark.read.schema(EVENT).parquet(ledger)
+        return spark.read.schema(EVENT).option("recursiveFileLookup", True).parquet(ledger)
     except AnalysisException:  # no load has been recorded yet
         return spark.createDataFrame([], EVENT)
 
