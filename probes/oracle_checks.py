@@ -265,3 +265,8 @@ ORACLE["export_parity"] = on_kpi("\nunion all\n".join(
 ORACLE["ingest_twice"] = """
 select 1 as attempt, 'loaded' as status, count(*) as row_count, 0 as differing_rows from customer
 union all select 2, 'skipped', count(*), 0 from customer"""
+
+ORACLE["ledger_listing"] = """
+select 'billing' as source_domain, 'customers' as source_table, count(*) as expected_rows, count(*) as loaded_rows, 'success' as status,
+       12 as prefix_length, 0 as broken_rules from customer
+union all select 'billing', 'products', count(*), count(*), 'success', 12, 0 from part"""

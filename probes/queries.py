@@ -25,7 +25,7 @@ from strata.plans.proposed import PROPOSED
 from strata.plans.silver import silver
 from strata.plans.typed import issues, typed
 from strata.session import shared_folder
-from strata.sources.ledger import ingest, read_bronze
+from strata.sources.ledger import batch_listing, current, ingest, read_bronze
 
 
 class Context:
@@ -256,6 +256,20 @@ def export_parity(c: Context) -> DataFrame:
     return export.check_export(c.spark, written, folder, "gold")
 
 
+@query("ledger_listing")
+def ledger_listing(c: Context) -> DataFrame:
+    """Two sources loaded from folders of files parsed in blocks; the ledger as analysts list it, with the number of rules it breaks."""
+    folder = f"{shared_folder(c.spark)}/ledger-{uuid.uuid4()}"
+    for table in ("customers", "products"):
+        source = c.bronze[f"billing_{table}"]
+        source.write.csv(f"{folder}/raw/{table}", header=True, emptyValue="", escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        spec = SourceSpec("billing", table, tuple(source.columns), source.count(), f"{folder}/raw/{table}", line_breaks=False)
+        ingest(c.spark, spec, f"{folder}/bronze", f"{folder}/ledger")
+    broken = validators.check_ledger(current(c.spark, f"{folder}/ledger")).agg(F.count_if(~F.col("ok"))).scalar()
+    return batch_listing(c.spark, f"{folder}/ledger").select(
+        "source_domain", "source_table", "expected_rows", "loaded_rows", "status", F.length("checksum_prefix").alias("prefix_length"), broken.alias("broken_rules"))
+
+
 @query("ingest_twice")
 def ingest_twice(c: Context) -> DataFrame:
     """The customer source written as delimited text, loaded twice and compared with its own rows."""
