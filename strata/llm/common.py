@@ -19,10 +19,13 @@ BLOCK_BYTES = 2 << 20
 
 #: Rows that Spark hands to a task's Python process at a time. Texts are long: fewer rows than Spark's default bound the memory.
 ROWS_PER_BATCH = 2000
+#: Bytes of such a hand-over at most (a longer row goes alone); both sides keep several of them outside the executor's heap.
+BYTES_PER_BATCH = 4 << 20
 
 
 def prepared(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_PER_BATCH))
     return tune(spark)
 
 
