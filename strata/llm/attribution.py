@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import flat, text_blocks
+from strata.llm.common import flat, mapped, text_blocks
 from strata.llm.tokens import byte_lengths, default_tokenizer, encode
 
 SCHEMA = ("doc_id bigint, section int, field string, start_char bigint, n_chars bigint, n_tokens bigint, n_crossing bigint, "
@@ -105,4 +105,4 @@ def attribute_tokens(docs: DataFrame, fields: Sequence[str] = ("source", "lang",
                  pa.array(chars, pa.int64()), pa.array(n, pa.int64()), pa.array(crossing, pa.int64()), pa.array(shares, pa.float64())],
                 ["doc_id", "section", "field", "start_char", "n_chars", "n_tokens", "n_crossing", "token_share"])
 
-    return rows.mapInArrow(run, SCHEMA)
+    return mapped(rows, run, SCHEMA)

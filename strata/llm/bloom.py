@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.common import mapped
 from strata.llm.words import mix
 
 CHUNKS = 64
@@ -52,7 +53,8 @@ def build(keys: DataFrame, column: str, count: int) -> Bloom:
         yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.int32()), pa.array([f.tobytes() for f in own.values()], pa.binary())], ["chunk", "bits"])
 
     dealt = keys.select(F.col(column).alias("key"))
-    rows = dealt.mapInArrow(_with_chunk, "key bigint, chunk int").repartition(CHUNKS, "chunk").select("key").mapInArrow(run, "chunk int, bits binary").collect()
+    by_chunk = mapped(dealt, _with_chunk, "key bigint, chunk int").repartition(CHUNKS, "chunk").select("key")
+    rows = mapped(by_chunk, run, "chunk int, bits binary").collect()
     out = np.zeros((CHUNKS, bits // 8), np.uint8)
     for r in rows:
         out[r["chunk"]] |= np.frombuffer(r["bits"], np.uint8)

@@ -5,11 +5,12 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from strata.session import shared_folder, tune
 
@@ -71,14 +72,23 @@ def slices(offsets: np.ndarray, most: int = BLOCK_BYTES) -> Iterator[tuple[int,
 
 def text_blocks(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
     """Batches cut to blocks of whole rows: (rows, bytes, offsets, is_null) of the text column."""
-    try:
-        for batch in batches:
-            if batch.num_rows:
-                data, offsets, nulls = utf8(batch.column(text))
-                for a, b in slices(offsets):
-                    yield batch.slice(a, b - a), data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], nulls[a:b]
-    finally:
-        give_back()
+    for batch in batches:
+        if batch.num_rows:
+            data, offsets, nulls = utf8(batch.column(text))
+            for a, b in slices(offsets):
+                yield batch.slice(a, b - a), data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], nulls[a:b]
+
+
+def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` whose tasks return their memory when ``run`` is through and its arrays are gone."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(whole, schema)
 
 
 def give_back() -> None:

@@ -283,6 +283,7 @@ def _classifier(labels: list[str], weights: dict[str, np.ndarray], hidden: int):
             p = score_block(network, data, offsets)
             best.append(p.argmax(axis=1))
             scores.append(np.minimum(1.0, p.max(axis=1)))
+        give_back()
         names = pa.array(labels, pa.string()).take(pa.array(np.concatenate(best)))
         return pa.StructArray.from_arrays([names, pa.array(np.concatenate(scores), pa.float64())], ["lang_pred", "score"])
 

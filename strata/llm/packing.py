@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import text_blocks
+from strata.llm.common import mapped, text_blocks
 from strata.llm.tokens import default_tokenizer, encode
 
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
@@ -178,8 +178,8 @@ def pack(docs: DataFrame, capacity: int = 1024, tokenizer: str | None = None, en
     groups = max(1, -(-total // group_documents))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"),
                        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)).alias("group"))
-    parts = rows.mapInArrow(_tokenise(path, end_id, capacity),
-                            "group bigint, doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, ids binary")
+    parts = mapped(rows, _tokenise(path, end_id, capacity),
+                   "group bigint, doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, ids binary")
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
     def one(table: pa.Table) -> pa.Table:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import bloom
-from strata.llm.common import flat, staged, text_blocks
+from strata.llm.common import flat, mapped, staged, text_blocks
 from strata.llm.words import mix
 
 LENGTH = 400
@@ -126,7 +126,7 @@ def count_cores(docs: DataFrame) -> DataFrame:
             if len(core):
                 yield pa.RecordBatch.from_arrays([_signed(core[:, 0]), _signed(cover)], ["core", "cover"])
 
-    rows = _texts(docs).where(F.octet_length("text") >= LENGTH).mapInArrow(run, "core bigint, cover bigint")
+    rows = mapped(_texts(docs).where(F.octet_length("text") >= LENGTH), run, "core bigint, cover bigint")
     return rows.groupBy("core").agg(F.count(F.lit(1)).alias("n"), F.min("cover").alias("c1"), F.max("cover").alias("c2")).where("n > 1").select(
         "core", (F.col("c1") != F.col("c2")).alias("mixed"))
 
@@ -164,7 +164,7 @@ def occurrences(docs: DataFrame, same: bloom.Bloom, mixed: bloom.Bloom) -> DataF
                  pa.array(name[:, 1]), pa.array(v0 - offsets[p["doc"]]), pa.array(left, pa.binary()), pa.array(right, pa.binary())],
                 ["core", "core2", "cover", "shape", "hi", "lo", "first", "left", "right"])
 
-    return _texts(docs).where(F.octet_length("text") >= LENGTH).mapInArrow(run, _OCCURRENCE)
+    return mapped(_texts(docs).where(F.octet_length("text") >= LENGTH), run, _OCCURRENCE)
 
 
 def suffix_ranks(group: np.ndarray, strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -256,7 +256,7 @@ def _solve(members: DataFrame) -> DataFrame:
             yield out
 
     ordered = members.select(*names).repartition("core", "core2").sortWithinPartitions("core", "core2", "cover", "shape")
-    return ordered.mapInArrow(run, _FLAGGED)
+    return mapped(ordered, run, _FLAGGED)
 
 
 def _count_strings(members: DataFrame) -> DataFrame:
@@ -276,7 +276,7 @@ def _count_strings(members: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(xs, pa.int32()), pa.array(names, pa.binary())],
                                              ["core", "core2", "cover", "shape", "n", "x", "name"])
 
-    strings = members.mapInArrow(run, "core bigint, core2 bigint, cover bigint, shape int, n bigint, x int, name binary")
+    strings = mapped(members, run, "core bigint, core2 bigint, cover bigint, shape int, n bigint, x int, name binary")
     often = strings.groupBy("core", "core2", "x", "name").agg(F.sum("n").alias("times")).where("times > 1").drop("times")
     return strings.join(often, ["core", "core2", "x", "name"]).select("core", "core2", "cover", "shape", F.col("x").alias("xa"), F.col("x").alias("xb"))
 
@@ -339,7 +339,7 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False, crowd: int = CROWD)
                                              ["row", "text", "none", "hi", "lo", "n_bytes", "sha"])
 
     row_type = rows.schema["row"].dataType.simpleString()
-    named = rows.mapInArrow(name, f"row {row_type}, text string, none boolean, hi bigint, lo bigint, n_bytes bigint, sha string")
+    named = mapped(rows, name, f"row {row_type}, text string, none boolean, hi bigint, lo bigint, n_bytes bigint, sha string")
     joined = named.join(spans, ["hi", "lo"], "left").select("row", "text", "none", "n_bytes", "sha", "starts.first", "starts.last")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -373,7 +373,7 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False, crowd: int = CROWD)
                 fields.append("text")
             yield pa.RecordBatch.from_arrays(columns, fields)
 
-    done = joined.mapInArrow(cut, f"row {row_type}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + (", text string" if keep_text else ""))
+    done = mapped(joined, cut, f"row {row_type}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + (", text string" if keep_text else ""))
     if keep_text:
         return done.select(*[F.col("row")[c].alias(c) if c != "text" else F.col("text") for c in docs.columns], "n_removed")
     return done.select(F.col("row")["doc_id"].cast("bigint").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import text_blocks
+from strata.llm.common import mapped, text_blocks
 from strata.llm.words import shingles, words_by_text
 
 BITS = 64
@@ -58,8 +58,8 @@ def fingerprint_texts(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array(fingerprints(data, offsets, width).view(np.int64))],
                                              ["doc_id", "fingerprint"])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")).mapInArrow(
-        run, "doc_id bigint, fingerprint bigint")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    return mapped(texts, run, "doc_id bigint, fingerprint bigint")
 
 
 def block_plan(radius: int, rows: int) -> tuple[list[int], int]:
@@ -176,7 +176,7 @@ def edited_neighbours(docs: DataFrame, bucket_rows: int = 8192, width: int = WID
             if done:
                 yield flush(done)
 
-    return ordered.select("id", "none", "text", "bucket", "border").mapInArrow(run, _PAIRED)
+    return mapped(ordered.select("id", "none", "text", "bucket", "border"), run, _PAIRED)
 
 
 def hexadecimal(fingerprint: Column) -> Column:
