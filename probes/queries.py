@@ -224,7 +224,7 @@ def stat_quantiles_by_priority(c: Context) -> DataFrame:
 @query("ranks_by_value")
 def ranks_by_value(c: Context) -> DataFrame:
     """Average rank of every distinct line price, through the bucketed path that large tables take."""
-    return ValueCounts(c.tables["lineitem"], "l_extendedprice", small=100, buckets=64).ranked()
+    return ValueCounts(c.tables["lineitem"], "l_extendedprice").ranked()
 
 
 @query("ingest_row_hash")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -10,20 +11,17 @@ from pyspark.sql import functions as F
 
 from strata.session import stage
 
-# Up to this many distinct values one buffer or one sorted partition holds them without harm.
-SMALL = 200_000
-BUCKETS = 2048
-
 
 class ValueCounts:
     """Staged distinct values with their counts, cut into buckets of neighbouring values.
 
-    The cut points are plain numbers taken once to the driver (at most BUCKETS of them), so recomputing
-    a lost task always assigns a value to the same bucket. They only steer the work; results are exact.
+    There are as many buckets as a bucket has values, the square root of the distinct values, so both grow slowly; ``buckets``
+    sets another number. The cut points are plain numbers taken once to the driver, so recomputing a lost task always
+    assigns a value to the same bucket. They only steer the work; results are exact for every number of buckets.
     """
 
     def __init__(self, df: DataFrame, value: str, by: Sequence[str] = (), weight: str | None = None,
-                 small: int = SMALL, buckets: int = BUCKETS) -> None:
+                 buckets: int | None = None) -> None:
         self.by = list(by)
         counted = (
             df.select(*self.by, F.col(value).alias("value"), (F.col(weight) if weight else F.lit(1)).alias("w"))
@@ -32,19 +30,18 @@ class ValueCounts:
         )
         self.frame = stage(counted)
         position = F.col("value").cast("double")
-        shares = [i / buckets for i in range(1, buckets)]
         size = self.frame.agg(
             F.count(F.lit(1)).alias("distinct_values"), F.sum("n").alias("rows"),
         ).first()
         self.distinct_values, self.rows = size.distinct_values, size.rows or 0
-        self.small = self.distinct_values <= small
-        if not self.small:
-            cuts = self.frame.agg(F.percentile_approx(position, shares, 10 * buckets)).first()[0]
-            splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
-            self.frame = (
-                Bucketizer(splits=splits, inputCol="__pos", outputCol="bucket")
-                .transform(self.frame.withColumn("__pos", position)).drop("__pos")
-            )
+        buckets = buckets or math.isqrt(self.distinct_values) + 1
+        shares = [i / buckets for i in range(1, buckets)] or [0.5]
+        cuts = self.frame.agg(F.percentile_approx(position, shares, 10 * buckets)).first()[0] or []
+        splits = [float("-inf"), *(sorted({c for c in cuts if math.isfinite(c)}) or [0.0]), float("inf")]
+        self.frame = (
+            Bucketizer(splits=splits, inputCol="__pos", outputCol="bucket", handleInvalid="keep")  # NaN: behind all
+            .transform(self.frame.withColumn("__pos", position)).drop("__pos")
+        )
 
     def offsets(self) -> DataFrame:
         """Rows in each bucket, in the buckets before it, and in the whole group."""
@@ -62,30 +59,30 @@ class ValueCounts:
         earlier = window.orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
         return frame.withColumn("smaller", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
 
+    def _join(self, left: DataFrame, right: DataFrame) -> DataFrame:
+        """Join by group and bucket; the group of NULL is a group like any other."""
+        keys = [*self.by, "bucket"]
+        other = right.withColumnsRenamed({k: f"__{k}" for k in keys})
+        same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+        return left.join(other, same).drop(*[f"__{k}" for k in keys])
+
     def ranked(self) -> DataFrame:
         """Each distinct value with its count and the average rank of its rows (ties share the mean)."""
-        if self.small:
-            frame = self._running(self.frame, self.by)
-        else:
-            keys = [*self.by, "bucket"]
-            frame = self._running(self.frame, keys).join(self.offsets().select(*keys, "before"), keys)
-            frame = frame.withColumn("smaller", F.col("smaller") + F.col("before")).drop("before", "bucket")
+        keys = [*self.by, "bucket"]
+        frame = self._join(self._running(self.frame, keys), self.offsets().select(*keys, "before"))
+        frame = frame.withColumn("smaller", F.col("smaller") + F.col("before")).drop("before", "bucket")
         return frame.withColumn("rank", F.col("smaller") + (F.col("n") + 1) / 2).drop("smaller")
 
     def quantiles(self, shares: Sequence[float]) -> DataFrame:
         """``quantiles``: array of linearly interpolated quantiles per group."""
-        if self.small:
-            return self.frame.groupBy(*self.by).agg(
-                F.percentile("value", [float(s) for s in shares], F.col("n")).alias("quantiles")
-            )
         targets = F.array(*[self._target(i, share) for i, share in enumerate(shares)])
         wanted = (
             self.offsets().withColumn("target", F.explode(F.flatten(targets)))
             .where("target.position >= before and target.position < before + in_bucket")
         )
         keys = [*self.by, "bucket"]
-        near = self._running(self.frame.join(wanted.select(*keys).distinct(), keys, "left_semi"), keys)
-        hits = near.join(wanted, keys).where(
+        near = self._running(self._join(self.frame, wanted.select(*keys).distinct()), keys)
+        hits = self._join(near, wanted).where(
             "before + smaller <= target.position and target.position < before + smaller + n"
         )
         pairs = hits.groupBy(*self.by, "target.which").agg(
@@ -93,7 +90,7 @@ class ValueCounts:
             F.max(F.when(~F.col("target.low"), F.col("value").cast("double"))).alias("high"),
             F.max("target.fraction").alias("fraction"),
         )
-        value = F.col("low") + (F.col("high") - F.col("low")) * F.col("fraction")
+        value = F.col("low") * (1 - F.col("fraction")) + F.col("high") * F.col("fraction")
         return pairs.groupBy(*self.by).agg(
             F.transform(
                 F.array_sort(F.collect_list(F.struct("which", value.alias("v")))), lambda s: s["v"]

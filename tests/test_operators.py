@@ -124,8 +124,8 @@ def test_lookup_keeps_rows_without_key(table):
 
 # ------------------------------------------------------------------ quantiles and statistics
 
-@pytest.mark.parametrize("small", [10, 10**6])
-def test_quantiles_match_pandas_on_both_paths(spark, small):
+@pytest.mark.parametrize("buckets", [1, 16, None])
+def test_quantiles_match_pandas_for_any_number_of_buckets(spark, buckets):
     rng = np.random.default_rng(3)
     pdf = pd.DataFrame({"g": rng.choice(["a", "b"], 900), "v": np.round(rng.exponential(50, 900), 1)})
     pdf.loc[::3, "v"] = 0.0  # a third of the rows share one value
@@ -133,23 +133,30 @@ def test_quantiles_match_pandas_on_both_paths(spark, small):
     df = spark.createDataFrame(pdf).withColumn("v", F.when(~F.isnan("v"), F.col("v")))
     shares = [0.0, 0.1, 0.5, 0.95, 1.0]
     names = [f"q{i}" for i in range(5)]
-    got = exact_quantiles(df, "v", shares, names, ["g"], digits=6, small=small, buckets=16).toPandas().set_index("g")
+    got = exact_quantiles(df, "v", shares, names, ["g"], digits=6, buckets=buckets).toPandas().set_index("g")
     want = pdf.groupby("g")["v"].quantile(shares).unstack()
     np.testing.assert_allclose(got.loc[want.index, names].to_numpy(), want.to_numpy(), atol=1e-6)
-    alone = exact_quantiles(df, "v", [0.37], ["q"], small=small, buckets=16).first()[0]
+    alone = exact_quantiles(df, "v", [0.37], ["q"], buckets=buckets).first()[0]
     assert alone == pytest.approx(pdf["v"].quantile(0.37), abs=1e-4)
 
 
-@pytest.mark.parametrize("small", [5, 10**6])
-def test_ranks_and_spearman_match_pandas(spark, small):
+def test_quantiles_of_the_null_group_and_of_no_rows(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 4.0), ("a", 2.0), ("a", None)], "g string, v double")
+    got = {r.g: r.q for r in exact_quantiles(df, "v", [0.5], ["q"], ["g"]).collect()}
+    assert got == {None: 2.5, "a": 2.0}
+    assert exact_quantiles(df.where("false"), "v", [0.5], ["q"]).collect()[0].q is None
+
+
+@pytest.mark.parametrize("buckets", [1, 7, None])
+def test_ranks_and_spearman_match_pandas(spark, buckets):
     rng = np.random.default_rng(11)
     pdf = pd.DataFrame({"x": rng.integers(0, 40, 600).astype(float), "y": rng.normal(size=600).round(2)})
     pdf.loc[::3, "x"] = 0.0
     pdf.loc[[1, 2], "y"] = None
     df = spark.createDataFrame(pdf).withColumn("y", F.when(~F.isnan("y"), F.col("y")))
     want = pdf.dropna()["x"].rank().corr(pdf.dropna()["y"].rank())
-    assert spearman(df, "x", "y", digits=10, small=small, buckets=8).first()[0] == pytest.approx(want, abs=1e-9)
-    ranked = ValueCounts(df, "x", small=small, buckets=8).ranked().toPandas()
+    assert spearman(df, "x", "y", digits=10, buckets=buckets).first()[0] == pytest.approx(want, abs=1e-9)
+    ranked = ValueCounts(df, "x", buckets=buckets).ranked().toPandas()
     want_rank = dict(zip(pdf["x"], pdf["x"].rank()))
     assert {r.value: r["rank"] for _, r in ranked.iterrows()} == pytest.approx(want_rank)
 
