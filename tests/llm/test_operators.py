@@ -445,6 +445,56 @@ def test_repeats(spark, crowd):
     assert [got[k] for k in range(len(texts))] == plain_removal(texts)
 
 
+def plain_passages(texts, words):
+    """What stays when repeated passages of so many words and repeated strings of 400 bytes are cut."""
+    seen, places = {}, []
+    for k, t in enumerate(texts):
+        found = [(len(t[:m.start()].encode()), len(t[:m.end()].encode())) for m in re.finditer(r"\S+", t)]
+        b = t.encode()
+        windows = [(found[i][0], found[i + words - 1][1]) for i in range(len(found) - words + 1)] + [(i, i + 400) for i in range(len(b) - 399)]
+        for x, y in windows:
+            seen[b[x:y]] = seen.get(b[x:y], 0) + 1
+            places.append((k, x, y))
+    gone = [np.zeros(len(t.encode()), bool) for t in texts]
+    for k, x, y in places:
+        if seen[texts[k].encode()[x:y]] > 1:
+            gone[k][x:y] = True
+    return [np.frombuffer(t.encode(), np.uint8)[~g].tobytes().decode("utf-8", "ignore") for t, g in zip(texts, gone, strict=True)]
+
+
+@pytest.mark.parametrize("crowd", [repeats.CROWD, 1])
+def test_repeated_passages_of_51_words(spark, crowd):
+    letters = " ".join(random.Random(77).choices("abcdefghijklmnopqrstuvwxyz", k=51))
+    passages = {n: prose(300 + n, n) for n in (49, 50, 51, 52, 54)} | {51.5: letters, 53: prose(9, 53).replace(" ", "\u3000", 20).replace(" ", "\n", 5)}
+    texts = []
+    for k, passage in enumerate(passages.values()):
+        for side in range(3):
+            texts.append(f"{prose(400 + 10 * k + side, 40)} p{k}{side} {passage} q{k}{side} {prose(700 + 10 * k + side, 30)}")
+    both = prose(11, 90).split()  # 40 words repeat with one text, 40 with another one: together 80, no passage of 51
+    texts += [" ".join(both), "u1 " + " ".join(both[:40]) + " u2", "v1 " + " ".join(both[40:80]) + " v2"]
+    twice = prose(12, 51)
+    texts += [f"{twice} middle {twice}", "x" * 450 + " " + prose(13, 5), "y " + "x" * 420, prose(14, 50), prose(14, 50), letters, ""]
+    rows = repeats.remove_repeats(docs_of(spark, texts), keep_text=True, crowd=crowd, words=51).collect()
+    got = {x["doc_id"]: x["text"] for x in rows}
+    want = plain_passages(texts, 51)
+    assert [got[k] for k in range(len(texts))] == want
+    for k, n in enumerate(passages):
+        assert all((passages[n] in t) == (n < 51) for t in want[3 * k:3 * k + 3])
+
+
+def test_repeats_of_other_lengths(spark):
+    passage = prose(21, 60)
+    texts = [f"{prose(500 + k, 30)} {k} {passage[k:k + 140 + k]} {k} {prose(600 + k, 30)}" for k in range(8)]
+    for length in (101, 130):
+        data, seen = [t.encode() for t in texts], {}
+        for b in data:
+            for i in range(len(b) - length + 1):
+                seen[b[i:i + length]] = seen.get(b[i:i + length], 0) + 1
+        want = [len({j for i in range(len(b) - length + 1) if seen[b[i:i + length]] > 1 for j in range(i, i + length)}) for b in data]
+        got = {x["doc_id"]: x["n_removed"] for x in repeats.remove_repeats(docs_of(spark, texts), length=length).collect()}
+        assert [got[k] for k in range(8)] == want and any(want)
+
+
 def test_repeats_keep_rows(spark):
     rows = repeats.remove_repeats(docs_of(spark, [None, BASE, "x", BASE], [1, 2, None, 2]), keep_text=True).collect()
     assert sorted((x["doc_id"] or 0, x["text"], x["n_removed"]) for x in rows if x["text"] is not None) == [
