@@ -7,6 +7,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from probes.bindings import TestTables, bronze
 from strata.catalog import SOURCES
 from strata.plans import kpi, silver as sv
 from strata.plans.gold import date_span, dim_account, fact_enrollment, gold
@@ -165,3 +166,19 @@ def test_reports_on_empty_sources(spark):
     model = Model(frames, g, "2026-07-20")
     for name in ("ins_revenue_measures", "ins_discontinued_mrr", "ins_sales_cycle", "ins_top_product", "ins_main_currencies"):
         INSIGHTS[name](model).collect()
+
+
+def test_all_lines_are_payments_and_contacts(spark):
+    tables = TestTables(spark, "/root/testdata/sf0.001")
+    found, lines = bronze(tables), tables["lineitem"]
+    paid = found["billing_payments"]
+    assert paid.count() == lines.count()
+    assert paid.agg(F.sum("amount")).first() == lines.agg(F.sum(F.col("l_extendedprice").cast("decimal(12,2)"))).first()
+    met = F.when(F.col("l_partkey") % 10 == 7, F.col("l_partkey") - 1).otherwise(F.col("l_partkey")).cast("string")
+    pairs = lines.select(met, F.col("l_suppkey").cast("string")).distinct()
+    contacts = found["crm_opportunity_contacts"].select("opportunity_id", "contact_id")
+    assert contacts.count() == pairs.count() and pairs.exceptAll(contacts).isEmpty()
+    for owners, key, links in (("billing_invoices", "invoice_id", paid), ("crm_opportunities", "opportunity_id", contacts)):
+        with_some = found[owners].join(links, key, "left_semi").count()
+        assert 0 < with_some < found[owners].count()
+        assert links.join(found[owners], key, "left_anti").isEmpty()
