@@ -47,3 +47,25 @@ def test_pipeline_stages(spark):
     empty = spark.createDataFrame([], docs.schema)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, FOLDER).count() == 0
+
+
+def test_near_duplicates_with_null_and_repeated_ids(spark):
+    def text(seed, edited=None):
+        words = [f"w{seed}x{k}" for k in range(120)]
+        if edited is not None:
+            words[edited] = "edited"
+        return " ".join(words)
+
+    rows = [(None, text(1)), (None, text(1, 5)), (None, text(1)),  # near copies without id: one stays
+            (None, text(2)), (7, text(2, 9)),  # the one with an id stays
+            (8, text(3)), (8, text(4)),  # one id, two texts: both stay
+            (9, text(5)), (9, text(5, 60)), (9, text(5)),  # one id, near copies: one stays
+            (3, text(6)), (3, text(7)), (2, text(7, 80)),  # 3 is first of one class only
+            (None, text(8)), (4, "..."), (4, "!!!"), (None, "..."),
+            (5, None), (5, None), (5, " "), (None, " "), (None, " ")]  # without words
+    docs = spark.createDataFrame([(i, t, "en", "s", None) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_duplicates(spark, docs, FOLDER).collect()]
+    near = {t: seed for seed in range(1, 9) for t in (text(seed), *(text(seed, k) for k in (5, 9, 60, 80)))}
+    found = sorted(((near.get(t, t), i) for i, t in kept), key=str)
+    assert found == sorted([(1, None), (2, 7), (3, 8), (4, 8), (5, 9), (6, 3), (7, 2), (8, None), ("...", 4), ("!!!", 4),
+                           (None, 5), (" ", 5), (" ", None), (" ", None)], key=str)
