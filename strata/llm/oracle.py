@@ -62,4 +62,9 @@ kept as (
 select t.doc_id, cast(t.n as bigint) as n_bytes, cast(coalesce(r.n, 0) as bigint) as n_removed, cast(coalesce(r.k, 0) as bigint) as n_spans,
   sha256(unhex(k.x)) as kept_sha256
 from texts t join kept k using (doc_id) left join (select doc_id, sum(b - a) as n, count(*) as k from spans group by doc_id) r using (doc_id)""",
+    "op13_content_sort": """
+with bodies as (
+  select doc_id, length(coalesce(text, '')) as c, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', '', 'g') as b from documents)
+select doc_id, first_value(doc_id) over w as keep_id, count(*) over (partition by b) as group_size, row_number() over w = 1 as kept, sha256(b) as text_sha256
+from bodies window w as (partition by b order by c desc, doc_id)""",
 }
