@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,8 @@ from strata.llm.words import mix, powers
 FAN = 16
 #: Pairs that are broadcast at a time, with key and count (17 bytes each); beyond, the documents are passed once for each slice of so many.
 MOST_PAIRS = 4_000_000
-#: Distinct parts that a process keeps.
-MOST_PARTS = 400_000
+#: Distinct parts that a process keeps (some 300 bytes each).
+MOST_PARTS = 600_000
 #: Distinct pairs that a task of the first pass gathers before it hands them on.
 MOST_GATHERED = 2_000_000
 _BASE = np.uint64(0xA0761D6478BD642F)
@@ -78,6 +79,11 @@ def piece_level(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return _table(entries)
 
 
+def _written(n: int, behind: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The decimal ids 0 to n - 1, each with the first and with the second of the characters ``behind`` it."""
+    return _table([b"%d%c" % (i, c) for i in range(n) for c in behind])
+
+
 def text_parts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts of the parts of texts that each begin with a space, and the parts before each text."""
     begin = np.zeros(len(data) + 1, bool)
@@ -88,60 +94,112 @@ def text_parts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 class Aligned:
-    """The parts that this process has aligned."""
+    """The parts that this process has aligned, for one pair of files: both passes and all their tasks share them."""
 
-    def __init__(self, a_path: str, b_path: str, counts: perfect.Table | None = None, best: np.ndarray | None = None) -> None:
+    def __init__(self, a_path: str, b_path: str) -> None:
         self.a_path, self.b_path = a_path, b_path
-        self.a, self.b, self.counts, self.best = byte_level(a_path), piece_level(b_path), counts, best
+        self.a, self.b = byte_level(a_path), piece_level(b_path)
+        self.written = _written(len(self.a[1]), b",|"), _written(len(self.b[1]), b",;")
         self.clear()
 
     def clear(self) -> None:
+        self.strange = False  # most parts of the last block were new
         self.row: dict[bytes, int] = {}
-        self.text: list[str] = []
-        self.numbers = np.zeros((0, 7), np.int64)  # equal (0 or 1), A tokens, B tokens, groups, first pair, best links, their counts
-        self.pairs = np.zeros(0, np.uint64)
+        self.numbers = np.zeros((0, 4), np.int64)  # equal (0 or 1), A tokens, B tokens, groups
+        self.pairs, self.first_pair = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # each group's link
+        self.shown, self.shown_at = np.zeros(0, np.uint8), np.zeros((0, 2), np.int64)  # groups as text, each with a ; behind it
 
     def rows(self, parts: list[bytes]) -> np.ndarray:
         """Row of each part; new ones are aligned."""
-        if len(self.row) > MOST_PARTS:
-            self.clear()
+        self._trim()
         new = [p for p in dict.fromkeys(parts) if p not in self.row]
+        self.strange = 2 * len(new) > len(parts)
         if new:
             self._add(new)
         return np.fromiter(map(self.row.__getitem__, parts), np.int64, len(parts))
 
+    def _trim(self) -> None:
+        """Keep the MOST_PARTS that came first, which hold the frequent ones; if the texts have changed since, start anew."""
+        if len(self.row) > MOST_PARTS and self.strange:
+            self.clear()
+        for _ in range(len(self.row) - MOST_PARTS):
+            self.row.popitem()
+        n = len(self.row)
+        if n < len(self.numbers):
+            self.pairs, self.shown = self.pairs[:self.first_pair[n]].copy(), self.shown[:self.shown_at[n, 0]].copy()
+            self.numbers, self.first_pair, self.shown_at = self.numbers[:n].copy(), self.first_pair[:n].copy(), self.shown_at[:n].copy()
+
+    def _encoded(self, new: list[bytes], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A ids of parts, and their numbers. Parts that begin and end as those inside a text do are encoded in one go."""
+        tokenizer = tokens.load(self.a_path)
+        inner = np.fromiter((0x20 < p[-1] and 0x20 < p[1] for p in new), bool, len(new))
+        together, rest = np.flatnonzero(inner), np.flatnonzero(~inner)
+        ids = np.array(tokenizer.encode_batch_fast([b"".join(new[k] for k in together.tolist()).decode()], add_special_tokens=False)[0].ids, np.int64)
+        alone = [e.ids for e in tokenizer.encode_batch_fast([new[k].decode() for k in rest.tolist()], add_special_tokens=False)]
+        n = np.zeros(len(new), np.int64)
+        n[together] = np.diff(np.searchsorted(np.cumsum(self.a[2][ids]), np.concatenate(([0], np.cumsum(sizes[together]))), "right"))
+        n[rest] = np.fromiter(map(len, alone), np.int64, len(alone))
+        out, begin = np.zeros(int(n.sum()), np.int64), np.cumsum(n) - n
+        out[flat(begin[together], n[together])] = ids
+        out[flat(begin[rest], n[rest])] = np.fromiter(chain.from_iterable(alone), np.int64, int(n[rest].sum()))
+        return out, n
+
     def _add(self, new: list[bytes]) -> None:
-        texts = [p.decode("utf-8") for p in new]
-        of_a = [e.ids for e in tokens.load(self.a_path).encode_batch_fast(texts, add_special_tokens=False)]
-        of_b = piece_model(self.b_path).encode([t[1:] for t in texts], num_threads=1)
-        sizes = np.array([len(p) for p in new], np.int64)
-        n_a, n_b = (np.array([len(x) for x in of], np.int64) for of in (of_a, of_b))
-        a, b = (np.fromiter((i for x in of for i in x), np.int64, int(n.sum())) for of, n in ((of_a, n_a), (of_b, n_b)))
+        sizes = np.fromiter(map(len, new), np.int64, len(new))
+        a, n_a = self._encoded(new, sizes)
+        of_b = piece_model(self.b_path).encode([p[1:].decode() for p in new], num_threads=1)
+        n_b = np.fromiter(map(len, of_b), np.int64, len(new))
+        b = np.fromiter(chain.from_iterable(of_b), np.int64, int(n_b.sum()))
         whole = np.frombuffer(b"".join(new), np.uint8)
         equal = self._equal(a, n_a, sizes, whole, self.a) & self._equal(b, n_b, sizes, whole, self.b)
         part_a, part_b = np.repeat(np.arange(len(new)), n_a), np.repeat(np.arange(len(new)), n_b)
         keep_a, keep_b = equal[part_a], equal[part_b]
         a, part_a, b, part_b = a[keep_a], part_a[keep_a], b[keep_b], part_b[keep_b]
         end_a, end_b = np.cumsum(self.a[2][a]), np.cumsum(self.b[2][b])  # over the parts that are equal, which both cover alike
-        common, at_a, at_b = np.intersect1d(end_a, end_b, assume_unique=True, return_indices=True)
-        pairs = (a[at_a].astype(np.uint64) << np.uint64(32)) | b[at_b].astype(np.uint64)
+        at_a = np.flatnonzero(np.isin(end_a, end_b, assume_unique=True, kind="table"))
+        at_b = np.searchsorted(end_b, end_a[at_a])
         n_groups = np.bincount(part_a[at_a], minlength=len(new))
-        numbers = np.zeros((len(new), 7), np.int64)
-        numbers[:, 0], numbers[:, 1], numbers[:, 2], numbers[:, 3] = equal, n_a, n_b, n_groups
-        numbers[:, 4] = np.cumsum(n_groups) - n_groups + len(self.pairs)
-        if self.counts is not None:
-            found = self.counts.find(pairs)
-            is_best = (found > 0) & (found == self.best[b[at_b]])
-            numbers[:, 5] = np.bincount(part_a[at_a], is_best, len(new)).astype(np.int64)
-            numbers[:, 6] = np.add.reduceat(np.append(found, 0), np.cumsum(n_groups) - n_groups) * (n_groups > 0) if len(new) else 0
-        text_a, text_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        cut_a, cut_b = [0, *(at_a + 1).tolist()], [0, *(at_b + 1).tolist()]
-        groups = [",".join(text_a[i:j]) + "|" + ",".join(text_b[k:m]) for i, j, k, m in zip(cut_a, cut_a[1:], cut_b, cut_b[1:], strict=False)]
-        until = np.cumsum(n_groups).tolist()
-        first = len(self.text)
-        self.text += [";".join(groups[i:j]) for i, j in zip([0, *until[:-1]], until, strict=True)]
-        self.row |= {p: first + k for k, p in enumerate(new)}
-        self.numbers, self.pairs = np.concatenate([self.numbers, numbers]), np.concatenate([self.pairs, pairs])
+        self._show(a, b, at_a, at_b, np.bincount(part_a, minlength=len(new)) + np.bincount(part_b, minlength=len(new)))
+        self.first_pair = np.concatenate([self.first_pair, np.cumsum(n_groups) - n_groups + len(self.pairs)])
+        self.pairs = np.concatenate([self.pairs, (a[at_a].astype(np.uint64) << np.uint64(32)) | b[at_b].astype(np.uint64)])
+        self.row |= {p: len(self.numbers) + k for k, p in enumerate(new)}
+        self.numbers = np.concatenate([self.numbers, np.column_stack([equal, n_a, n_b, n_groups])])
+
+    def _show(self, a: np.ndarray, b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray, tokens_of: np.ndarray) -> None:
+        """Write the groups a1,a2|b1;a3|b2,b3; of parts: every token with what stands behind it, those of B after those of A of its group."""
+        last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        last_a[at_a] = last_b[at_b] = 1
+        group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+        place_a = np.arange(len(a)) + np.concatenate(([0], at_b + 1))[group_a]
+        place_b = np.arange(len(b)) + np.append(at_a + 1, 0)[group_b]
+        (data_a, start_a, size_a), (data_b, start_b, size_b) = self.written
+        start, size = np.empty(len(a) + len(b), np.int64), np.empty(len(a) + len(b), np.int64)
+        start[place_a], size[place_a] = start_a[2 * a + last_a], size_a[2 * a + last_a]
+        start[place_b], size[place_b] = start_b[2 * b + last_b] + len(data_a), size_b[2 * b + last_b]
+        fresh = np.concatenate([data_a, data_b])[flat(start, size)]
+        reach = np.concatenate(([0], np.cumsum(size)))
+        until = np.cumsum(tokens_of)
+        begin, end = reach[until - tokens_of], reach[until]
+        self.shown_at = np.concatenate([self.shown_at, np.column_stack([begin + len(self.shown), end - begin])])
+        self.shown = np.concatenate([self.shown, fresh])
+
+    def looked_up(self, rows: np.ndarray, counts: perfect.Table, best: np.ndarray) -> np.ndarray:
+        """Of each part: links that are the best of their B id, and the sum of its links' counts."""
+        row, which = np.unique(rows, return_inverse=True)
+        many = self.numbers[row, 3]
+        pairs = self.pairs[flat(self.first_pair[row], many)]
+        found, owner = counts.find(pairs), np.repeat(np.arange(len(row)), many)
+        is_best = (found > 0) & (found == best[(pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)])
+        sums = np.zeros(len(row), np.int64)
+        np.add.at(sums, owner, found)
+        return np.column_stack([np.bincount(owner, is_best, len(row)).astype(np.int64), sums])[which]
+
+    def digests(self, parts: np.ndarray, bounds: np.ndarray) -> list[str]:
+        """SHA-256 of the groups of texts, text i made of the parts parts[bounds[i]:bounds[i + 1]]."""
+        sizes = self.shown_at[parts, 1]
+        data = memoryview(self.shown[flat(self.shown_at[parts, 0], sizes)])
+        reach = np.concatenate(([0], np.cumsum(sizes)))[bounds].tolist()
+        return [hashlib.sha256(data[i:j - 1]).hexdigest() for i, j in zip(reach, reach[1:], strict=False)]
 
     @staticmethod
     def _equal(ids: np.ndarray, n: np.ndarray, sizes: np.ndarray, whole: np.ndarray, table: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
@@ -156,7 +214,7 @@ class Aligned:
         return same
 
     def blocks(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """Rows, which of them have tokens, and for those: row of each part, bounds of each text's parts, n of each column of ``numbers``."""
+        """Rows, which of them have tokens, and for those: row of each part, bounds of each text's parts, sums of ``numbers``."""
         for batch, data, offsets, nulls in text_blocks(batches, "text"):
             full = np.flatnonzero((np.diff(offsets) > 0) & ~nulls)
             sizes = np.diff(offsets)[full]
@@ -165,8 +223,7 @@ class Aligned:
             spaced[flat(bounds[:-1] + 1, sizes)] = data[flat(offsets[full], sizes)]
             starts, cut = text_parts(spaced, bounds)
             rows = self._rows_of(spaced, starts) if len(starts) else np.zeros(0, np.int64)
-            reach = np.concatenate((np.zeros((1, 7), np.int64), np.cumsum(self.numbers[rows], axis=0)))
-            yield batch, full, rows, cut, reach[cut[1:]] - reach[cut[:-1]]
+            yield batch, full, rows, cut, per_text(self.numbers[rows], cut)
 
     def _rows_of(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         ends = np.append(starts[1:], len(data))
@@ -182,6 +239,21 @@ class Aligned:
         return self.rows([view[i:j].tobytes() for i, j in zip(starts.tolist(), ends.tolist(), strict=True)])  # two parts share a key
 
 
+def per_text(numbers: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Sums of the parts' numbers for each text."""
+    reach = np.concatenate((np.zeros((1, numbers.shape[1]), np.int64), np.cumsum(numbers, axis=0)))
+    return reach[bounds[1:]] - reach[bounds[:-1]]
+
+
+_KNOWN: dict[tuple[str, str], Aligned] = {}
+
+
+def known_parts(a: str, b: str) -> Aligned:
+    if (a, b) not in _KNOWN:
+        _KNOWN[a, b] = Aligned(a, b)
+    return _KNOWN[a, b]
+
+
 def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     key, which = np.unique(np.concatenate(keys), return_inverse=True)
     total = np.zeros(len(key), np.int64)
@@ -192,7 +264,7 @@ def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
 def _task_counts(docs: DataFrame, a: str, b: str) -> DataFrame:
     """task, hash, pair, n: the id pairs of every task, once each (or once for each MOST_GATHERED of them)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, task = Aligned(a, b), TaskContext.get().partitionId()
+        known, task = known_parts(a, b), TaskContext.get().partitionId()
         keys, counts, waiting = [], [], 0
 
         def handed_on() -> pa.RecordBatch:
@@ -206,7 +278,7 @@ def _task_counts(docs: DataFrame, a: str, b: str) -> DataFrame:
             many = known.numbers[part, 3]
             if not many.any():
                 continue
-            key, n = _summed([known.pairs[flat(known.numbers[part, 4], many)]], [np.repeat(times, many)])
+            key, n = _summed([known.pairs[flat(known.first_pair[part], many)]], [np.repeat(times, many)])
             keys, counts, waiting = [*keys, key], [*counts, n], waiting + len(key)
             if waiting > MOST_GATHERED:
                 key, n = _summed(keys, counts)
@@ -298,18 +370,19 @@ def _looked_up(rows: DataFrame, a: str, b: str, table: perfect.Table, best: np.n
     shared = rows.sparkSession.sparkContext.broadcast((table, best))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Aligned(a, b, *shared.value)
+        known, (counts, most) = known_parts(a, b), shared.value
         for batch, full, parts, cut, numbers in known.blocks(batches):
             whole = numbers[:, 0] == np.diff(cut)
             out = np.zeros((batch.num_rows, 6), np.int64)
-            out[full[whole]] = numbers[whole][:, [1, 2, 3, 3, 5, 6]]
+            out[full[whole]] = np.column_stack([numbers[:, [1, 2, 3, 3]], per_text(known.looked_up(parts, counts, most), cut)])[whole]
             for k in (4, 5):
                 out[:, k] += batch.column(_NUMBERS[k]).to_numpy()
             sha = [""] * batch.num_rows
             if last:
-                row = parts.tolist()
-                for i, begin, end in zip(full[whole].tolist(), cut[:-1][whole].tolist(), cut[1:][whole].tolist(), strict=True):
-                    sha[i] = hashlib.sha256(";".join([known.text[r] for r in row[begin:end]]).encode()).hexdigest()
+                kept = np.diff(cut) * whole
+                found = known.digests(parts[np.repeat(whole, np.diff(cut))], np.concatenate(([0], np.cumsum(kept[whole]))))
+                for i, digest in zip(full[whole].tolist(), found, strict=True):
+                    sha[i] = digest
             text = pa.nulls(batch.num_rows, pa.string()) if last else batch.column("text").cast(pa.string())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), text, *[pa.array(c) for c in out.T], pa.array(sha)],
                                              ["doc_id", "text", *_NUMBERS, "groups_sha256"])

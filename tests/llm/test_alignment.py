@@ -7,6 +7,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 
@@ -101,6 +102,17 @@ def test_registered_query_on_whole_small_table(spark):
     assert sorted(map(tuple, queries.registered()["op12_alignment_counts"](spark, folder).select(*COLUMNS).collect())) == expected
 
 
+@pytest.mark.parametrize("most", [0, 3, 40])
+def test_parts_that_are_kept_or_not(monkeypatch, most):
+    monkeypatch.setattr(alignment, "MOST_PARTS", most)
+    known = alignment.Aligned(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    texts = [t for t in sample() if t and aligned(t)]
+    batch = [pa.RecordBatch.from_arrays([pa.array([t])], ["text"]) for t in texts]
+    found = [known.digests(parts, cut)[0] for _, _, parts, cut, _ in known.blocks(iter(batch))]
+    shown = [";".join(",".join(map(str, ga)) + "|" + ",".join(map(str, gb)) for ga, gb in aligned(t)) for t in texts]
+    assert found == [hashlib.sha256(t.encode()).hexdigest() for t in shown]
+
+
 def test_empty_tables(spark):
     assert alignment.align(spark.createDataFrame([], SCHEMA)).count() == 0
     only = alignment.align(spark.createDataFrame([(1, None, "x", 1, 2, 3, 4)], SCHEMA)).collect()
