@@ -62,6 +62,34 @@ kept as (
 select t.doc_id, cast(t.n as bigint) as n_bytes, cast(coalesce(r.n, 0) as bigint) as n_removed, cast(coalesce(r.k, 0) as bigint) as n_spans,
   sha256(unhex(k.x)) as kept_sha256
 from texts t join kept k using (doc_id) left join (select doc_id, sum(b - a) as n, count(*) as k from spans group by doc_id) r using (doc_id)""",
+    "op11_conversation_trie": """
+with turns as (
+  select conv_id, {'r': coalesce(role, ''), 't': coalesce(text, '')} as said,
+    row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as pos from conversations where conv_id is not null),
+own as (select conv_id, list(said order by pos) as s from turns group by conv_id),
+lead as (
+  select conv_id, s, conv_id - conv_id % 20 as base, xor(list_reduce(
+    list_concat([4294967295::bigint], list_transform(string_split(cast(conv_id as varchar), ''), lambda ch: ascii(ch)::bigint)),
+    lambda crc, byte: list_reduce([xor(crc, byte), 0::bigint, 0, 0, 0, 0, 0, 0, 0],
+      lambda x, i: xor(x >> 1, 3988292384::bigint * (x & 1)))), 4294967295::bigint) % 4 as h from own),
+rebuilt as (
+  select l.conv_id, list_concat(coalesce(b.s, [])[1:l.h], l.s[l.h + 1:]) as s from lead l left join own b on b.conv_id = l.base),
+prefixes as (select conv_id, len(s) as n, unnest(range(0, len(s) + 1)) as depth, s from rebuilt),
+nodes as (
+  select s[1:depth] as p, depth, min(conv_id) as conv_id, count(*) as n_convs,
+    sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (where n = depth), '')) as ends_sha256
+  from prefixes group by s[1:depth], depth),
+kids as (select p[1:depth - 1] as p, depth - 1 as depth, count(*) as n_children from nodes where depth > 0 group by all),
+sized as (
+  select n.*, coalesce(k.n_children, 0) as n_children,
+    case when n.depth = 0 then 0 else (n.n_convs - 1) * len(regexp_extract_all(n.p[n.depth].t, '[^\\x20\\x09-\\x0D]+')) end as saved
+  from nodes n left join kids k on k.depth = n.depth and k.p = n.p),
+upward as (select p, depth, unnest(range(0, depth + 1)) as above, saved, n_children from sized),
+subtrees as (
+  select p[1:above] as p, above as depth, sum(saved) as saved_tokens, sum(case when n_children = 0 then 1 else 0 end) as n_leaves from upward group by all)
+select n.conv_id, n.depth, o.conv_id as parent_conv_id, n.n_convs, n.n_children, cast(t.n_leaves as bigint) as n_leaves,
+  cast(t.saved_tokens as bigint) as saved_tokens, n.ends_sha256
+from sized n join subtrees t on t.depth = n.depth and t.p = n.p left join nodes o on o.depth = n.depth - 1 and o.p = n.p[1:n.depth - 1]""",
     "op13_content_sort": """
 with bodies as (
   select doc_id, length(coalesce(text, '')) as c, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', '', 'g') as b from documents)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import alignment, archive, attribution, chat, contents, forest, jaccard, langid, mixing, packing, repeats, simhash
+from strata.llm import alignment, archive, attribution, chat, contents, forest, jaccard, langid, mixing, packing, repeats, simhash, trie
 from strata.llm.common import prepared, tables
 
 PROBE_TEXT = "\\### Assistant: </turn> ok"
@@ -67,6 +67,10 @@ def op10_repeat_removal(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.remove_repeats(tables(spark, folder, "documents"))
 
 
+def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.nodes(tables(spark, folder, "conversations"))
+
+
 def op12_alignment_counts(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.align(tables(spark, folder, "documents"))
 
@@ -77,5 +81,5 @@ def op13_content_sort(spark: SparkSession, folder: str) -> DataFrame:
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_chat_formatting, op2_ngram_jaccard_join, op3_source_mixing, op4_warc_index, op5_token_attribution, op6_language_id, op7_simhash,
-             op8_hash_forest, op9_ffd_packing, op10_repeat_removal, op12_alignment_counts, op13_content_sort)
+             op8_hash_forest, op9_ffd_packing, op10_repeat_removal, op11_conversation_trie, op12_alignment_counts, op13_content_sort)
     return {f.__name__: (lambda spark, folder, f=f: f(prepared(spark), folder)) for f in found}
