@@ -249,6 +249,11 @@ def shown(table: str, name: str | None = None, silver: bool = False) -> str:
 
 for _table in SOURCES:
     ORACLE[f"silver_{_table}"] = on_silver(shown(_table, f"s_{_table}", True))
+ORACLE["silver_grade_summary_fine_weights"] = f"""with {RAW},
+fine as (select enrollment_id, cast(score * 100 as hugeint) as s, cast(weight * 100000 as hugeint) + length(grade_id) % 7 * 333 as w from university_grades),
+sums as (select enrollment_id, count(*) as n, sum(w) as w, sum(s * w) as p, sum(s) as s from fine group by 1)
+select enrollment_id, n as n_grades, {half_up('w', '100000', 3)} as weight_sum, abs(w - 100000) <= 1000 as weight_sum_ok,
+       {half_up('p', 'w * 100', 3)} as final_score_weighted, {half_up('s', 'n * 100', 3)} as final_score_simple from sums"""
 ORACLE["silver_enrollment_grade_summary"] = on_silver("select * from s_enrollment_grade_summary")
 for _table in (
     "dim_date", "dim_student", "dim_customer", "dim_product", "dim_course", "dim_semester", "dim_account", "fact_enrollment",

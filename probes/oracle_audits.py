@@ -364,8 +364,12 @@ cc as (select c.*, coalesce(i.n, 0) as ic, coalesce(s.n, 0) as sc from t_custome
 audit("xdm_score_against_billing", f"""
 select {rank_corr('sb', 'm', 'ic', 'score_vs_invoices')}, {rank_corr('sb', 'm', 'sc', 'score_vs_subscriptions')}""",
       COUNTS + """,
-sb as (select round(m.m, 9) as m, ic, sc from cc join university_students st on cc.external_ref = st.student_id
-       left join (select student_id, avg(normal_score) as m from normal_scores group by 1) m on m.student_id = st.student_id)""")
+s16 as (select enrollment_id, (2 * p * 10000000000000000::hugeint + w) // (2 * w) as s from (
+        select enrollment_id, sum(cast(score * 100 as hugeint) * cast(weight * 1000 as hugeint)) as p, nullif(100 * sum(cast(weight * 1000 as hugeint)), 0) as w
+        from university_grades group by 1)),
+sb as (select m.m, ic, sc from cc join university_students st on cc.external_ref = st.student_id
+       left join (select student_id, (2 * sum(s) + 1000 * count(s)) // nullif(2000 * count(s), 0) as m
+                  from university_enrollments left join s16 using (enrollment_id) group by 1) m on m.student_id = st.student_id)""")
 audit("xdm_linked_behaviour", """
 select case when external_ref is not null then 'student_reference' else 'no_student_reference' end as link, count(*) as customers,
        round(cast(sum(ic) as double) / count(*), 3) as mean_invoices, round(cast(sum(sc) as double) / count(*), 3) as mean_subscriptions,

@@ -22,7 +22,7 @@ from strata.plans.gold import gold
 from strata.plans.insights import INSIGHTS, Model
 from strata.plans.layer import Layer
 from strata.plans.proposed import PROPOSED
-from strata.plans.silver import silver
+from strata.plans.silver import grade_summary, silver
 from strata.plans.typed import issues, typed
 from strata.session import shared_folder
 from strata.sources.ledger import batch_listing, current, ingest, read_bronze
@@ -82,6 +82,14 @@ for _audits in (university, billing, crm, crossdomain):
 for _name, _build in INSIGHTS.items():
     QUERIES[_name] = lambda c, f=_build: f(c.model)
 
+
+@query("silver_grade_summary_fine_weights")
+def silver_grade_summary_fine_weights(c: Context) -> DataFrame:
+    """The grade summary of weights with five decimals, which no column type of Silver holds."""
+    fine = "cast(weight as decimal(9,5)) + cast(length(grade_id) % 7 * 333 as decimal(9,0)) * cast(0.00001 as decimal(9,5))"
+    return grade_summary(c.bronze["university_grades"].withColumn("weight", F.expr(fine)))
+
+
 # ------------------------------------------------------------------ profiles
 
 def _per_table(c: Context, build) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from strata.catalog import FOREIGN_KEYS
 from strata.functions.dates import epoch_day, midnight
-from strata.functions.money import exact_div, pct
+from strata.functions.money import pct, ratio
 from strata.functions.text import normal_email, strip, trailing_number
 from strata.operators.lookup import condense, lookup, weighted_if
 from strata.operators.quality import union_all
@@ -100,9 +100,9 @@ def _counts(t: Tables) -> DataFrame:
 
 def score_against_billing(t: Tables, as_of: str) -> DataFrame:
     points = t["university_grades"].groupBy("enrollment_id").agg(
-        exact_div(F.sum(F.col("score") * F.col("weight")), F.sum("weight")).cast("double").alias("score"))
+        ratio(F.sum(F.col("score") * F.col("weight")), F.sum("weight"), 16).alias("score"))
     students = t["university_enrollments"].select("enrollment_id", "student_id").join(points, "enrollment_id", "left").groupBy(
-        "student_id").agg(F.round(F.avg("score"), 9).alias("mean_score"))
+        "student_id").agg(ratio(F.sum("score"), F.count("score"), 13, scale=16).cast("decimal(18,13)").alias("mean_score"))
     refs = t["university_students"].select("student_id")
     rows = _counts(t).join(refs, F.col("external_ref") == F.col("student_id")).drop("student_id").join(
         students, F.col("external_ref") == F.col("student_id"), "left")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.dates import age_years
-from strata.functions.money import exact_div, within
+from strata.functions.money import ratio, within
 from strata.operators.dedupe import duplicate_counts
 from strata.operators.lookup import condense, weighted_if
 from strata.operators.quantiles import exact_quantiles
@@ -118,9 +118,9 @@ def grade_ranges(t: Tables, as_of: str) -> DataFrame:
     return t["university_grades"].agg(
         F.count_if((s < 0) | (s > 100)).alias("score_outside"), F.count_if((w < 0) | (w > 1)).alias("weight_outside"),
         F.min(s).alias("score_min"), F.max(s).alias("score_max"),
-        F.round(exact_div(F.sum(s), F.count(s)), 4).alias("score_mean"),
+        ratio(F.sum(s), F.count(s), 4).alias("score_mean"),
         F.min(w).alias("weight_min"), F.max(w).alias("weight_max"),
-        F.round(exact_div(F.sum(w), F.count(w)), 4).alias("weight_mean"),
+        ratio(F.sum(w), F.count(w), 4).alias("weight_mean"),
     )
 
 
@@ -196,7 +196,7 @@ def normal_scores(t: Tables) -> DataFrame:
     """Weighted mean score per enrollment, NULL without grades or with weights that sum to zero."""
     points = F.sum(F.col("score") * F.col("weight"))
     per = t["university_grades"].groupBy("enrollment_id").agg(
-        exact_div(points, F.sum("weight")).cast("double").alias("normal_score"))
+        ratio(points, F.sum("weight"), 16).cast("double").alias("normal_score"))
     return t["university_enrollments"].join(per, "enrollment_id", "left")
 
 

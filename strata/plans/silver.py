@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from strata.catalog import CLOSED_STAGES, SOURCES
 from strata.functions.dates import age_years, outside
-from strata.functions.money import beyond, exact_div, payment_band, within
+from strata.functions.money import beyond, payment_band, ratio, within
 from strata.functions.text import blank_to_null, true_or_false
 from strata.operators.dedupe import flag_duplicates, pick_survivor
 from strata.operators.lookup import lookup, mark_exists
@@ -92,23 +92,23 @@ def grades(raw: DataFrame) -> DataFrame:
 
 
 def grade_summary(raw: DataFrame) -> DataFrame:
-    """Per enrollment, from the unrounded source numbers; rounding happens only in the result.
+    """Per enrollment, from the unrounded source numbers (nine decimals); rounding happens only in the result.
 
     Sums are wider than the published column types, so that an enrollment with very many grades does not
     stop the load; the overflow rule counts what exceeds the published type.
     """
-    score, weight = F.col("score").cast("decimal(18,6)"), F.col("weight").cast("decimal(18,6)")
+    score, weight = F.col("score").cast("decimal(18,9)"), F.col("weight").cast("decimal(18,9)")
     sums = raw.groupBy("enrollment_id").agg(
         F.count(F.lit(1)).alias("n_grades"), F.sum(weight).alias("w"),
         F.sum(score * weight).alias("points"), F.sum(score).alias("s"), F.count(score).alias("c"),
     )
-    one = F.lit("1").cast("decimal(18,6)")
+    one = F.lit("1").cast("decimal(18,9)")
     return sums.select(
         "enrollment_id", "n_grades",
         F.col("w").cast("decimal(22,3)").alias("weight_sum"),
         _flag(within(F.col("w"), one), "weight_sum_ok"),
-        exact_div(F.col("points"), F.col("w")).cast("decimal(6,3)").alias("final_score_weighted"),
-        exact_div(F.col("s"), F.col("c")).cast("decimal(6,3)").alias("final_score_simple"),
+        ratio(F.col("points"), F.col("w"), 3, scale=18).cast("decimal(6,3)").alias("final_score_weighted"),
+        ratio(F.col("s"), F.col("c"), 3, scale=9).cast("decimal(6,3)").alias("final_score_simple"),
     )
 
 

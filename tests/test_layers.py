@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
+import random
+from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
 from probes.bindings import TestTables, bronze
 from strata.catalog import SOURCES
+from strata.functions.money import ratio
 from strata.plans import kpi, silver as sv
 from strata.plans.gold import date_span, dim_account, fact_enrollment, gold
 from strata.plans.insights import INSIGHTS, Model
@@ -74,6 +79,32 @@ def test_grades(spark):
     assert sum(column(sv.grades(raw), "grade_id", "has_duplicate_assessment").values()) == 2
 
 
+def test_scores_are_rounded_once_from_the_source_numbers(spark):
+    """Quotients at the edge of a rounding: the denominator keeps its decimals, nothing between is rounded."""
+    cases = {"thirds": [("60", "0.33333")] * 3, "below": [("59.9994996", "1")], "prime": [("61.13949", "0.5"), ("61.13949", "0.519")],
+             "tie": [("59.9995", "1")], "fine": [("99.999999", "0.000001"), ("0", "0.000002")], "minus": [("-59.9995", "1")]}
+    rows = [(f"{e}{i}", "a", s, w, "2024-05-01", e) for e, pairs in cases.items() for i, (s, w) in enumerate(pairs)]
+    got = column(sv.grade_summary(source(spark, "university_grades", *rows)), "enrollment_id", "final_score_weighted")
+    exact = {}
+    for e, pairs in cases.items():
+        value = sum(Fraction(s) * Fraction(w) for s, w in pairs) / sum(Fraction(w) for _, w in pairs)
+        exact[e] = Decimal(math.floor(abs(value) * 1000 + Fraction(1, 2)) * (-1 if value < 0 else 1)).scaleb(-3)
+    assert got == exact and exact["thirds"] == 60 and exact["below"] == Decimal("59.999") and exact["tie"] == 60
+
+
+def test_ratio_against_fractions(spark):
+    r = random.Random(9)
+    pairs = [(Decimal(r.randint(-10**k, 10**k)).scaleb(-r.randint(0, 10)), Decimal(r.randint(-10**j, 10**j)).scaleb(-r.randint(0, 10)))
+             for k in (2, 9, 17) for j in (1, 6, 14) for _ in range(60)]
+    pairs = [(a, b) for a, b in pairs if not b or abs(a / b) < 10**16]
+    df = spark.createDataFrame(pairs, "a decimal(28,10), b decimal(28,10)")
+    for digits, times in ((0, 1), (3, 1), (1, 100)):
+        for a, b, q in df.select("a", "b", ratio(F.col("a"), F.col("b"), digits, times=times).alias("q")).collect():
+            exact = Fraction(a) * times / Fraction(b) if b else None
+            want = None if exact is None else math.floor(abs(exact) * 10**digits + Fraction(1, 2)) * (-1 if exact < 0 else 1)
+            assert (None if q is None else int(q.scaleb(digits))) == want, (a, b, q)
+
+
 def test_pass_mark(spark):
     enrollments = spark.createDataFrame(
         [(x, "s", "c", "m", dt.date(2024, 1, 1), "completed", x != "none", True) for x in ("below", "exact", "none")],
