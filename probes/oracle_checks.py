@@ -261,7 +261,14 @@ SUMS = {"fact_invoice.invoiced_amount": "cast(sum(invoiced_amount) * 1000 as big
 ORACLE["export_parity"] = on_kpi("\nunion all\n".join(
     [checked("rows", n, f"select count(*) from {n}", f"select count(*) from {n}") for n in (
         "dim_customer", "dim_semester", "fact_enrollment", "fact_invoice", "kpi_revenue_monthly")]
+    + [checked("content", n, "select 0", "select 0") for n in ("dim_customer", "dim_semester", "fact_enrollment", "fact_invoice", "kpi_revenue_monthly")]
     + [checked("sums", label, f"select {e} from {label.split('.')[0]}", f"select {e} from {label.split('.')[0]}") for label, e in SUMS.items()]))
+ORACLE["refresh_versions"] = on_silver("\nunion all\n".join(
+    f"select '{seen}' as seen, '{name}' as object, count(*) as row_count from {table}" for seen in ("before", "between", "after")
+    for name, table in (("invoices", "s_billing_invoices" + (" where status = 'paid'" if seen == "after" else "")), ("customers", "s_billing_customers"))))
+ORACLE["ledger_totals"] = f"""with {RAW}
+select 3 as versions, 2 as loaded, 1 as failed, 0 as unfinished, n as loaded_rows, n as expected_rows
+from (select count(*) + count(*) filter (external_ref <> '') as n from billing_customers)"""
 ORACLE["ingest_twice"] = """
 select 1 as attempt, 'loaded' as status, count(*) as row_count, 0 as differing_rows from customer
 union all select 2, 'skipped', count(*), 0 from customer"""

@@ -25,7 +25,9 @@ from strata.plans.proposed import PROPOSED
 from strata.plans.silver import grade_summary, silver
 from strata.plans.typed import issues, typed
 from strata.session import shared_folder
-from strata.sources.ledger import batch_listing, current, ingest, read_bronze
+from strata.plans.versions import Draft, read_layer
+from strata.sources.delimited import SourceError
+from strata.sources.ledger import batch_listing, current, ingest, read_bronze, totals
 
 
 class Context:
@@ -260,8 +262,23 @@ def export_parity(c: Context) -> DataFrame:
     folder = f"{shared_folder(c.spark)}/export-{uuid.uuid4()}"
     names = ("dim_customer", "dim_semester", "fact_enrollment", "fact_invoice")
     written = Layer({**{n: (lambda n=n: c.gold[n]) for n in names}, "kpi_revenue_monthly": lambda: kpi.revenue_monthly(c.gold)})
-    export.export_layer(written, folder)
-    return export.check_export(c.spark, written, folder, "gold")
+    export.export_layer(c.spark, written, folder, "gold")
+    return export.check_published(c.spark, folder)
+
+
+@query("refresh_versions")
+def refresh_versions(c: Context) -> DataFrame:
+    """Two refreshes of a layer, the second with the paid invoices only and not published before it was read: rows readers see before, between and after."""
+    folder = f"{shared_folder(c.spark)}/versions-{uuid.uuid4()}"
+    invoices, customers = c.silver["billing_invoices"], c.silver["billing_customers"]
+    first = Draft(c.spark, folder).write({"invoices": invoices, "customers": customers})
+    first.publish()
+    draft = Draft(c.spark, folder).write({"invoices": invoices.where("status = 'paid'"), "customers": customers})
+    between = read_layer(c.spark, folder)
+    draft.publish()
+    seen = {"before": read_layer(c.spark, folder, version=first.version), "between": between, "after": read_layer(c.spark, folder)}
+    return union_all(df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(when).alias("seen"), F.lit(name).alias("object"), "row_count")
+                     for when, layer in seen.items() for name, df in layer.items())
 
 
 @query("ledger_listing")
@@ -278,6 +295,26 @@ def ledger_listing(c: Context) -> DataFrame:
         "source_domain", "source_table", "expected_rows", "loaded_rows", "status", F.length("checksum_prefix").alias("prefix_length"), broken.alias("broken_rules"))
 
 
+@query("ledger_totals")
+def ledger_totals(c: Context) -> DataFrame:
+    """The ledger after a load, a load of other content, a failed one and a repeated one: file versions by state and the rows loaded."""
+    folder = f"{shared_folder(c.spark)}/totals-{uuid.uuid4()}"
+
+    def spec(table: str, rows: DataFrame, part: int, more: int = 0) -> SourceSpec:
+        path = f"{folder}/raw/{table}-{part}"
+        rows.write.csv(path, header=True, emptyValue="", escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        return SourceSpec("billing", table, tuple(rows.columns), rows.count() + more, path)
+
+    customers, products = c.bronze["billing_customers"], c.bronze["billing_products"]
+    loads = [spec("customers", customers, 1), spec("customers", customers.where("external_ref <> ''"), 2), spec("products", products, 1, more=1)]
+    for one in (*loads, loads[0]):
+        try:
+            ingest(c.spark, one, f"{folder}/bronze", f"{folder}/ledger")
+        except SourceError:  # the products: one row more is expected than there are
+            continue
+    return totals(c.spark, f"{folder}/ledger")
+
+
 @query("ingest_twice")
 def ingest_twice(c: Context) -> DataFrame:
     """The customer source written as delimited text, loaded twice and compared with its own rows."""

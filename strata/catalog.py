@@ -176,8 +176,8 @@ class SourceSpec:
     columns: tuple[str, ...]
     expected_rows: int
     path: str
-    #: May quoted fields hold line breaks? If not, files are parsed in blocks, side by side.
-    line_breaks: bool = True
+    #: Do quoted fields hold line breaks? If not, files are parsed in blocks, side by side. None: a load finds out.
+    line_breaks: bool | None = None
 
     @property
     def name(self) -> str:
@@ -192,7 +192,7 @@ def load_catalog(spark: SparkSession, manifest: str, raw_dir: str) -> list[Sourc
     """Read the manifest (one small JSON document) through Spark, so any file system works."""
     text = spark.read.text(manifest, wholetext=True).first()[0]
     return [
-        SourceSpec(domain, table, tuple(entry["cols"]), int(entry["rows"]), f"{raw_dir}/{domain}/{table}.csv")
+        SourceSpec(domain, table, tuple(entry["cols"]), int(entry["rows"]), f"{raw_dir}/{domain}/{table}.csv", entry.get("line_breaks"))
         for domain, tables in json.loads(text)["domains"].items()
         for table, entry in tables.items()
     ]

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.digest import same
 from strata.operators.quality import Check, run_checks, union_all
+from strata.plans.versions import Draft, resolve, sums_of, total
 
 # Sums that must survive the export: layer, table, column.
 SUM_CHECKS = (
@@ -16,20 +18,20 @@ SUM_CHECKS = (
 )
 
 
-def export_layer(frames: Mapping[str, DataFrame], folder: str) -> None:
-    """Every table as snappy Parquet, replacing what is there. Nothing passes through the driver."""
-    for name, frame in frames.items():
-        frame.write.mode("overwrite").option("compression", "snappy").parquet(f"{folder}/{name}")
+def draft_layer(spark: SparkSession, frames: Mapping[str, DataFrame], folder: str, layer: str) -> Draft:
+    """A new version of a layer, written but not yet shown to readers."""
+    return Draft(spark, folder).write(frames, sums_of(layer, SUM_CHECKS))
 
 
-def read_layer(spark: SparkSession, folder: str, names: list[str]) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{folder}/{name}") for name in names}
+def export_layer(spark: SparkSession, frames: Mapping[str, DataFrame], folder: str, layer: str) -> DataFrame:
+    """Write and publish a layer; (object, row_count) of what was written."""
+    draft = draft_layer(spark, frames, folder, layer)
+    draft.publish()
+    return exported(draft)
 
 
-def refresh(spark: SparkSession, frames: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
-    """Write a layer and go on from the written tables: later layers do not recompute it."""
-    export_layer(frames, folder)
-    return read_layer(spark, folder, list(frames))
+def exported(draft: Draft) -> DataFrame:
+    return draft.spark.createDataFrame([(name, w.digest.rows) for name, w in draft.tables.items()], "object string, row_count bigint")
 
 
 def inventory(frames: Mapping[str, DataFrame], layer: str, kind: Callable[[str], str] = lambda n: "table") -> DataFrame:
@@ -40,19 +42,20 @@ def inventory(frames: Mapping[str, DataFrame], layer: str, kind: Callable[[str],
         for name, frame in frames.items())
 
 
-def check_export(spark: SparkSession, frames: Mapping[str, DataFrame], folder: str, layer: str) -> DataFrame:
-    """Rows per object and the checked sums (in units of 0.001), written against ``frames``, from which they were written.
+def check_export(version: Draft, names: Sequence[str] | None = None) -> DataFrame:
+    """The files of a version against what was observed while they were written: rows, content (0: the digests agree), checked sums in units of 0.001.
 
-    Only counts and one column a sum are computed anew from the frames, so Spark prunes the rest.
+    One pass over the written tables; nothing they were built from is computed again. Works for drafts and, by :func:`check_published`, at any later time.
     """
-    written = read_layer(spark, folder, list(frames))
-    count = F.count(F.lit(1))
-    checks = [
-        Check("rows", name, written[name], count, F.lit(frame.agg(count).scalar())) for name, frame in frames.items()
-    ]
-    for where, table, column in SUM_CHECKS:
-        if where == layer and table in frames:
-            total = F.sum(F.col(column).cast("decimal(28,3)")) * 1000
-            checks.append(Check("sums", f"{table}.{column}", written[table], total,
-                                F.lit(frames[table].agg(total.cast("bigint")).scalar())))
+    checks = []
+    tables = version.read()
+    for name in names or tables:
+        frame = tables[name]
+        was = version.tables[name]
+        checks += [Check("rows", name, frame, F.count(F.lit(1)), was.digest.rows), Check("content", name, frame, same(frame.columns, was.digest), 0)]
+        checks += [Check("sums", f"{name}.{c}", frame, total(c), int(s * 1000) if s is not None else 0) for c, s in was.sums.items()]
     return run_checks(checks)
+
+
+def check_published(spark: SparkSession, folder: str, version: str | None = None) -> DataFrame:
+    return check_export(resolve(spark, folder, version))

@@ -1,7 +1,8 @@
 """The whole batch: sources -> Bronze -> Silver -> Gold -> export, with a gate after each layer.
 
 Every layer is written before the next one starts and is read back from there, so a lost executor costs
-at most the tasks of the layer at hand. A failed gate stops the run.
+at most the tasks of the layer at hand. A failed gate stops the run; readers see a layer (``versions.read_layer``) once its gate is passed, and the
+whole layer before until then.
 """
 
 from __future__ import annotations
@@ -19,17 +20,20 @@ from strata.catalog import SourceSpec, load_catalog
 from strata.operators.quality import Check, gate, long_form, run_checks, union_all
 from strata.plans import validators
 from strata.plans.audits import billing, crm, crossdomain, university
-from strata.plans.export import check_export, export_layer, refresh
+from strata.plans.export import check_export, draft_layer
 from strata.plans.gold import date_span, gold
 from strata.plans.kpi import KPIS
 from strata.plans.layer import Layer
 from strata.plans.silver import AS_OF, silver
 from strata.plans.typed import typed
 from strata.session import tune
-from strata.sources.delimited import inventory, with_lineage
+from strata.plans.versions import remove_old
+from strata.sources.delimited import inventory
 from strata.sources.ledger import LoadResult, current, ingest, read_bronze
 
 AUDIT_AS_OF = "2026-07-21"
+#: Published versions of a layer whose tables stay: the newest, and the one that readers may still be on.
+KEPT_VERSIONS = 2
 
 
 @dataclass(frozen=True)
@@ -65,7 +69,7 @@ def bronze_layer(spark: SparkSession, specs: Sequence[SourceSpec], out: str) ->
 def check_bronze(spark: SparkSession, specs: Sequence[SourceSpec], bronze: Layer, out: str) -> DataFrame:
     state = current(spark, f"{out}/ledger")
     return union_all(
-        validators.check_bronze(s, with_lineage(spark, s, "check"), bronze[s.name], state) for s in specs)
+        validators.check_bronze(s, bronze[s.name], state) for s in specs)
 
 
 def run(spark: SparkSession, manifest: str, raw_dir: str, out: str, as_of: str = AS_OF, published: bool = False) -> Summary:
@@ -78,23 +82,26 @@ def run(spark: SparkSession, manifest: str, raw_dir: str, out: str, as_of: str =
     state = current(spark, f"{out}/ledger")
     checks += pass_gate(check_bronze(spark, specs, bronze, out).unionByName(validators.check_ledger(state)), "Bronze", out)
 
-    built = silver(bronze, as_of)
-    s = refresh(spark, built, f"{out}/silver")
-    results = [validators.silver_rows(bronze, s), validators.silver_derived(s), check_export(spark, built, f"{out}/silver", "silver")]
+    silver_draft = draft_layer(spark, silver(bronze, as_of), f"{out}/silver", "silver")
+    s = silver_draft.read()
+    results = [validators.silver_rows(bronze, s), validators.silver_derived(s), check_export(silver_draft)]
     if published:
         results.append(validators.silver_flags(s))
     checks += pass_gate(union_all(results), "Silver", out)
+    silver_draft.publish()
 
-    built = gold(s, date_span(spark))
-    g = refresh(spark, built, f"{out}/gold")
-    results = [validators.gold_integrity(g), validators.gold_consistency(s, g), check_export(spark, built, f"{out}/gold", "gold")]
+    gold_draft = draft_layer(spark, gold(s, date_span(spark)), f"{out}/gold", "gold")
+    g = gold_draft.read()
+    results = [validators.gold_integrity(g), validators.gold_consistency(s, g), check_export(gold_draft, list(g))]
     if published:
         results += [validators.gold_rows(g), validators.kpi_totals(g)]
     checks += pass_gate(union_all(results), "Gold", out)
 
-    kpis = Layer({name: (lambda f=f: f(g)) for name, f in KPIS.items()})
-    export_layer(kpis, f"{out}/gold")
-    checks += pass_gate(check_export(spark, kpis, f"{out}/gold", "gold"), "Export", out)
+    gold_draft.write(Layer({name: (lambda f=f: f(g)) for name, f in KPIS.items()}))
+    checks += pass_gate(check_export(gold_draft, list(KPIS)), "Export", out)
+    gold_draft.publish()
+    for layer in ("silver", "gold"):
+        remove_old(spark, f"{out}/{layer}", KEPT_VERSIONS)
     return Summary(loads, checks)
 
 

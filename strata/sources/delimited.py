@@ -1,7 +1,7 @@
 """All-text scans of delimited files with header contract, row numbers, row hashes and file fingerprints.
 
-One way for files of every size. Whether fields may hold line breaks is a property of the source (``SourceSpec.line_breaks``): if
-they may, a file is parsed by one task; if not, files are cut into blocks that are parsed side by side.
+One way for files of every size. Whether fields hold line breaks is a property of the source (``SourceSpec.line_breaks``) or seen when a load
+takes the fingerprint of its lines: if they do, a file is parsed by one task; if not, files are cut into blocks that are parsed side by side.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ class SourceError(ValueError):
 
 
 def csv_options(spec: SourceSpec) -> dict[str, object]:
-    return {"header": True, "multiLine": spec.line_breaks, **CSV}
+    return {"header": True, "multiLine": spec.line_breaks is not False, **CSV}
 
 
 def header_of(spark: SparkSession, path: str) -> list[str]:
@@ -82,41 +82,45 @@ def with_lineage(spark: SparkSession, spec: SourceSpec, batch: str) -> DataFrame
 
 
 def file_facts(spark: SparkSession, path: str, columns: Sequence[str] = ()) -> DataFrame:
-    """(file, bytes, checksum, header_ok) per file that is not empty, in one pass over blocks read side by side.
+    """(file, bytes, checksum, header_ok, line_breaks) per file that is not empty, in one pass over blocks read side by side.
 
     The checksum stands for all bytes of the file in their order: size, number of lines (ended by a line feed alone, so a carriage
     return counts as content), and for both halves of the lines' hashes their sum and their sum weighted by line number. It
     does not depend on how a file is cut into blocks: weights within a block are moved by the lines before the block.
-    ``header_ok``: the first line names ``columns``, quoted or not.
+    ``header_ok``: the first line names ``columns``, quoted or not. ``line_breaks``: some line has an odd number of quotes, so a quoted field goes
+    on behind it, or a carriage return that does not end it.
     """
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # within the task
     named = F.replace(F.regexp_replace("value", "^\ufeff|\r$", ""), F.lit('"'), F.lit("")) == F.lit(",".join(columns))
     lines = spark.read.text(path, lineSep="\n").select(
         F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_size").alias("bytes"),
         F.col("_metadata.file_block_start").alias("__block"), place.alias("__at"), F.xxhash64("value").alias("__hash"),
+        ((F.char_length(F.regexp_replace("value", '[^"]', "")) % 2 == 1) | F.col("value").rlike("\r.")).alias("__open"),
         F.when(F.col("_metadata.file_block_start") == 0, named).alias("__named"))
     halves = {"lo": F.col("__hash").bitwiseAND(F.lit((1 << 32) - 1)), "hi": F.shiftrightunsigned("__hash", 32)}
     whole = {k: v.cast("decimal(10,0)") for k, v in halves.items()}
     blocks = lines.groupBy("__file", "__block").agg(
         F.first("bytes").alias("bytes"), F.count(F.lit(1)).alias("n"), F.count(F.lit(1)).alias("__skip"), F.min("__at").alias("__first"),
-        F.min_by("__named", "__at").alias("__named"), *[F.sum(v).alias(f"s_{k}") for k, v in whole.items()],
+        F.min_by("__named", "__at").alias("__named"), F.bool_or("__open").alias("__open"), *[F.sum(v).alias(f"s_{k}") for k, v in whole.items()],
         *[F.sum(v * F.col("__at").cast("decimal(10,0)")).alias(f"w_{k}") for k, v in whole.items()])
     moved = (F.col("__skip") - F.col("__first")).cast("decimal(16,0)")
     files = _before(blocks, "__skip").groupBy(F.col("__file").alias("file")).agg(
         F.first("bytes").alias("bytes"), F.sum("n").alias("n"), F.bool_or((F.col("__block") == 0) & F.col("__named")).alias("header_ok"),
+        F.bool_or("__open").alias("line_breaks"),
         *[F.sum(f"s_{k}").alias(f"s_{k}") for k in whole],
         *[F.sum(F.col(f"w_{k}") + moved * F.col(f"s_{k}")).alias(f"w_{k}") for k in whole])
     return files.select("file", "bytes", F.sha2(F.concat_ws(":", "bytes", "n", "s_lo", "s_hi", "w_lo", "w_hi"), 256).alias("checksum"),
-                        F.coalesce("header_ok", F.lit(False)).alias("header_ok"))
+                        F.coalesce("header_ok", F.lit(False)).alias("header_ok"), "line_breaks")
 
 
 @dataclass(frozen=True)
 class Contents:
-    """What the files of a source are: how many, one of those with another header, one checksum for all."""
+    """What the files of a source are: how many, one of those with another header, one checksum for all, whether fields go over lines."""
 
     files: int
     other_header: str | None
     checksum: str
+    line_breaks: bool
 
 
 def examine(spark: SparkSession, path: str, columns: Sequence[str] = ()) -> Contents:
@@ -124,9 +128,9 @@ def examine(spark: SparkSession, path: str, columns: Sequence[str] = ()) -> Cont
     name = F.element_at(F.split("file", "/"), -1)
     row = file_facts(spark, path, columns).agg(
         F.count(F.lit(1)).alias("n"), F.min(F.when(~F.col("header_ok"), F.col("file"))).alias("other"), F.max("checksum").alias("only"),
-        F.sum(F.xxhash64(name, "checksum").cast("decimal(38,0)")).alias("h"),
-    ).select("n", "other", F.when(F.col("n") == 1, F.col("only")).otherwise(F.sha2(F.concat_ws(":", "n", "h"), 256)).alias("checksum")).first()
-    return Contents(row["n"], row["other"], row["checksum"])
+        F.sum(F.xxhash64(name, "checksum").cast("decimal(38,0)")).alias("h"), F.coalesce(F.bool_or("line_breaks"), F.lit(True)).alias("line_breaks"),
+    ).select("n", "other", "line_breaks", F.when(F.col("n") == 1, F.col("only")).otherwise(F.sha2(F.concat_ws(":", "n", "h"), 256)).alias("checksum")).first()
+    return Contents(row["n"], row["other"], row["checksum"], row["line_breaks"])
 
 
 def fingerprint(spark: SparkSession, path: str) -> str:

@@ -9,6 +9,7 @@ from __future__ import annotations
 import time
 import uuid
 from dataclasses import asdict, dataclass, replace
+from decimal import Decimal
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.catalog import SourceSpec
+from strata.operators.digest import Digest, digest, observed
 from strata.sources.delimited import SourceError, check_contents, with_lineage
 
 ERROR_LENGTH = 4000
@@ -29,7 +31,10 @@ EVENT = T.StructType([
     T.StructField("status", T.StringType()), T.StructField("started_at", T.LongType()),
     T.StructField("completed_at", T.LongType()), T.StructField("error_message", T.StringType()),
     T.StructField("event_ns", T.LongType()),
+    T.StructField("first_digest", T.DecimalType(38, 0)), T.StructField("second_digest", T.DecimalType(38, 0)),
 ])
+#: What a stored row is told by: its place in the source and its content.
+ROW_MARKS = ("_source_row_number", "_row_hash")
 
 
 @dataclass(frozen=True)
@@ -47,6 +52,8 @@ class Batch:
     completed_at: int | None
     error_message: str | None
     event_ns: int
+    first_digest: Decimal | None = None
+    second_digest: Decimal | None = None
 
 
 @dataclass(frozen=True)
@@ -95,41 +102,62 @@ def batch_path(bronze: str, spec: SourceSpec, batch: str) -> str:
     return f"{bronze}/{spec.name}/_batch_id={batch}"
 
 
-def _stored_rows(spark: SparkSession, path: str) -> int:
+def totals(spark: SparkSession, ledger: str) -> DataFrame:
+    """One row: file versions, how many of them are loaded, failed or unfinished, and the rows of those loaded."""
+    done = F.col("status") == "success"
+    return current(spark, ledger).agg(
+        F.count(F.lit(1)).alias("versions"), F.count_if(done).alias("loaded"), F.count_if(F.col("status") == "failed").alias("failed"),
+        F.count_if(F.col("status") == "loading").alias("unfinished"),
+        F.coalesce(F.sum(F.when(done, F.col("loaded_rows"))), F.lit(0)).alias("loaded_rows"),
+        F.coalesce(F.sum(F.when(done, F.col("expected_rows"))), F.lit(0)).alias("expected_rows"))
+
+
+def stored_digest(spark: SparkSession, path: str) -> Digest:
+    """What a batch folder holds now; reads row numbers and hashes only."""
     try:
-        return spark.read.parquet(path).count()
+        return digest(spark.read.parquet(path), ROW_MARKS)
     except AnalysisException:
-        return 0
+        return Digest(0, Decimal(0), Decimal(0))
+
+
+def visible(state: DataFrame, spec: SourceSpec) -> DataFrame:
+    """Batches of a source that readers see: the newest successful load and the arrivals after it."""
+    mine = state.where((F.col("source_domain") == spec.domain) & (F.col("source_table") == spec.table) & (F.col("status") == "success"))
+    arrived = F.col("batch_id").startswith(ARRIVAL)
+    newest = mine.agg(F.max_by("batch_id", F.when(~arrived, F.col("completed_at"))).alias("full"),
+                      F.coalesce(F.max(F.when(~arrived, F.col("completed_at"))), F.lit(0)).alias("since"))
+    later = (arrived & (F.col("completed_at") > F.col("since"))) | F.col("batch_id").eqNullSafe(F.col("full"))
+    return mine.join(F.broadcast(newest), later).drop("full", "since")  # one row
 
 
 def read_bronze(spark: SparkSession, bronze: str, ledger: str, spec: SourceSpec) -> DataFrame:
     """Rows of the newest successful load of a source and of the arrivals after it; only their partitions are read."""
-    mine = current(spark, ledger).where(
-        (F.col("source_domain") == spec.domain) & (F.col("source_table") == spec.table) & (F.col("status") == "success"))
-    arrived = F.col("batch_id").startswith(ARRIVAL)
-    row = mine.agg(F.max_by("batch_id", F.when(~arrived, F.col("completed_at"))).alias("full"),
-                   F.max(F.when(~arrived, F.col("completed_at"))).alias("since"), F.count_if(arrived).alias("arrivals"),
-                   F.count(F.lit(1)).alias("n")).first()
+    batches = visible(current(spark, ledger), spec).select("batch_id")
+    row = batches.agg(F.count(F.lit(1)).alias("n"), F.min("batch_id").alias("only")).first()
     if not row["n"]:
         raise SourceError(f"no successful load of {spec.name}")
-    if not row["arrivals"]:
-        return spark.read.parquet(batch_path(bronze, spec, row["full"])).withColumn("_batch_id", F.lit(row["full"]))
-    later = mine.where((arrived & (F.col("completed_at") > F.lit(row["since"] or 0))) | F.col("batch_id").eqNullSafe(F.lit(row["full"])))
-    return spark.read.parquet(f"{bronze}/{spec.name}").join(later.select(F.col("batch_id").alias("_batch_id")), "_batch_id", "left_semi")
+    if row["n"] == 1:
+        return spark.read.parquet(batch_path(bronze, spec, row["only"])).withColumn("_batch_id", F.lit(row["only"]))
+    return spark.read.parquet(f"{bronze}/{spec.name}").join(batches.withColumnRenamed("batch_id", "_batch_id"), "_batch_id", "left_semi")
 
 
 def ingest(spark: SparkSession, spec: SourceSpec, bronze: str, ledger: str) -> LoadResult:
     """Load one source once per content.
 
-    The same content again is skipped when its rows are all there. An incomplete batch keeps its id, and
-    its folder is replaced. A new content becomes an additional batch.
+    The same content again is skipped when its rows are all there, unchanged. An incomplete or damaged batch keeps its id, and
+    its folder is replaced. A new content becomes an additional batch. The source is parsed once: the digest of what was parsed is
+    observed while it is written, compared with what is stored, and kept in the ledger. Whether files can be cut into blocks is seen when their lines
+    are fingerprinted, unless the source says it.
     """
-    checksum = check_contents(spark, spec).checksum
+    found = check_contents(spark, spec)
+    checksum = found.checksum
+    if spec.line_breaks is None:
+        spec = replace(spec, line_breaks=found.line_breaks)
     known = current(spark, ledger).where(
         (F.col("source_domain") == spec.domain) & (F.col("source_table") == spec.table)
         & (F.col("source_checksum") == checksum)).first()
     if known is not None and known.status == "success" and known.loaded_rows == spec.expected_rows:
-        if _stored_rows(spark, batch_path(bronze, spec, known.batch_id)) == spec.expected_rows:
+        if stored_digest(spark, batch_path(bronze, spec, known.batch_id)) == Digest(known.loaded_rows, known.first_digest, known.second_digest):
             return LoadResult(spec.path, spec.name, "skipped", spec.expected_rows, known.batch_id)
     batch_id = known.batch_id if known is not None else str(uuid.uuid4())
     event = Batch(batch_id, spec.domain, spec.table, spec.name, spec.path, checksum, spec.expected_rows, 0,
@@ -137,13 +165,17 @@ def ingest(spark: SparkSession, spec: SourceSpec, bronze: str, ledger: str) -> L
     append(spark, ledger, event)
     path = batch_path(bronze, spec, batch_id)
     try:
-        with_lineage(spark, spec, batch_id).drop("_batch_id").write.mode("overwrite").parquet(path)
-        rows = _stored_rows(spark, path)
-        if rows != spec.expected_rows:
-            raise SourceError(f"{spec.path}: expected {spec.expected_rows} rows, stored {rows}")
+        watched, watch = observed(with_lineage(spark, spec, batch_id).drop("_batch_id"), ROW_MARKS)
+        watched.write.mode("overwrite").parquet(path)
+        parsed, stored = Digest.of(watch.get), stored_digest(spark, path)
+        if stored.rows != spec.expected_rows:
+            raise SourceError(f"{spec.path}: expected {spec.expected_rows} rows, stored {stored.rows}")
+        if stored != parsed:
+            raise SourceError(f"{spec.path}: what is stored is not what was parsed")
     except Exception as error:
         append(spark, ledger, replace(event, status="failed", completed_at=time.time_ns(),
                                       error_message=str(error)[:ERROR_LENGTH]))
         raise
-    append(spark, ledger, replace(event, status="success", loaded_rows=rows, completed_at=time.time_ns()))
-    return LoadResult(spec.path, spec.name, "loaded", rows, batch_id)
+    append(spark, ledger, replace(event, status="success", loaded_rows=stored.rows, completed_at=time.time_ns(),
+                                  first_digest=stored.first, second_digest=stored.second))
+    return LoadResult(spec.path, spec.name, "loaded", stored.rows, batch_id)

@@ -14,8 +14,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from strata.catalog import SourceSpec
 from strata.functions.text import row_hash
+from strata.operators.digest import metrics
 from strata.sources.delimited import csv_options, place_numbers
-from strata.sources.ledger import ARRIVAL, Batch, append, batch_path
+from strata.sources.ledger import ARRIVAL, ROW_MARKS, Batch, append, batch_path
 
 
 def load_arrivals(spark: SparkSession, spec: SourceSpec, landing: str, bronze: str, ledger: str, checkpoint: str,
@@ -39,10 +40,10 @@ def load_arrivals(spark: SparkSession, spec: SourceSpec, landing: str, bronze: s
             row_hash(spec.columns).alias("_row_hash"), F.current_timestamp().alias("_ingested_at"))
         rows.write.mode("overwrite").parquet(path)
         mark = F.xxhash64("_source_file", "_source_row_number", "_row_hash").cast("decimal(38,0)")
-        done = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n"), F.sum(mark).alias("h")).select(
-            "n", F.sha2(F.concat_ws(":", F.lit(name), "n", "h"), 256).alias("checksum")).first()
-        append(spark, ledger, Batch(name, spec.domain, spec.table, spec.name, landing, done["checksum"], done["n"], done["n"], "success",
-                                    began, time.time_ns(), None, 0))
+        done = spark.read.parquet(path).agg(F.sum(mark).alias("h"), *metrics(ROW_MARKS)).select(
+            "rows", "first", "second", F.sha2(F.concat_ws(":", F.lit(name), "rows", "h"), 256).alias("checksum")).first()
+        append(spark, ledger, Batch(name, spec.domain, spec.table, spec.name, landing, done["checksum"], done["rows"], done["rows"], "success",
+                                    began, time.time_ns(), None, 0, done["first"], done["second"]))
 
     return (
         arriving.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

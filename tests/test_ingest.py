@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 
 from strata.catalog import SOURCES, SourceSpec, load_catalog
 from strata.operators.quality import GateError, gate
-from strata.plans.export import check_export, export_layer
+from strata.operators.digest import digest
+from strata.plans.export import check_export, check_published, draft_layer, export_layer
 from strata.plans.run import bronze_layer, run, run_audit
 from strata.plans.validators import check_bronze, check_ledger
-from strata.sources.delimited import SourceError, check_source, file_facts, fingerprint, inventory, with_lineage
+from strata.plans.versions import Draft, UnpublishedError, history, read_layer, remove_old
+from strata.sources.delimited import SourceError, check_source, examine, file_facts, fingerprint, inventory, with_lineage
 from strata.sources.ledger import Batch, append, batch_listing, current, events, ingest, latest_batches, read_bronze
 from strata.streaming.arrivals import load_arrivals
 
@@ -121,7 +123,7 @@ def test_load_skip_change_fail_retry(spark, spec, tmp_path):
     again = ingest(spark, spec, bronze, ledger)
     assert (first.status, again.status, first.batch_id) == ("loaded", "skipped", again.batch_id)
     state = current(spark, ledger)
-    checks = check_bronze(spec, with_lineage(spark, spec, "x"), read_bronze(spark, bronze, ledger, spec), state)
+    checks = check_bronze(spec, read_bronze(spark, bronze, ledger, spec), state)
     assert gate(checks, "bronze") == 6
 
     with open(spec.path, "a", encoding="utf-8") as file:  # a new version becomes a second batch
@@ -222,17 +224,105 @@ def test_damaged_export_and_ledger_are_seen(spark, tmp_path):
     folder = str(tmp_path / "out")
     frames = {"fact_invoice": spark.createDataFrame([(1, "10.00"), (2, "5.50")], "id int, invoiced_amount string").withColumn(
         "invoiced_amount", F.col("invoiced_amount").cast("decimal(12,2)"))}
-    export_layer(frames, folder)
-    assert gate(check_export(spark, frames, folder, "gold"), "x") == 2
-    export_layer({"fact_invoice": frames["fact_invoice"].where("id = 1")}, folder)
-    with pytest.raises(GateError, match="2 of 2 checks"):
-        gate(check_export(spark, frames, folder, "gold"), "x")
+    assert [tuple(r) for r in export_layer(spark, frames, folder, "gold").collect()] == [("fact_invoice", 2)]
+    assert gate(check_published(spark, folder), "x") == 3
+    version = draft_layer(spark, frames, folder, "gold")
+    for other in ("id = 1", "id > 0 and id < 3 or true"):  # a lost row, then the same rows
+        frames["fact_invoice"].where(other).write.mode("overwrite").parquet(version.path("fact_invoice"))
+        failed = {r.section for r in check_export(version).collect() if not r.ok}
+        assert failed == ({"rows", "content", "sums"} if other == "id = 1" else set())
+    swapped = frames["fact_invoice"].withColumn("id", 3 - F.col("id"))  # same rows and sums, other content
+    swapped.write.mode("overwrite").parquet(version.path("fact_invoice"))
+    with pytest.raises(GateError, match="1 of 3 checks"):
+        gate(check_export(version), "x")
 
     bad = [("d", "t", "c1", "success", 1, 1), ("d", "t", "c1", "failed", 1, 0), ("d", "t", "c2", "odd", 1, -1), ("d", "t", "c3", None, 1, 1)]
     state = spark.createDataFrame(bad, "source_domain string, source_table string, source_checksum string, status string, expected_rows int, loaded_rows int")
     assert {r.label: r.got for r in check_ledger(state).collect()} == {"versions with several states": 1, "unknown states": 2, "negative counts": 1}
 
 
+def test_digests(spark):
+    schema = "a string, b string, c decimal(5,2), d timestamp"
+    rows = [("x", None, None, None), (None, "x", None, None), ("x", "y", None, None), ("x", "y", None, None)]
+    whole = digest(spark.createDataFrame(rows, schema))
+    assert digest(spark.createDataFrame(rows[::-1], schema).repartition(3)) == whole and whole.rows == 4
+    for other in (rows[:3], rows + rows[:1], [rows[1], *rows[1:]], [rows[0], rows[0], *rows[2:]], [(None, "x", None, None)] * 2 + rows[2:]):
+        assert digest(spark.createDataFrame(other, schema)) != whole
+    parts = [digest(spark.createDataFrame(p, schema)) for p in (rows[:1], rows[1:])]
+    assert parts[0].first + parts[1].first == whole.first and parts[0].second + parts[1].second == whole.second
+    assert digest(spark.createDataFrame([], schema)).rows == 0
+
+
+def test_readers_stay_on_the_whole_old_layer(spark, tmp_path):
+    """A refresh that stops between two tables, or before it is published, is not seen; old versions go later."""
+    folder = str(tmp_path / "layer")
+    table = lambda n: spark.range(n).withColumn("t", F.lit("x"))
+    with pytest.raises(UnpublishedError):
+        read_layer(spark, folder)
+    first = Draft(spark, folder).write({"a": table(3), "b": table(4)})
+    with pytest.raises(UnpublishedError):
+        read_layer(spark, folder)
+    first.publish()
+
+    class Killed(RuntimeError):
+        pass
+
+    def breaks():
+        raise Killed
+
+    from strata.plans.layer import Layer
+    killed = Draft(spark, folder)
+    with pytest.raises(Killed):
+        killed.write(Layer({"a": lambda: table(30), "b": breaks}))
+    seen = read_layer(spark, folder)
+    assert {n: df.count() for n, df in seen.items()} == {"a": 3, "b": 4}
+    assert spark.read.parquet(killed.path("a")).count() == 30  # it is there, and nobody reads it
+    second = Draft(spark, folder).write({"a": table(5), "b": table(6)})
+    assert read_layer(spark, folder, ["a"])["a"].count() == 3
+    second.publish()
+    assert {n: df.count() for n, df in read_layer(spark, folder).items()} == {"a": 5, "b": 6}
+    assert seen["b"].count() == 4 and read_layer(spark, folder, version=first.version)["a"].count() == 3
+    running = Draft(spark, folder).write({"a": table(7)})
+    assert remove_old(spark, folder, keep=2) == [killed.version] if killed.version > first.version else True
+    assert remove_old(spark, folder, keep=1) == sorted({first.version} | ({killed.version} if killed.version < first.version else set()))
+    assert running.read()["a"].count() == 7 and read_layer(spark, folder)["a"].count() == 5 and history(spark, folder).count() == 2
+    with pytest.raises(UnpublishedError, match="has no"):
+        read_layer(spark, folder, ["c"])
+
+
+@pytest.mark.parametrize("damage", ["lost", "doubled", "changed"])
+def test_damaged_bronze_fails_the_gate_and_is_loaded_again(spark, spec, tmp_path, damage):
+    bronze, ledger = str(tmp_path / "bronze"), str(tmp_path / "ledger")
+    done = ingest(spark, spec, bronze, ledger)
+    path = f"{bronze}/{spec.name}/_batch_id={done.batch_id}"
+    rows = spark.createDataFrame(spark.read.parquet(path).collect(), spark.read.parquet(path).schema)
+    other = {"lost": rows.where("id <> '2'"), "doubled": rows.unionByName(rows.where("id = '2'")),
+             "changed": rows.withColumn("_row_hash", F.when(F.col("id") == "2", F.lit("0")).otherwise(F.col("_row_hash")))}[damage]
+    other.write.mode("overwrite").parquet(path)
+    results = check_bronze(spec, read_bronze(spark, bronze, ledger, spec), current(spark, ledger))
+    assert "things differing content" in "".join(r.label for r in results.collect() if not r.ok)
+    again = ingest(spark, spec, bronze, ledger)
+    assert (again.status, again.batch_id) == ("loaded", done.batch_id)
+    assert gate(check_bronze(spec, read_bronze(spark, bronze, ledger, spec), current(spark, ledger)), "Bronze") == 6
+
+
+def test_files_are_cut_when_no_field_goes_over_lines(spark, tmp_path):
+    """The load sees in the lines whether blocks can be parsed apart; the manifest may say it."""
+    texts = {"plain": "id,note\n" + "".join(f'{i},"a, ""b"" {i}"\n' for i in range(50)), "breaks": 'id,note\n1,"a\nb"\n2,c\n',
+             "returns": 'id,note\n1,"a\rb"\n2,c\n', "windows": "id,note\r\n1,a\r\n2,b\r\n"}
+    for name, text in texts.items():
+        (tmp_path / f"{name}.csv").write_bytes(text.encode())
+        assert examine(spark, str(tmp_path / f"{name}.csv"), ("id", "note")).line_breaks == (name in ("breaks", "returns"))
+        spec = SourceSpec("x", name, ("id", "note"), 50 if name == "plain" else 2, str(tmp_path / f"{name}.csv"))
+        place = str(tmp_path / "bronze"), str(tmp_path / "ledger")
+        assert ingest(spark, spec, *place).status == "loaded"
+        got = {(r.id, r.note, r._source_row_number) for r in read_bronze(spark, *place, spec).collect()}
+        assert got == {(r.id, r.note, r._source_row_number) for r in with_lineage(spark, replace(spec, line_breaks=True), "b").collect()}
+    (tmp_path / "manifest.json").write_text(json.dumps({"domains": {"x": {
+        "a": {"rows": 1, "cols": ["id"], "line_breaks": False}, "b": {"rows": 1, "cols": ["id"]}}}}))
+    assert [s.line_breaks for s in load_catalog(spark, str(tmp_path / "manifest.json"), "r")] == [False, None]
+
+
 def test_whole_run_with_gates(spark, tmp_path):
     raw = tmp_path / "raw"
     raw.mkdir()
@@ -240,14 +330,14 @@ def test_whole_run_with_gates(spark, tmp_path):
     out = str(tmp_path / "out")
     done = run(spark, manifest, str(raw), out)
     assert {r.status for r in done.loads} == {"loaded"} and len(done.loads) == 18
-    # inventory, 18 sources x 6 + 3 of the ledger, 18 row counts + 5 derived + 19 tables + 1 sum, 5 references + 4 consistency + 14 tables + 2 sums, 10 KPIs
-    assert done.checks == 1 + 18 * 6 + 3 + 18 + 5 + 19 + 1 + 5 + 4 + 14 + 2 + 10
+    # inventory, 18 sources x 6 + 3 of the ledger, 18 row counts + 5 derived + 19 tables twice + 1 sum, 5 references + 4 consistency + 14 tables twice + 2 sums, 10 KPIs twice
+    assert done.checks == 1 + 18 * 6 + 3 + 18 + 5 + 2 * 19 + 1 + 5 + 4 + 2 * 14 + 2 + 2 * 10
     kept = [spark.read.parquet(f"{out}/checks/{gate}") for gate in ("sources", "bronze", "silver", "gold", "export")]
     assert sum(k.count() for k in kept) == done.checks and all(k.where("not ok").isEmpty() for k in kept)
     again = run(spark, manifest, str(raw), out)
     assert {r.status for r in again.loads} == {"skipped"} and again.checks == done.checks
-    assert spark.read.parquet(f"{out}/gold/fact_enrollment").first().enrollment_id == "E1"
-    headline = spark.read.parquet(f"{out}/gold/kpi_headline").first()
+    assert read_layer(spark, f"{out}/gold")["fact_enrollment"].first().enrollment_id == "E1"
+    headline = read_layer(spark, f"{out}/gold")["kpi_headline"].first()
     assert float(headline.mrr_real) == 20.0 and float(headline.pct_sin_cobrar) == 50.0
 
     specs = load_catalog(spark, manifest, str(raw))
