@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from probes import dirty
 from probes.bindings import AS_OF, TestTables, bronze
 from strata.catalog import DATE_KINDS, NUMBER_KINDS, SOURCES, SourceSpec, columns_of, primary_key
 from strata.functions.text import row_hash
@@ -31,12 +32,12 @@ from strata.sources.ledger import batch_listing, current, ingest, read_bronze, t
 
 
 class Context:
-    """The bound layers over one folder of test tables."""
+    """The bound layers over one folder of test tables; with ``selects`` (``dirty``) over sources with faults."""
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, folder: str, selects: dict[str, str] | None = None):
+        self.spark, self.folder = spark, folder
         self.tables = TestTables(spark, folder)
-        self.bronze = bronze(self.tables)
+        self.bronze = bronze(self.tables) if selects is None else dirty.over(spark, bronze(self.tables), selects)
         self.typed = typed(self.bronze)
         self.silver = silver(self.bronze, AS_OF)
         # Every date the facts refer to lies between the first order and the last shipment or contract end.
@@ -332,6 +333,17 @@ def ingest_twice(c: Context) -> DataFrame:
                  F.col("differing_rows").alias("differing_rows")) for i, r in enumerate(loads)])))
 
 
+# The checks over sources with faults: each of them counts something there.
+DIRTY_QUERIES = (
+    "dq_silver_keys", "dq_gold_keys", "dq_silver_references", "dq_gold_references", "dq_row_rules", "dq_required", "dq_overflow", "gate_gold_integrity",
+    "gate_silver_derived", "gate_gold_consistency", "rel_foreign_keys", "profile_tables", "profile_structure", "crm_lonely", "ins_students_without_enrollment",
+    "ins_customers_without_contract", "uni_semesters", "uni_student_ages", "uni_enrollment_chronology", "uni_course_load", "uni_grade_ranges", "bil_product_prices",
+    "bil_lines_against_header", "bil_unit_price_against_catalogue", "bil_payment_rules", "bil_payments_against_header", "crm_bridge", "xdm_linked_behaviour",
+)
+for _name in DIRTY_QUERIES:
+    QUERIES[f"dirty_{_name}"] = lambda c, f=QUERIES[_name]: f(Context(c.spark, c.folder, dirty.DIRTY))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         name: (lambda spark, folder, build=build: comparable(build(Context(spark, folder))))
