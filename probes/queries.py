@@ -23,6 +23,7 @@ from strata.plans.gold import gold
 from strata.plans.insights import INSIGHTS, Model
 from strata.plans.layer import Layer
 from strata.plans.proposed import PROPOSED
+from strata.plans.rejects import Accepted, accept, check_rejects
 from strata.plans.silver import grade_summary, silver
 from strata.plans.typed import issues, typed
 from strata.session import shared_folder
@@ -333,6 +334,46 @@ def ingest_twice(c: Context) -> DataFrame:
                  F.col("differing_rows").alias("differing_rows")) for i, r in enumerate(loads)])))
 
 
+def _accepted(c: Context) -> Accepted:
+    """The sources as text, some cells of which do not parse, typed with their rejects."""
+    return accept(c.spark, Context(c.spark, c.folder, dirty.TEXT).bronze, f"{shared_folder(c.spark)}/rejects-{uuid.uuid4()}")
+
+
+@query("reject_cells")
+def reject_cells(c: Context) -> DataFrame:
+    """Rejected cells by column, with the first and last place."""
+    return _accepted(c).cells.groupBy("table_name", "column_name", "kind").agg(
+        F.count(F.lit(1)).alias("cells"), F.min("value").alias("sample"), F.min("place").alias("first_place"), F.max("place").alias("last_place"))
+
+
+@query("reject_gate")
+def reject_gate(c: Context) -> DataFrame:
+    """Rows with a rejected cell, per source, where they are more than one row in fifty."""
+    return check_rejects(_accepted(c), 0.02).drop("expected")
+
+
+@query("reject_typed_values")
+def reject_typed_values(c: Context) -> DataFrame:
+    """Values that each typed column is left with."""
+    rows = _accepted(c).rows
+    return union_all(rows[t].agg(*[F.count(k).alias(k) for k in typed_columns(t)]).select(F.lit(t).alias("table_name"), F.inline(F.array(*[
+        F.struct(F.lit(k).alias("column_name"), F.col(k).alias("filled")) for k in typed_columns(t)]))) for t in SOURCES if typed_columns(t))
+
+
+@query("reject_silver_invoices")
+def reject_silver_invoices(c: Context) -> DataFrame:
+    """Silver built from rows whose cells did not all parse: invoices by payment band and whether dates and totals are there."""
+    return silver(_accepted(c).rows, AS_OF)["billing_invoices"].groupBy(
+        "payment_status_derived", "is_past_due", F.col("due_at").isNotNull().alias("has_due"), F.col("total_reported").isNotNull().alias("has_total")).agg(
+        F.count(F.lit(1)).alias("invoices"))
+
+
+def typed_columns(table: str) -> list[str]:
+    return [k for k, kind in SOURCES[table][1].items() if kind != "string"]
+
+
+QUERIES["dirty_profile_parse_issues"] = lambda c: issues(Context(c.spark, c.folder, dirty.TEXT).bronze)
+
 # The checks over sources with faults: each of them counts something there.
 DIRTY_QUERIES = (
     "dq_silver_keys", "dq_gold_keys", "dq_silver_references", "dq_gold_references", "dq_row_rules", "dq_required", "dq_overflow", "gate_gold_integrity",

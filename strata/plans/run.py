@@ -24,6 +24,7 @@ from strata.plans.export import check_export, draft_layer
 from strata.plans.gold import date_span, gold
 from strata.plans.kpi import KPIS
 from strata.plans.layer import Layer
+from strata.plans.rejects import accept, check_rejects
 from strata.plans.silver import AS_OF, silver
 from strata.plans.typed import typed
 from strata.session import tune
@@ -72,8 +73,13 @@ def check_bronze(spark: SparkSession, specs: Sequence[SourceSpec], bronze: Layer
         validators.check_bronze(s, bronze[s.name], state) for s in specs)
 
 
-def run(spark: SparkSession, manifest: str, raw_dir: str, out: str, as_of: str = AS_OF, published: bool = False) -> Summary:
-    """``published``: also hold flag counts, Gold rows and KPI totals against those of the published data."""
+def run(spark: SparkSession, manifest: str, raw_dir: str, out: str, as_of: str = AS_OF, published: bool = False,
+        most_rejects: float | None = None) -> Summary:
+    """``published``: also hold flag counts, Gold rows and KPI totals against those of the published data.
+
+    ``most_rejects``: the share of a source's rows that may hold cells that do not parse; those become NULL and rows of ``rejects/cells``. By default
+    the first such cell stops the run.
+    """
     tune(spark)
     specs = load_catalog(spark, manifest, raw_dir)
     checks = pass_gate(check_sources(spark, specs, raw_dir), "Sources", out)
@@ -82,7 +88,14 @@ def run(spark: SparkSession, manifest: str, raw_dir: str, out: str, as_of: str =
     state = current(spark, f"{out}/ledger")
     checks += pass_gate(check_bronze(spark, specs, bronze, out).unionByName(validators.check_ledger(state)), "Bronze", out)
 
-    silver_draft = draft_layer(spark, silver(bronze, as_of), f"{out}/silver", "silver")
+    rows: Layer = bronze
+    if most_rejects is not None:
+        accepted = accept(spark, bronze, f"{out}/rejects")
+        accepted.draft.write({"cells": accepted.cells})
+        checks += pass_gate(check_rejects(accepted, most_rejects), "Rejects", out)
+        accepted.draft.publish()
+        rows = accepted.rows
+    silver_draft = draft_layer(spark, silver(rows, as_of), f"{out}/silver", "silver")
     s = silver_draft.read()
     results = [validators.silver_rows(bronze, s), validators.silver_derived(s), check_export(silver_draft)]
     if published:

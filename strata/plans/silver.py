@@ -30,10 +30,13 @@ NULLABLE_DATES = {"university_professors": ("hired_at",)}
 
 
 def _cast(df: DataFrame, table: str) -> DataFrame:
-    """Strict casts to the Silver types: text that does not parse stops the load."""
-    columns = []
+    """Strict casts to the Silver types: text that does not parse stops the load (``rejects.accept`` parses it before, cell by cell)."""
+    columns, have = [], dict(df.dtypes)
     for name, kind in SOURCES[table][1].items():
         column = F.col(name)
+        if have[name] != "string" and kind != "string":
+            columns.append(column.cast(kind).alias(name))
+            continue
         if name in NULLABLE_DATES.get(table, ()):
             column = blank_to_null(column)
         if kind == "boolean":
