@@ -16,7 +16,7 @@ from strata.functions.dates import age_years, outside
 from strata.functions.money import beyond, payment_band, ratio, within
 from strata.functions.text import blank_to_null, true_or_false
 from strata.operators.dedupe import flag_duplicates, pick_survivor
-from strata.operators.lookup import lookup, mark_exists
+from strata.operators.lookup import HeavyKeys, lookup, mark_exists
 from strata.operators.reconcile import attach_sums, detail_sums
 from strata.plans.layer import Layer
 
@@ -176,8 +176,9 @@ def opportunities(raw: DataFrame, bridge: DataFrame) -> DataFrame:
 
 
 def _both_accounts(rows: DataFrame, opportunities: DataFrame, contacts: DataFrame, *row_id: str) -> DataFrame:
-    rows = lookup(rows, opportunities, [("opportunity_id", "opportunity_id")], {"account_id": "__deal_account"}, row_id=row_id)
-    return lookup(rows, contacts, [("contact_id", "contact_id")], {"account_id": "__person_account"}, row_id=row_id)
+    heavy = HeavyKeys(rows, "opportunity_id", "contact_id")  # one pass for both
+    rows = lookup(rows, opportunities, [("opportunity_id", "opportunity_id")], {"account_id": "__deal_account"}, row_id=row_id, heavy=heavy)
+    return lookup(rows, contacts, [("contact_id", "contact_id")], {"account_id": "__person_account"}, row_id=row_id, heavy=heavy)
 
 
 def opportunity_contacts(raw: DataFrame, opportunities: DataFrame, contacts: DataFrame) -> DataFrame:

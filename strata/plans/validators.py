@@ -12,7 +12,7 @@ from strata.catalog import (
 )
 from strata.operators.digest import Digest, same
 from strata.operators.quality import Check, null_counts, rule_violations, run_checks, union_all
-from strata.operators.relations import fk_audit, key_check, orphan_rows
+from strata.operators.relations import fk_audit, key_check, label, orphans
 from strata.plans.kpi import KPIS
 from strata.sources.ledger import ROW_MARKS, visible
 
@@ -163,13 +163,10 @@ GATED_REFERENCES = (
 
 def gold_integrity(gold: Tables) -> DataFrame:
     """Fact rows whose reference has no dimension row; a missing reference counts as well."""
-    checks = []
-    for child, fk, parent, pk in GOLD_FOREIGN_KEYS:
-        if (child, fk) in GATED_REFERENCES:
-            blanks = F.lit(gold[child].agg(F.count_if(F.col(fk).isNull())).scalar())
-            checks.append(Check("integrity", f"{child}.{fk}", orphan_rows(gold[child], fk, gold[parent], pk),
-                                F.max("orphans") + blanks, 0))
-    return run_checks(checks)
+    gated = [r for r in GOLD_FOREIGN_KEYS if r[:2] in GATED_REFERENCES]
+    found = orphans(gold, gated)
+    return run_checks([
+        Check("integrity", f"{r[0]}.{r[1]}", found, F.max(F.when(F.col("relation") == label(r), F.col("orphans") + F.col("blanks"))), 0) for r in gated])
 
 
 def gold_consistency(silver: Tables, gold: Tables) -> DataFrame:
@@ -202,18 +199,12 @@ def gold_keys(gold: Tables) -> DataFrame:
     return union_all(key_check(gold[t], [key], t) for t, key in GOLD_KEYS.items())
 
 
-def _references(tables: Tables, keys) -> DataFrame:
-    return union_all(
-        orphan_rows(tables[c], fk, tables[p], pk).select(F.lit(f"{c}.{fk} -> {p}.{pk}").alias("relation"), "orphans")
-        for c, fk, p, pk in keys)
-
-
 def silver_references(silver: Tables) -> DataFrame:
-    return _references(silver, FOREIGN_KEYS)
+    return orphans(silver, FOREIGN_KEYS).drop("blanks")
 
 
 def gold_references(gold: Tables) -> DataFrame:
-    return _references(gold, GOLD_FOREIGN_KEYS)
+    return orphans(gold, GOLD_FOREIGN_KEYS).drop("blanks")
 
 
 def silver_row_rules(silver: Tables) -> DataFrame:
@@ -245,5 +236,5 @@ def silver_overflow(silver: Tables) -> DataFrame:
 
 
 def relationship_audit(typed: Tables) -> DataFrame:
-    """Reference metrics of all foreign keys."""
-    return union_all(fk_audit(typed[c], fk, typed[p], pk, f"{c}.{fk} -> {p}.{pk}") for c, fk, p, pk in FOREIGN_KEYS)
+    """Reference metrics of all foreign keys, from one count of all keys."""
+    return fk_audit(typed, FOREIGN_KEYS)

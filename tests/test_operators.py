@@ -16,7 +16,7 @@ from strata.functions.money import cents, payment_band, pct, percent, ratio, wit
 from strata.functions.text import has_outer_space, is_email, row_hash, strip, trailing_number
 from strata.operators.dedupe import duplicate_counts, flag_duplicates, pick_survivor
 from strata.operators.intervals import contained, overlap_counts, overlapping
-from strata.operators.lookup import lookup, mark_exists
+from strata.operators.lookup import HeavyKeys, lookup, mark_exists, shares, with_slots
 from strata.operators.quality import Check, GateError, gate, run_checks, same_rows
 from strata.operators.quantiles import ValueCounts, bin_by_edges, exact_quantiles, quantile_edges
 from strata.operators.relations import fk_audit, key_check
@@ -86,6 +86,34 @@ def test_calendar(table):
 
 # ------------------------------------------------------------------ groups and joins
 
+@pytest.mark.parametrize("kind", ["int", "string"])
+def test_heavy_keys_are_dealt_out_by_their_size(spark, kind):
+    """A third of the rows with one key, a tenth without, one key just above a share, the rest small: every sub-key gets at most about a share."""
+    n, share = 64_000, 64_000 // shares(spark.range(1))
+    key = (F.when(F.col("id") % 3 == 0, F.lit(1)).when(F.col("id") % 10 == 1, F.lit(None)).when(F.col("id") < 6 * share, F.lit(2)).otherwise(F.col("id") % 9000 + 10))
+    rows = spark.range(n).select("id", key.cast(kind).alias("k"), (F.col("id") % 7).cast(kind).alias("other"))
+    heavy = HeavyKeys(rows, "k", "other", ("k", "other"))
+    assert len(heavy.heavy[("k",)]) == 2 and heavy.blank[("k",)] > 1 and len(heavy.heavy[("other",)]) == 7
+    most = with_slots(rows, ["k"], heavy, ["id"]).groupBy("k", "__slot").count().agg(F.max("count")).first()[0]
+    assert most <= 1.4 * share
+    parent = spark.range(9010).select(F.col("id").cast(kind).alias("p"), (F.col("id") * 2).alias("v")).where("p <> 11")
+    got = lookup(rows, parent, [("k", "p")], {"v": "v"}, row_id=["id"], heavy=heavy)
+    assert got.count() == n
+    wrong = got.where(~F.col("v").eqNullSafe(F.when(F.col("k") != F.lit("11").cast(kind), F.col("k").cast("bigint") * 2)))
+    assert wrong.isEmpty()
+    assert lookup(rows, parent, [("k", "p")], {"v": "v"}, "inner", ["id"]).count() == n - rows.where(F.col("k").isNull() | (F.col("k") == F.lit("11").cast(kind))).count()
+    marked = mark_exists(rows, "k", parent, "p", "there")
+    assert marked.count() == n and marked.where("not there").count() == rows.where(F.col("k").isNull() | (F.col("k") == F.lit("11").cast(kind))).count()
+
+
+def test_lookup_without_heavy_keys_is_a_plain_join(spark):
+    rows = spark.range(20_000).select("id", (F.col("id") * 7 % 20_011).alias("k"))
+    plan = lookup(rows, rows.select(F.col("k").alias("p"), "id"), [("k", "p")], {"id": "v"})._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "Generate" not in plan
+    empty = lookup(rows.where("id < 0"), rows, [("k", "k")], {"id": "v"})
+    assert empty.count() == 0 and empty.columns == ["id", "k", "v"]
+
+
 def test_duplicates_and_survivor_with_hot_key(spark):
     """One key holds a third of the rows; flags and survivor equal the window definition."""
     rng = random.Random(7)
@@ -241,7 +269,7 @@ def test_containment_matches_pairs(spark, seed):
 def test_fk_audit(table):
     child = table("fk string", "a", "a", "a", "b", None, "zz")
     parent = table("pk string", "a", "b", "c")
-    row = fk_audit(child, "fk", parent, "pk", "r").first()
+    row = fk_audit({"c": child, "p": parent}, [("c", "fk", "p", "pk")]).first()
     assert (row.child_rows, row.non_null_fk, row.null_fk, row.orphans, row.parent_rows) == (6, 5, 1, 1, 3)
     assert (row.referenced_parents, row.unreferenced_parents, row.max_children) == (2, 1, 3)
     assert (row.avg_children, row.median_children, float(row.parent_coverage_pct)) == (2.0, 2.0, 66.67)
