@@ -39,3 +39,22 @@ p as (select invoice_id, count(*) as n, sum(try_cast(amount as decimal(12,2))) a
 select case when paid is null then 'unpaid' when paid - total > 0.01 then 'overpaid' when total - paid > 0.01 then 'partial' else 'full' end as payment_status_derived,
        coalesce(due < date '{AS_OF}' and status <> 'paid', false) as is_past_due, due is not null as has_due, total is not null as has_total, count(*) as invoices
 from i left join p using (invoice_id) group by all"""
+
+
+def _rows(section: str, name: str, query: str, dims: tuple[str, ...] = ()) -> str:
+    """The numbers of a query's result as rows of the audit document."""
+    shown = " || ', ' || ".join(f"'{d}=' || {d}" for d in sorted(dims)) or "''"
+    wide = f"select {shown} as __dims, columns(* exclude ({', '.join(dims)}))::double from ({query}) x" if dims else f"select '' as __dims, columns(*)::double from ({query}) x"
+    return f"""select '{section}' as section, '{name}' as name, __dims as dims, metric, number, cast(null as varchar) as text
+from ({wide}) w unpivot include nulls (number for metric in (columns(* exclude (__dims))))"""
+
+
+ORACLE["audit_document"] = "\nunion all\n".join([
+    f"select 'metadata' as section, 'audit' as name, '' as dims, 'as_of' as metric, cast(null as double) as number, '{AS_OF}' as text",
+    *[f"select 'metadata', 'audit', '', '{m}', {n}, null" for m, n in (("sources", 18), ("relations", 18))],
+    _rows("structure", "all", ORACLE["dirty_profile_structure"]), _rows("structure", "tables", ORACLE["dirty_profile_tables"], ("table_name",)),
+    _rows("structure", "parse_issues", ORACLE["profile_parse_issues"].replace(RAW, RAW_DIRTY), ("table_name", "column_name", "kind")),
+    _rows("relations", "foreign_keys", ORACLE["dirty_rel_foreign_keys"], ("relation",)),
+    _rows("evidence", "evi_occupancy", ORACLE["evi_occupancy"].replace(RAW, RAW_DIRTY), ("relation",)),
+    _rows("evidence", "evi_activity_missingness", ORACLE["evi_activity_missingness"].replace(RAW, RAW_DIRTY)),
+    _rows("evidence", "evi_matches", ORACLE["evi_matches"].replace(RAW, RAW_DIRTY), ("evidence",))])

@@ -17,7 +17,7 @@ from strata.operators import profile, stats
 from strata.operators.dedupe import duplicate_counts
 from strata.operators.quality import same_rows, union_all
 from strata.operators.quantiles import ValueCounts, exact_quantiles
-from strata.plans import export, kpi, validators
+from strata.plans import document, export, kpi, validators
 from strata.plans.audits import billing, crm, crossdomain, university
 from strata.plans.gold import gold
 from strata.plans.insights import INSIGHTS, Model
@@ -160,6 +160,15 @@ def profile_document_copies(c: Context) -> DataFrame:
     return duplicate_counts(prints, ["print"])
 
 
+@query("audit_document")
+def audit_document(c: Context) -> DataFrame:
+    """Structure, relations and evidence of the audit, written as a JSON document and read back."""
+    draft = document.write_document(c.spark, Context(c.spark, c.folder, dirty.DIRTY).bronze, AS_OF, f"{shared_folder(c.spark)}/audit-{uuid.uuid4()}",
+                                    ["metadata", "structure", "relations", "evidence"])
+    shown = F.array_join(F.transform(F.array_sort(F.map_entries("dims")), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ", ")
+    return document.read_document(draft).where("metric <> 'generated'").select("section", "name", shown.alias("dims"), "metric", "number", "text")
+
+
 # ------------------------------------------------------------------ references, rules and gates
 
 QUERIES["rel_foreign_keys"] = lambda c: validators.relationship_audit(c.typed)

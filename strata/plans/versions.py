@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from strata.operators.digest import Digest, observed
 
@@ -48,12 +49,14 @@ class Draft:
     def path(self, name: str) -> str:
         return f"{self.folder}/versions/{self.version}/{name}"
 
-    def write(self, frames: Mapping[str, DataFrame], sums: Sequence[tuple[str, str]] = ()) -> Draft:
-        """Write tables as snappy Parquet; rows, digests and the ``sums`` (table, column) are taken in the same pass. Nothing passes through the driver."""
+    def write(self, frames: Mapping[str, DataFrame], sums: Sequence[tuple[str, str]] = (), kind: str = "parquet") -> Draft:
+        """Write tables as snappy Parquet (or another ``kind``); rows, digests and the ``sums`` (table, column) are taken in the same pass. Nothing passes through the driver."""
         for name, frame in frames.items():
             wanted = [column for table, column in sums if table == name]
-            watched, watch = observed(frame, None, *[F.sum(F.col(c).cast("decimal(28,3)")).cast("decimal(38,3)").alias(f"sum {c}") for c in wanted])
-            watched.write.mode("overwrite").option("compression", "snappy").parquet(self.path(name))
+            columns = [f.name for f in frame.schema.fields if not isinstance(f.dataType, MapType)]  # maps have no hash
+            watched, watch = observed(frame, columns, *[F.sum(F.col(c).cast("decimal(28,3)")).cast("decimal(38,3)").alias(f"sum {c}") for c in wanted])
+            packed = {"compression": "snappy"} if kind == "parquet" else {"ignoreNullFields": "false"}
+            watched.write.mode("overwrite").format(kind).options(**packed).save(self.path(name))
             got = watch.get
             self.tables[name] = Written(Digest.of(got), {c: got[f"sum {c}"] for c in wanted})
         return self
