@@ -134,7 +134,9 @@ def checked(section: str, label: str, got: str, expected: str = "0") -> str:
 ORACLE["gate_silver_rows"] = on_silver("\nunion all\n".join(
     checked("rows", t, f"select count(*) from s_{t}", f"select count(*) from {t}") for t in SOURCES))
 ORACLE["gate_silver_flags"] = on_silver("\nunion all\n".join(
-    "select '{0}.{1}' as label, count(*) as got from s_{0} where {2}".format(t, flag.replace("'", "''"), flag) for t, flag, _ in FLAGS))
+    "select '{0}.{1}' as label, count(*) filter ({2}) as got, (select count(*) from {3}) // 10 as expected, "
+    "count(*) filter ({2}) = (select count(*) from {3}) // 10 as ok from s_{0}".format(
+        t, flag.replace("'", "''"), flag, t if t in SOURCES else "university_grades") for t, flag, _ in FLAGS))
 ORACLE["gate_silver_derived"] = on_silver("\nunion all\n".join((
     checked("derived", "invoices without total = without items",
             "select count(*) filter (total is null) - count(*) filter (has_no_items) from s_billing_invoices"),
@@ -160,7 +162,10 @@ ORACLE["gate_gold_rows"] = on_gold("\nunion all\n".join(
     checked("rows", g, f"select count(*) from {g}", f"select count(*) from {t}") for g, t in {
         "dim_student": "customer", "dim_customer": "customer", "dim_product": "part", "dim_course": "part",
         "dim_account": "supplier", "fact_invoice": "orders", "fact_subscription": "orders", "fact_opportunity": "part",
-        "fact_activity": "events", "fact_lead": "documents"}.items()))
+        "fact_activity": "events", "fact_lead": "documents", "fact_payment": "lineitem", "dim_semester": "university_semesters",
+        "fact_enrollment": "(select distinct student_id, course_id, semester_id from university_enrollments) x",
+        "dim_date": "(select unnest(generate_series(make_date(year(min(o_orderdate)) - 1, 1, 1), make_date(year(max(o_orderdate)) + 1, 12, 31), interval 1 day)) "
+                    "from orders) x"}.items()))
 ORACLE["gate_kpi_totals"] = on_kpi("\nunion all\n".join(checked("kpi", f"{k}: {label}", got, expected) for k, label, got, expected in (
     ("kpi_revenue_monthly", "invoices", "select sum(invoices) from kpi_revenue_monthly", "select count(*) from orders"),
     ("kpi_revenue_monthly", "currencies", "select count(distinct currency) from kpi_revenue_monthly",

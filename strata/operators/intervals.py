@@ -14,6 +14,20 @@ from pyspark.sql import functions as F
 from strata.session import stage
 
 
+def with_previous(rows: DataFrame, order: Sequence[str], value: str, name: str) -> DataFrame:
+    """``name``: the ``value`` of the row before in the ``order`` of all rows (NULL for the first), without a task that sees them all.
+
+    Rows are dealt to range partitions; a window looks back inside each, and the last value of every partition is carried on to the next one that has
+    rows: one row a partition. ``order`` must be total, or rows that tie may take each other's place.
+    """
+    placed = stage(rows.repartitionByRange(*order).withColumn("__chunk", F.spark_partition_id()))
+    inside = Window.partitionBy("__chunk").orderBy(*order)
+    last = placed.groupBy("__chunk").agg(F.max_by(value, F.struct(*order)).alias("__last"))
+    carried = last.select("__chunk", F.lag("__last").over(Window.partitionBy(F.lit(0)).orderBy("__chunk")).alias("__carried"))
+    looked = placed.withColumns({"__place": F.row_number().over(inside), name: F.lag(value).over(inside)}).join(F.broadcast(carried), "__chunk")
+    return looked.withColumn(name, F.when(F.col("__place") == 1, F.col("__carried")).otherwise(F.col(name))).select(*rows.columns, name)
+
+
 def _yes(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.dates import age_years
 from strata.functions.money import ratio, within
 from strata.operators.dedupe import duplicate_counts
+from strata.operators.intervals import with_previous
 from strata.operators.lookup import condense, weighted_if
 from strata.operators.quantiles import exact_quantiles
 from strata.operators.stats import decile_association, histogram, share_match
@@ -24,10 +25,8 @@ def day(as_of: str) -> Column:
 
 
 def semesters(t: Tables, as_of: str) -> DataFrame:
-    """Ranges, overlaps of neighbours by start, codes. The window runs over the semester list itself."""
-    s = t["university_semesters"].withColumn("one", F.lit(1))
-    previous_end = F.lag("end_date").over(Window.partitionBy("one").orderBy("start_date", "semester_id"))
-    return s.select("*", previous_end.alias("previous_end")).agg(
+    """Ranges, overlaps of neighbours by start, codes."""
+    return with_previous(t["university_semesters"], ["start_date", "semester_id"], "end_date", "previous_end").agg(
         F.count_if(F.col("end_date") < F.col("start_date")).alias("invalid_date_ranges"),
         F.count_if(F.col("start_date") <= F.col("previous_end")).alias("overlapping_pairs"),
         F.count_if(F.col("code") != F.concat_ws("-", "year", "half")).alias("code_mismatches"),

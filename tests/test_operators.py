@@ -15,7 +15,7 @@ from strata.functions.dates import calendar
 from strata.functions.money import cents, payment_band, pct, percent, ratio, within
 from strata.functions.text import has_outer_space, is_email, row_hash, strip, trailing_number
 from strata.operators.dedupe import duplicate_counts, flag_duplicates, pick_survivor
-from strata.operators.intervals import contained, overlap_counts, overlapping
+from strata.operators.intervals import contained, overlap_counts, overlapping, with_previous
 from strata.operators.lookup import HeavyKeys, lookup, mark_exists, shares, with_slots
 from strata.operators.quality import Check, GateError, gate, run_checks, same_rows
 from strata.operators.quantiles import ValueCounts, bin_by_edges, exact_quantiles, quantile_edges
@@ -264,6 +264,18 @@ def test_containment_matches_pairs(spark, seed):
     assert tuple(got) == (want_known, want_inside, len(points))
 
 
+def test_previous_value_over_range_partitions(spark):
+    rng = random.Random(4)
+    rows = [(i, rng.choice([None, *range(40)]), rng.choice([None, *range(1000)])) for i in range(500)]
+    rng.shuffle(rows)
+    got = with_previous(spark.createDataFrame(rows, "id int, at int, v int"), ["at", "id"], "v", "before")
+    ordered = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[0]))
+    want = {r[0]: ordered[k - 1][2] if k else None for k, r in enumerate(ordered)}
+    assert {r.id: r.before for r in got.collect()} == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "__chunk" in plan and with_previous(got.select("id", "at", "v").where("id < 0"), ["at", "id"], "v", "before").count() == 0
+
+
 # ------------------------------------------------------------------ keys and gates
 
 def test_fk_audit(table):
