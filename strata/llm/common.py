@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import uuid
+import weakref
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -24,7 +25,13 @@ ROWS_PER_BATCH = 2000
 BYTES_PER_BATCH = 4 << 20
 
 
+#: Folders of the tables that :func:`staged` wrote and somebody still holds.
+_FOLDERS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
 def prepared(spark: SparkSession) -> SparkSession:
+    """Batch sizes for Python tasks; shuffle files go with the job that wrote them, since what later jobs need is staged."""
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_PER_BATCH))
     return tune(spark)
@@ -37,7 +44,18 @@ def staged(df: DataFrame) -> DataFrame:
     """
     path = new_path(df.sparkSession)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    read = df.sparkSession.read.schema(df.schema).parquet(path)
+    _FOLDERS[read] = path
+    return read
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete tables that :func:`staged` wrote, after their last reader is through. Other frames, and tables that are gone, are left alone."""
+    for frame in frames:
+        if (folder := _FOLDERS.pop(frame, None)) is not None:
+            context = frame.sparkSession.sparkContext
+            path = context._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def new_path(spark: SparkSession) -> str:
