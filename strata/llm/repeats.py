@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import bloom
-from strata.llm.common import flat, mapped, staged, text_blocks
+from strata.llm.common import discard, flat, mapped, staged, text_blocks
 from strata.llm.words import mix
 
 LENGTH = 400
@@ -314,7 +314,7 @@ def _count_strings(members: DataFrame, depth: Depth) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, crowd: int = CROWD, depth: Depth = WHOLE) -> DataFrame:
-    """hi, lo (name of a text), starts: ranges (first, last) of starts of repeated strings in it."""
+    """hi, lo (name of a text), starts: ranges (first, last) of starts of repeated strings in it. A staged table."""
     cores = staged(count_cores(docs, depth))
     sizes = {r["mixed"]: r["count"] for r in cores.groupBy("mixed").count().collect()}
     filters = [bloom.build(cores.where(F.col("mixed") == m), "core", sizes.get(m, 0)) for m in (False, True)]
@@ -331,7 +331,9 @@ def repeated_spans(docs: DataFrame, crowd: int = CROWD, depth: Depth = WHOLE) ->
     partly = found.where("mixed").select(*key, "hi", "lo", "first").join(flagged, key).select(
         "hi", "lo", (F.col("first") + F.col("shape").bitwiseAND(255) - F.col("xb")).alias("first"),
         (F.col("first") + F.col("shape").bitwiseAND(255) - F.col("xa")).alias("last"))
-    return whole.unionByName(partly).groupBy("hi", "lo").agg(F.collect_set(string_range).alias("starts"))
+    spans = staged(whole.unionByName(partly).groupBy("hi", "lo").agg(F.collect_set(string_range).alias("starts")))
+    discard(cores, found, members)
+    return spans
 
 
 #: White space of any script; what stands between it are words.
@@ -350,14 +352,21 @@ def _names(texts: list[memoryview] | list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join([xxhash.xxh3_128_digest(t) for t in texts]), ">i8").astype(np.int64).reshape(-1, 2)
 
 
-def repeated_passages(docs: DataFrame, words: int, crowd: int = CROWD) -> DataFrame:
-    """hi, lo (name of a text), cuts: (first, stop) of its passages of ``words`` words that occur more than once.
+def _run_texts(docs: DataFrame, depth: Depth, crowd: int) -> DataFrame:
+    """hi, lo, text, n (its rows), first, last, longest: texts with repeated strings, each once, and the longest run that these cover. A staged table."""
+    spans = repeated_spans(docs, crowd, depth)
 
-    Such a passage has 2 * words - 1 bytes at least, so it lies within a run that repeated strings of this length cover. In
-    these runs every passage of ``words`` words is counted as a whole.
-    """
-    depth = Depth(2 * words - 1)
-    runs = staged(repeated_spans(docs, crowd, depth))
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            longest = []
+            for first, last in zip(batch.column("first"), batch.column("last"), strict=True):
+                a, b = covered(np.asarray(first.values), np.asarray(last.values) + depth.length)
+                longest.append(int((b - a).max()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(longest, pa.int64())], [*batch.schema.names, "longest"])
+
+    runs = staged(mapped(spans.select("hi", "lo", "starts.first", "starts.last"), measure,
+                         "hi bigint, lo bigint, first array<bigint>, last array<bigint>, longest bigint"))
+    discard(spans)
     shared = docs.sparkSession.sparkContext.broadcast(bloom.build(runs, "hi", runs.count()))
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -369,8 +378,17 @@ def repeated_passages(docs: DataFrame, words: int, crowd: int = CROWD) -> DataFr
                                              ["hi", "lo", "text"])
 
     texts = mapped(_texts(docs).where(F.octet_length("text") >= depth.length), name, "hi bigint, lo bigint, text string")
-    texts = texts.groupBy("hi", "lo").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("n")).join(runs, ["hi", "lo"])
+    texts = staged(texts.groupBy("hi", "lo").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("n")).join(runs, ["hi", "lo"]))
+    discard(runs)
+    return texts
 
+
+def _passages(texts: DataFrame, words: int, depth: Depth) -> DataFrame:
+    """hi, lo (name of a text), cuts: (first, stop) of its passages of ``words`` words that occur more than once.
+
+    Such a passage has 2 * words - 1 bytes at least, so it lies within a run that repeated strings of this length (``depth``) cover. In
+    these runs every passage of ``words`` words is counted as a whole. A staged table.
+    """
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
@@ -388,10 +406,37 @@ def repeated_passages(docs: DataFrame, words: int, crowd: int = CROWD) -> DataFr
                                                       pa.array(found[:, 0]), pa.array(found[:, 1])],
                                                      ["hi", "lo", "n", "first", "stop", "w1", "w2"])
 
-    every = staged(mapped(texts.select("hi", "lo", "text", "n", "starts.first", "starts.last"), windows,
+    every = staged(mapped(texts.select("hi", "lo", "text", "n", "first", "last"), windows,
                           "hi bigint, lo bigint, n bigint, first bigint, stop bigint, w1 bigint, w2 bigint"))
     often = every.groupBy("w1", "w2").agg(F.sum("n").alias("times")).where("times > 1").select("w1", "w2")
-    return every.join(often, ["w1", "w2"]).groupBy("hi", "lo").agg(F.collect_set(F.struct("first", "stop")).alias("cuts"))
+    cuts = staged(every.join(often, ["w1", "w2"]).groupBy("hi", "lo").agg(F.collect_set(F.struct("first", "stop")).alias("cuts")))
+    discard(every)
+    return cuts
+
+
+def _repeated_within(docs: DataFrame, length: int, words: int, crowd: int) -> DataFrame:
+    """hi, lo, cuts: repeated strings of ``length`` bytes and repeated passages of ``words`` words, from one parse of the whole corpus.
+
+    A string of ``length`` bytes that repeats lies in a run that repeated strings of fewer bytes cover. So only texts with a run that
+    long are parsed for it; of a text with several rows two take part, which is enough to make all its strings repeat.
+    """
+    depth = Depth(2 * words - 1)
+    texts = _run_texts(docs, depth, crowd)
+    passages = _passages(texts, words, depth)
+    if depth.length <= length:
+        twice = F.explode(F.sequence(F.lit(1), F.least("n", F.lit(2)).cast("int")))
+        parsed = texts.where(F.col("longest") >= length).select(twice.alias("copy"), "text").select(F.lit(None).alias("doc_id"), "text")
+    else:
+        parsed = docs
+    spans = repeated_spans(parsed, crowd, Depth(length))
+    cuts = staged(_string_cuts(spans, length).unionByName(passages).groupBy("hi", "lo").agg(F.flatten(F.collect_list("cuts")).alias("cuts")))
+    discard(texts, passages, spans)
+    return cuts
+
+
+def _string_cuts(spans: DataFrame, length: int) -> DataFrame:
+    cut = F.transform("starts", lambda x: F.struct(x["first"].alias("first"), (x["last"] + length).alias("stop")))
+    return spans.select("hi", "lo", cut.alias("cuts"))
 
 
 def covered(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -413,14 +458,12 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False, crowd: int = CROWD,
     left alone; rows that repeat are texts each (so long ones go); a null doc_id stays null; an empty table gives no rows.
 
     Returns doc_id, n_bytes, n_removed, n_spans, kept_sha256; with ``keep_text`` all columns of ``docs`` and
-    the remaining bytes as text (bytes of a code point that was cut are left out) and n_removed.
+    the remaining bytes as text (bytes of a code point that was cut are left out) and n_removed, which takes the place of a column of that name.
     """
-    string_cuts = F.transform("starts", lambda x: F.struct(x["first"].alias("first"), (x["last"] + length).alias("stop")))
-    spans = repeated_spans(docs, crowd, Depth(length)).select("hi", "lo", string_cuts.alias("cuts"))
     if words is not None:
-        both = spans.unionByName(repeated_passages(docs, words, crowd))
-        spans = both.groupBy("hi", "lo").agg(F.flatten(F.collect_list("cuts")).alias("cuts"))
-    spans = staged(spans)
+        spans = _repeated_within(docs, length, words, crowd)
+    else:
+        spans = _string_cuts(repeated_spans(docs, crowd, Depth(length)), length)
     names = bloom.build(spans, "hi", spans.count())
     shared = docs.sparkSession.sparkContext.broadcast(names)
     others = [c for c in docs.columns if c != "text"] if keep_text else ["doc_id"]
@@ -475,5 +518,5 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False, crowd: int = CROWD,
 
     done = mapped(joined, cut, f"row {row_type}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + (", text string" if keep_text else ""))
     if keep_text:
-        return done.select(*[F.col("row")[c].alias(c) if c != "text" else F.col("text") for c in docs.columns], "n_removed")
+        return done.select(*[F.col("row")[c].alias(c) if c != "text" else F.col("text") for c in docs.columns if c != "n_removed"], "n_removed")
     return done.select(F.col("row")["doc_id"].cast("bigint").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
