@@ -218,23 +218,24 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def train(docs: DataFrame, documents_per_label: int = 400, stretches_per_document: int = 96, most_labels: int = 64, hidden: int = 16,
+def train(docs: DataFrame, documents_per_label: int = 400, stretches_per_document: int = 96, documents: int = 25_600, hidden: int = 16,
           rounds: int = 500) -> Network:
     """Learn from text and lang of labelled documents outside the held-out fold.
 
-    The sample is bounded: of each of the ``most_labels`` most frequent languages about ``documents_per_label``
-    documents, drawn by a hash of doc_id and text, and ``stretches_per_document`` stretches of each, spread evenly over the whole text.
+    Every language takes part. The sample is bounded: of each about ``documents_per_label`` documents, fewer if all together would be more
+    than ``documents`` (but about 16 at least), drawn by a hash of doc_id and text, and ``stretches_per_document`` stretches of each, spread
+    evenly over the whole text. The number of languages has to be small.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("text").rlike("\\p{L}") & ~held_out(F.col("doc_id")))
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_labels).collect()
+    counts = known.groupBy("lang").count().collect()
     labels = sorted(r["lang"] for r in counts)
     if not labels:
         return Network.fresh([UNKNOWN], 1)
     drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40))
-    share = {r["lang"]: min(1.0, documents_per_label / r["count"]) for r in counts}
-    keep = F.lit(False)
-    for lang, part in share.items():
-        keep = keep | ((F.col("lang") == lang) & (drawn < int(part * (1 << 40))))
+    wanted = min(documents_per_label, max(16, documents // len(labels)))
+    bound = {r["lang"]: int(min(1.0, wanted / r["count"]) * (1 << 40)) for r in counts}
+    bounds = F.create_map(*[F.lit(x) for pair in sorted(bound.items()) for x in pair])
+    keep = drawn < bounds[F.col("lang")]
     number = {lang: k for k, lang in enumerate(labels)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,10 +269,12 @@ def identify(docs: DataFrame, network: Network) -> DataFrame:
     columns = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
     rows = docs.select(*columns)
     labels, weights, hidden = network.labels, network.weights, network.hidden
-    out = rows.withColumn("found", _classifier(labels, weights, hidden)(F.coalesce(F.col("text"), F.lit(""))))
+    taken = {c.lower() for c in columns}
+    found = next(name for name in (f"found_{i}" for i in range(len(columns) + 1)) if name not in taken)
+    out = rows.withColumn(found, _classifier(labels, weights, hidden)(F.coalesce(F.col("text"), F.lit(""))))
     letters = F.coalesce(F.col("text").rlike("\\p{L}"), F.lit(False))
-    return out.select(*columns, F.when(letters, F.col("found.lang_pred")).otherwise(UNKNOWN).alias("lang_pred"),
-                      F.when(letters, F.col("found.score")).otherwise(F.lit(0.0)).alias("score"))
+    return out.select(*columns, F.when(letters, F.col(found)["lang_pred"]).otherwise(UNKNOWN).alias("lang_pred"),
+                      F.when(letters, F.col(found)["score"]).otherwise(F.lit(0.0)).alias("score"))
 
 
 def _classifier(labels: list[str], weights: dict[str, np.ndarray], hidden: int):

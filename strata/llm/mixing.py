@@ -114,7 +114,7 @@ def source_totals(docs: DataFrame, tokens: Column) -> list[tuple[str | None, int
     rows = docs.groupBy("source").agg(F.sum(tokens).alias("tokens")).limit(100_001).collect()
     if len(rows) > 100_000:
         raise ValueError("more than 100,000 sources; group them first")
-    return sorted(((r["source"], r["tokens"]) for r in rows), key=lambda r: (r[0] is not None, r[0] or ""))
+    return sorted(((r["source"], r["tokens"] or 0) for r in rows), key=lambda r: (r[0] is not None, r[0] or ""))
 
 
 def mix(docs: DataFrame, budget_part: float | None = None, entropy_part: float | None = None, repetition: float | None = None,
@@ -127,22 +127,25 @@ def mix(docs: DataFrame, budget_part: float | None = None, entropy_part: float |
     block the documents that still fit, so the budget is kept to within one document, never above it.
 
     Added columns: mix_tokens, mix_pass (from 0), mix_block, mix_order (position of the row within its pass is by block order, then hash).
-    Existing columns of these names are replaced. ``budget_part``: budget as a part of all tokens (None: see :func:`plan_mixture`).
-    A null source is a source, a null text has one token, rows that repeat are documents each, an empty table gives no rows.
+    Existing columns of these names are replaced; all others may have any name. ``budget_part``: budget as a part of all tokens (None: see
+    :func:`plan_mixture`). A null source is a source, a null text has one token, rows that repeat are documents each, an empty table gives no rows.
+    ``tokens`` that are null or negative count as 0; a source without tokens costs nothing and is read once.
     """
     own = [c for c in docs.columns if c.lower() not in ("mix_tokens", "mix_pass", "mix_block", "mix_order")]
-    counted = docs.select(*own).withColumn("mix_tokens", tokens if tokens is not None else word_count(F.col("text")))
+    cost = F.greatest(F.lit(0), F.coalesce(tokens, F.lit(0))).cast("bigint") if tokens is not None else word_count(F.col("text"))
+    counted = docs.select(
+        *[F.col(f"`{c}`").alias(f"own_{i}") for i, c in enumerate(own)], F.col("source"), F.col("doc_id"), cost.alias("mix_tokens"),
+        F.xxhash64(F.lit(seed), "doc_id", "text").alias("mix_place"), F.xxhash64(F.lit(seed + 1), "doc_id", "text").alias("mix_deal"))
     totals = source_totals(counted, F.col("mix_tokens"))
     budget = None if budget_part is None else int(budget_part * sum(t for _, t in totals))
     plan = plan_mixture(totals, budget, entropy_part, repetition, block_tokens)
     spark = docs.sparkSession
     # One row per source, fewer than 100,000 as checked above.
     sources = F.broadcast(spark.createDataFrame(
-        [(s, t, b, n) for s, t, b, n in zip(plan.sources, plan.tokens, plan.budgets, plan.blocks, strict=True)],
+        [*zip(plan.sources, plan.tokens, plan.budgets, plan.blocks, strict=True), *((s, 1, 0, 1) for s, t in totals if not t)],
         "mix_source string, mix_total bigint, mix_budget bigint, mix_blocks bigint"))
-    place = F.xxhash64(F.lit(seed), "doc_id", "text")
     dealt = counted.join(sources, F.col("source").cast("string").eqNullSafe(F.col("mix_source"))).withColumn(
-        "mix_block", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "text"), F.col("mix_blocks")).cast("int")).withColumn("mix_place", place)
+        "mix_block", F.pmod("mix_deal", F.col("mix_blocks")).cast("int"))
     last = F.col("mix_budget").cast("bigint") - F.expr("mix_budget div mix_total") * F.col("mix_total")
     # The partial pass: blocks in its order with the tokens before them. One row per block and source.
     sizes = dealt.groupBy("mix_source", "mix_block").agg(F.sum("mix_tokens").alias("size"), F.first("mix_budget").alias("mix_budget"),
@@ -169,4 +172,4 @@ def mix(docs: DataFrame, budget_part: float | None = None, entropy_part: float |
     repeated = taken.withColumn("mix_pass", F.explode(F.when(times > 0, F.sequence(F.lit(0).cast("bigint"), times - 1)).otherwise(F.array().cast("array<bigint>"))))
     order = F.struct(F.xxhash64(F.lit(seed + 2), "mix_pass", "mix_source", "mix_block").alias("block"),
                      F.xxhash64("mix_pass", "mix_place").alias("row"))
-    return repeated.select(*own, "mix_tokens", "mix_pass", "mix_block", order.alias("mix_order"))
+    return repeated.select(*[F.col(f"own_{i}").alias(c) for i, c in enumerate(own)], "mix_tokens", "mix_pass", "mix_block", order.alias("mix_order"))
