@@ -367,6 +367,36 @@ def test_forest_recall(spark):
     assert forest.Forest(few).search(few.where("vec_id = 0")).count() == 2
     none = spark.createDataFrame([], "vec_id bigint, embedding array<double>")
     assert forest.Forest(none).search(none).count() == 0
+    assert forest.Forest(few).search(none).count() == 0
+
+
+def test_forest_repeated_rows_and_root(spark):
+    """Rows that repeat are candidates each; vectors without near ones are compared with all rows, through one tree and exactly."""
+    r = np.random.default_rng(5)
+    x = r.normal(size=(900, 48))
+    x[100:400] = x[100]  # a third are copies
+    ids = [i if i not in (101, 102) else 100 for i in range(900)] + [899]  # ids that repeat, and a whole row that does
+    x = np.vstack([x, x[899]])
+    table = spark.createDataFrame([(i, [float(c) for c in v], "n") for i, v in zip(ids, x, strict=True)], "vec_id bigint, embedding array<double>, key string")
+    found = forest.Forest(table, cell_rows=64).search(table.where("vec_id % 50 = 0")).collect()
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    for q in range(0, 900, 50):
+        best = sorted((-round(float(unit[q] @ unit[i]), 12), ids[i]) for i in range(901) if ids[i] != q)[:5]
+        assert [v for _, v in best] == [f["vec_id"] for f in sorted(found, key=lambda f: f["rank"]) if f["query_id"] == q]
+    assert [f["rank"] for f in found if f["query_id"] == 0].count(1) == 1
+    two = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 0.5]), (1, [1.0, 0.5]), (2, [2.0, 0.0]), (2, [2.0, 0.0])], "vec_id bigint, embedding array<double>")
+    assert sorted((f["rank"], f["vec_id"]) for f in forest.Forest(two).search(two.where("vec_id = 0")).collect()) == [(1, 2), (2, 2), (3, 1), (4, 1)]
+    with pytest.raises(ValueError):
+        forest.Forest(two.unionByName(spark.createDataFrame([(3, [1.0])], two.schema)))
+
+
+@pytest.mark.parametrize("cosine", [-1.0, 0.0, 0.4, 0.7, 0.9, 0.99, 1.0])
+def test_ascent_meets_the_recall(cosine):
+    length, trees = forest.ascent(cosine, 24, 0.97)
+    one_bit = 1 - np.arccos(cosine) / np.pi
+    assert 1 - (1 - one_bit ** length) ** trees >= 0.97 - 1e-9 and trees * 2.0 ** -length <= 1
+    if cosine == 1.0:
+        assert (length, trees) == (31, 1)
 
 
 # packing ----------------------------------------------------------------------------------------------------
