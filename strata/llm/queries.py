@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import alignment, archive, attribution, chat, contents, forest, jaccard, langid, mixing, packing, repeats, simhash, trie
-from strata.llm.common import prepared, tables
+from strata.llm.common import prepared, staged, tables
 
 PROBE_TEXT = "\\### Assistant: </turn> ok"
 
@@ -47,11 +47,13 @@ def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
-    found = simhash.edited_neighbours(tables(spark, folder, "documents"))
+    """Fingerprints and likenesses of all documents; for ids divisible by 20 also how many documents are within the radius (n_near)."""
+    found = staged(simhash.edited_neighbours(tables(spark, folder, "documents")))
+    found = simhash.with_near(found, F.col("doc_id") % 20 == 0)
     return found.select("doc_id", "n_chars", "edited_sha256", simhash.hexadecimal(F.col("own")).alias("fingerprint"),
                         simhash.hexadecimal(F.col("edited")).alias("edited_fingerprint"),
                         simhash.likeness(F.col("own"), F.col("edited")).alias("near_edited"),
-                        simhash.likeness(F.col("own"), F.col("next")).alias("near_next"))
+                        simhash.likeness(F.col("own"), F.col("next")).alias("near_next"), "n_near")
 
 
 def op8_hash_forest(spark: SparkSession, folder: str) -> DataFrame:

@@ -18,6 +18,8 @@ from strata.llm.words import shingles, words_by_text
 
 BITS = 64
 WIDTH = 3
+#: Fingerprints at most this many bits apart are near.
+RADIUS = 3
 
 
 def fingerprints(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> np.ndarray:
@@ -51,17 +53,6 @@ def likeness(a: Column, b: Column) -> Column:
     return F.lit(1.0) - distance(a, b) / F.lit(float(BITS))
 
 
-def fingerprint_texts(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """doc_id, fingerprint (bigint) of every whole text; null texts count as empty, rows that repeat are kept."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, data, offsets, _ in text_blocks(batches, "text"):
-            yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array(fingerprints(data, offsets, width).view(np.int64))],
-                                             ["doc_id", "fingerprint"])
-
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    return mapped(texts, run, "doc_id bigint, fingerprint bigint")
-
-
 def block_plan(radius: int, rows: int) -> tuple[list[int], int]:
     """Sizes of the blocks and how many of them a table keys on.
 
@@ -80,7 +71,7 @@ def _keys(value: Column, sizes: list[int], keep: int) -> list[Column]:
     parts, at = [], BITS
     for size in sizes:
         at -= size
-        parts.append(F.shiftrightunsigned(value, at).bitwiseAND(F.lit((1 << size) - 1)))
+        parts.append(F.shiftrightunsigned(value, at).bitwiseAND(F.lit((1 << size) - 1)) if size < BITS else value)
     out = []
     for chosen in combinations(range(len(sizes)), keep):
         key = F.lit(0).cast("bigint")
@@ -90,7 +81,7 @@ def _keys(value: Column, sizes: list[int], keep: int) -> list[Column]:
     return out
 
 
-def within_radius(queries: DataFrame, table: DataFrame, radius: int = 3, rows: int | None = None) -> DataFrame:
+def within_radius(queries: DataFrame, table: DataFrame, radius: int = RADIUS, rows: int | None = None) -> DataFrame:
     """All pairs (query, fingerprint, distance) of distinct fingerprints at most ``radius`` bits apart, equal ones too.
 
     ``queries`` and ``table`` have a column fingerprint (bigint). Both are made distinct first, so copies cost nothing. A pair is verified in
@@ -110,6 +101,23 @@ def within_radius(queries: DataFrame, table: DataFrame, radius: int = 3, rows: i
     return left.join(right, meet & (first == F.col("no"))).select("query", "fingerprint", distance(F.col("query"), F.col("fingerprint")).alias("distance"))
 
 
+def with_near(docs: DataFrame, asked: Column, radius: int = RADIUS) -> DataFrame:
+    """``docs`` (column own, a fingerprint) and n_near: for rows where ``asked`` holds, how many rows have a fingerprint within ``radius`` bits.
+
+    The row itself and its copies count; n_near is null for rows not asked for (``asked`` false or null) or without fingerprint. Rows are folded to distinct
+    fingerprints before they meet, so copies cost nothing. ``docs`` is read several times: stage it before.
+    """
+    sizes = docs.where("own is not null").groupBy("own").agg(F.count(F.lit(1)).alias("near_rows"))
+    table = sizes.select(F.col("own").alias("fingerprint"), "near_rows")
+    pairs = within_radius(docs.where(asked).select(F.col("own").alias("fingerprint")), table, radius, docs.count())
+    near = pairs.join(table, "fingerprint").groupBy(F.col("query").alias("near_own")).agg(F.sum("near_rows").alias("near_rows"))
+    row = docs.select(F.struct(*docs.columns).alias("row"), F.when(asked, F.col("own")).alias("near_own"))
+    # Rows that are not asked for have no key and stay out of the join, whose keys would all be null.
+    met = row.where("near_own is not null").join(near, "near_own").select("row", "near_rows")
+    left = row.where("near_own is null").select("row", F.lit(None).cast("bigint").alias("near_rows"))
+    return met.unionByName(left).select(*[F.col("row")[c].alias(c) for c in docs.columns], F.col("near_rows").alias("n_near"))
+
+
 _PAIRED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_chars", T.LongType()), T.StructField("edited_sha256", T.StringType()),
                         T.StructField("own", T.LongType()), T.StructField("edited", T.LongType()), T.StructField("next", T.LongType())])
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import archive, attribution, chat, components, forest, jaccard, langid, mixing, packing, repeats, simhash, tokens, words
 from strata.llm.common import prepared
+from strata.llm.queries import registered
 
 DOC = "doc_id bigint, text string, lang string, source string, n_chars bigint, score double"
 
@@ -341,6 +342,45 @@ def test_within_radius(spark):
         assert len(got) == len(set(got)) and set(got) == plain
 
 
+def test_near_rows(spark):
+    """n_near against all pairs: copies, fingerprints a few bits apart, null ids, null fingerprints, columns of the helper's names, empty tables."""
+    r = np.random.default_rng(8)
+    base = r.integers(-(1 << 63), (1 << 63) - 1, 40, np.int64)
+    marks = [int(b) for b in base for _ in range(3)] + [int(b) ^ (1 << int(r.integers(63))) ^ (1 << int(r.integers(63))) ^ k for b in base for k in (0, 1, 7, 15)]
+    rows = [(i if i % 11 else None, m if i % 17 else None, "x") for i, m in enumerate(marks)] + [(20, marks[3], "x"), (20, marks[3], "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, own bigint, near_rows string")
+    for radius in (0, 3):
+        got = simhash.with_near(docs, F.col("doc_id") % 20 == 0, radius).collect()
+        near = lambda own: sum(m is not None and bin((m ^ own) & ((1 << 64) - 1)).count("1") <= radius for _, m, _ in rows)  # noqa: B023, E731
+        want = [(i, m, "x", near(m) if i is not None and i % 20 == 0 and m is not None else None) for i, m, _ in rows]
+        assert sorted(map(tuple, got), key=str) == sorted(want, key=str) and any(w[3] and w[3] > 3 for w in want)
+    assert simhash.with_near(docs.limit(0), F.col("doc_id") % 20 == 0).count() == 0
+
+
+def test_registered_simhash(spark, tmp_path):
+    """The registered query against plain fingerprints of whole texts."""
+    rows = [(i, " ".join(f"w{(i // 2 if i % 2 else i) * 31 % 97}x{k}" for k in range(i * 3 % 50)) if i % 9 else None) for i in range(60)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {x["doc_id"]: x for x in registered()["op7_simhash"](spark, str(tmp_path)).collect()}
+
+    def mark(text):
+        data = np.frombuffer(text.encode(), np.uint8)
+        return int(simhash.fingerprints(data, np.array([0, len(data)]))[0])
+
+    texts = [t or "" for _, t in rows]
+    marks = [mark(t) for t in texts]
+    bits = lambda a, b: bin(a ^ b).count("1")
+    for i, text in enumerate(texts):
+        following = texts[i - 1]  # falling ids; after the last comes the first
+        edited = text[:len(text) - len(text) // 3] + following[:len(text) // 3]
+        x = found[i]
+        assert (x["n_chars"], x["edited_sha256"]) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
+        assert (x["fingerprint"], x["edited_fingerprint"]) == (f"{marks[i]:016x}", f"{mark(edited):016x}")
+        assert (x["near_edited"], x["near_next"]) == (1 - bits(marks[i], mark(edited)) / 64, 1 - bits(marks[i], marks[i - 1]) / 64)
+        assert x["n_near"] == (sum(bits(marks[i], m) <= 3 for m in marks) if i % 20 == 0 else None)
+    assert len(found) == 60
+
+
 # nearest neighbours -----------------------------------------------------------------------------------------
 
 def test_forest_recall(spark):
