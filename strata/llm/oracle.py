@@ -60,7 +60,7 @@ kept as (
   select e.doc_id, string_agg(substr(t.x, 1 + 2 * cast(since as bigint), 2 * cast(until - since as bigint)), '' order by since) as x
   from edges e join texts t using (doc_id) group by e.doc_id)
 select t.doc_id, cast(t.n as bigint) as n_bytes, cast(coalesce(r.n, 0) as bigint) as n_removed, cast(coalesce(r.k, 0) as bigint) as n_spans,
-  sha256(unhex(k.x)) as kept_sha256
+  sha256(unhex(k.x)) as kept_sha256, cast(t.n - coalesce(r.n, 0) as bigint) as n_kept
 from texts t join kept k using (doc_id) left join (select doc_id, sum(b - a) as n, count(*) as k from spans group by doc_id) r using (doc_id)""",
     "op11_conversation_trie": """
 with turns as (

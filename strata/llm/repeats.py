@@ -457,7 +457,7 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False, crowd: int = CROWD,
     texts. What stays is a function of the text, so equal texts share one result. A null text is empty; an empty or shorter text is
     left alone; rows that repeat are texts each (so long ones go); a null doc_id stays null; an empty table gives no rows.
 
-    Returns doc_id, n_bytes, n_removed, n_spans, kept_sha256; with ``keep_text`` all columns of ``docs`` and
+    Returns doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_kept (bytes that stay); with ``keep_text`` all columns of ``docs`` and
     the remaining bytes as text (bytes of a code point that was cut are left out) and n_removed, which takes the place of a column of that name.
     """
     if words is not None:
@@ -519,4 +519,5 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False, crowd: int = CROWD,
     done = mapped(joined, cut, f"row {row_type}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + (", text string" if keep_text else ""))
     if keep_text:
         return done.select(*[F.col("row")[c].alias(c) if c != "text" else F.col("text") for c in docs.columns if c != "n_removed"], "n_removed")
-    return done.select(F.col("row")["doc_id"].cast("bigint").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return done.select(F.col("row")["doc_id"].cast("bigint").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256",
+                       (F.col("n_bytes") - F.col("n_removed")).alias("n_kept"))

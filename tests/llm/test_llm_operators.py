@@ -498,7 +498,7 @@ def plain_removal(texts):
             if seen[b[i:i + 400]] > 1:
                 gone[i:i + 400] = True
         runs = int((np.diff(np.concatenate(([0], gone.astype(int)))) == 1).sum())
-        out.append((len(b), int(gone.sum()), runs, hashlib.sha256(np.frombuffer(b, np.uint8)[~gone].tobytes()).hexdigest()))
+        out.append((len(b), int(gone.sum()), runs, hashlib.sha256(np.frombuffer(b, np.uint8)[~gone].tobytes()).hexdigest(), int((~gone).sum())))
     return out
 
 
