@@ -1,7 +1,7 @@
 """The bound sources with faults that keys decide, so that every check counts something: SELECTs that Spark and DuckDB both run.
 
 All rows of the sources are kept; some come twice. Types stay as they are. A second set of SELECTs gives every source as text, some cells of which
-do not parse.
+do not parse: :data:`TEXT` for DuckDB, :data:`WIDE_TEXT` the same rows for Spark, for keys of any number of digits up to 38.
 """
 
 from __future__ import annotations
@@ -76,19 +76,23 @@ JUNK = {"date": "'31/02/2020'", "timestamp": "'yesterday'", "decimal": "'12,5x'"
 JUNK_EVERY = 23
 
 
-def _text(name: str) -> str:
-    key = SOURCES[name][0][0]
-    place = f"(cast(replace({key}, '-', '') as bigint) % {JUNK_EVERY})"
+def _text(name: str, wide: bool = False) -> str:
+    """``wide``: the digits of the key as a number of 38 digits, for line keys of large tables are longer than a bigint."""
+    digits, rows = f"replace({SOURCES[name][0][0]}, '-', '')", f"c_{name}"
+    place = f"(cast({digits} as bigint) % {JUNK_EVERY})"
+    if wide:
+        place, rows = "place", f"(select *, cast({digits} as decimal(38,0)) % {JUNK_EVERY} as place from c_{name})"
     typed = [c for c in columns_of(name) if SOURCES[name][1][c] != "string"]
     cells = []
     for c, kind in SOURCES[name][1].items():
         text = f"case when {c} is null then '' else cast({c} as string) end"
         junk = JUNK.get(kind.split("(")[0])
         cells.append(f"{f'case when {place} = {typed.index(c) % JUNK_EVERY} then {junk} else {text} end' if junk else text} as {c}")
-    return f"select {', '.join(cells)} from c_{name}"
+    return f"select {', '.join(cells)} from {rows}"
 
 
 TEXT: dict[str, str] = {name: _text(name) for name in BOUND}
+WIDE_TEXT: dict[str, str] = {name: _text(name, wide=True) for name in BOUND}
 
 
 def over(spark: SparkSession, bound: Layer, selects: dict[str, str]) -> Layer:

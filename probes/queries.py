@@ -359,7 +359,7 @@ def ingest_twice(c: Context) -> DataFrame:
 
 def _accepted(c: Context) -> Accepted:
     """The sources as text, some cells of which do not parse, typed with their rejects."""
-    return accept(c.spark, Context(c.spark, c.folder, dirty.TEXT).bronze, f"{shared_folder(c.spark)}/rejects-{uuid.uuid4()}")
+    return accept(c.spark, Context(c.spark, c.folder, dirty.WIDE_TEXT).bronze, f"{shared_folder(c.spark)}/rejects-{uuid.uuid4()}")
 
 
 @query("reject_cells")
@@ -395,7 +395,7 @@ def typed_columns(table: str) -> list[str]:
     return [k for k, kind in SOURCES[table][1].items() if kind != "string"]
 
 
-QUERIES["dirty_profile_parse_issues"] = lambda c: issues(Context(c.spark, c.folder, dirty.TEXT).bronze)
+QUERIES["dirty_profile_parse_issues"] = lambda c: issues(Context(c.spark, c.folder, dirty.WIDE_TEXT).bronze)
 
 # The checks over sources with faults: each of them counts something there.
 DIRTY_QUERIES = (

@@ -6,6 +6,7 @@ import datetime as dt
 
 import pytest
 
+from probes import dirty
 from strata.catalog import SOURCES
 from strata.operators.quality import GateError, gate
 from strata.plans.layer import Layer
@@ -52,3 +53,16 @@ def test_professors_without_a_date(spark, tmp_path):
     accepted = accept(spark, raw, str(tmp_path / "rejects"), ("university_professors",))
     got = {r.professor_id: (r.hired_at, r.email) for r in silver(accepted.rows)["university_professors"].collect()}
     assert got == {"p": (None, "a@b.c"), "q": (None, "")} and accepted.cells.count() == 1
+
+
+def test_text_sources_have_keys_longer_than_a_bigint(spark):
+    keys = [f"{order}-1-{part}-{part % 7 + 1}" for order in (12, 76482287, 9_000_000_000) for part in range(101765, 101765 + 46)]
+    rows = spark.createDataFrame([(k, 1.5, "cash") for k in keys], "payment_id string, amount double, method string").selectExpr(
+        "payment_id", "cast(amount as decimal(12,2)) as amount", "cast('2020-01-01' as date) as paid_at", "method", "'7' as invoice_id")
+    got = dirty.over(spark, Layer({"billing_payments": lambda: rows}), {"billing_payments": dirty.WIDE_TEXT["billing_payments"]})["billing_payments"]
+    places = {r.payment_id: (r.amount == "12,5x", r.paid_at == "31/02/2020") for r in got.collect()}
+    remainder = {k: int(k.replace("-", "")) % dirty.JUNK_EVERY for k in keys}
+    assert places == {k: (remainder[k] == 0, remainder[k] == 1) for k in keys} and {*remainder.values()} == {*range(dirty.JUNK_EVERY)}
+    short = Layer({"billing_payments": lambda: rows.where("payment_id like '12-%'")})
+    narrow, wide = (dirty.over(spark, short, {"billing_payments": s["billing_payments"]})["billing_payments"] for s in (dirty.TEXT, dirty.WIDE_TEXT))
+    assert sorted(narrow.collect()) == sorted(wide.collect())
