@@ -198,9 +198,10 @@ def _payments_with_invoice(t: Tables, *columns: str) -> DataFrame:
 
 
 def payments_by_currency(t: Tables, as_of: str) -> DataFrame:
-    rows = _payments_with_invoice(t, "currency")
-    base = rows.groupBy("currency").agg(_n().alias("payments"))
-    return base.join(exact_quantiles(rows, "amount", [0.5], ["median_amount"], ["currency"], digits=2), "currency")
+    """Payments join their invoices once; counts and medians both come from the rows folded per currency and amount."""
+    rows = stage(condense(_payments_with_invoice(t, "currency"), ["currency", "amount"]))
+    base = rows.groupBy("currency").agg(F.sum("n").alias("payments"))
+    return base.join(exact_quantiles(rows, "amount", [0.5], ["median_amount"], ["currency"], digits=2, weight="n"), "currency")
 
 
 def payment_delay(t: Tables, as_of: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 import random
+import statistics
 from decimal import Decimal
 from fractions import Fraction
 
@@ -15,8 +16,10 @@ from probes.bindings import TestTables, bronze
 from strata.catalog import SOURCES
 from strata.functions.money import ratio
 from strata.plans import kpi, silver as sv
+from strata.plans.audits import billing
 from strata.plans.gold import date_span, dim_account, fact_enrollment, gold
 from strata.plans.insights import INSIGHTS, Model
+from strata.plans.layer import Layer
 from strata.plans.silver import silver
 from strata.plans.typed import issues, typed
 
@@ -213,3 +216,14 @@ def test_all_lines_are_payments_and_contacts(spark):
         with_some = found[owners].join(links, key, "left_semi").count()
         assert 0 < with_some < found[owners].count()
         assert links.join(found[owners], key, "left_anti").isEmpty()
+
+
+def test_payments_by_currency_joins_payments_once(spark):
+    invoices = spark.createDataFrame([("a", "CLP"), ("b", "USD"), ("c", None)], "invoice_id string, currency string")
+    payments = spark.range(4321).selectExpr("id as payment_id", "case id % 4 when 0 then 'a' when 1 then 'b' when 2 then 'c' else 'none' end as invoice_id",
+                                            "cast(case when id < 400 then null else id % 10 end as decimal(12,2)) as amount")
+    got = billing.payments_by_currency(Layer({"billing_invoices": lambda: invoices, "billing_payments": lambda: payments}), "1999-01-01")
+    ids = range(4321)
+    assert {r.currency: (r.payments, r.median_amount) for r in got.collect()} == {
+        c: (len(ids[k::4]), statistics.median(i % 10 for i in ids[k::4] if i >= 400)) for k, c in ((0, "CLP"), (1, "USD"))}
+    assert "4321" not in got._jdf.queryExecution().optimizedPlan().toString()  # nothing is left that reads the payments again
