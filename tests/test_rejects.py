@@ -66,3 +66,15 @@ def test_text_sources_have_keys_longer_than_a_bigint(spark):
     short = Layer({"billing_payments": lambda: rows.where("payment_id like '12-%'")})
     narrow, wide = (dirty.over(spark, short, {"billing_payments": s["billing_payments"]})["billing_payments"] for s in (dirty.TEXT, dirty.WIDE_TEXT))
     assert sorted(narrow.collect()) == sorted(wide.collect())
+
+
+def test_text_sources_have_keys_longer_than_a_decimal(spark):
+    big = 10 ** 12
+    keys = [f"{59 * big + order}-{line}-{59 * big + part}-{59 * big + 7}" for order in (9, 149_999) for line in (1, 7) for part in range(101765, 101765 + 46)]
+    keys += [f"{2 ** 63 - 1}-{2 ** 31 - 1}-{2 ** 63 - 1}-{2 ** 63 - k}" for k in range(1, 24)]
+    rows = spark.createDataFrame([(k, 1.5, "cash") for k in keys], "payment_id string, amount double, method string").selectExpr(
+        "payment_id", "cast(amount as decimal(12,2)) as amount", "cast('2020-01-01' as date) as paid_at", "method", "'7' as invoice_id")
+    got = dirty.over(spark, Layer({"billing_payments": lambda: rows}), {"billing_payments": dirty.WIDE_TEXT["billing_payments"]})["billing_payments"]
+    remainder = {k: int(k.replace("-", "")) % dirty.JUNK_EVERY for k in keys}
+    assert {r.payment_id: (r.amount == "12,5x", r.paid_at == "31/02/2020") for r in got.collect()} == {k: (remainder[k] == 0, remainder[k] == 1) for k in keys}
+    assert {*remainder.values()} == {*range(dirty.JUNK_EVERY)}
