@@ -130,6 +130,27 @@ def test_jaccard_components(spark, monkeypatch, frequent, least):
     assert got == {i: (len(sets[i]), c) for i, c in zip(ids, plain_components(ids, sets), strict=True)}
 
 
+def test_jaccard_whole_sets_without_a_shuffle_of_all_texts(spark):
+    texts = [f"{BASE} {i}" for i in range(3000)]
+    docs = docs_of(spark, texts, [None if i % 1000 == 999 else 7 * i - 700 for i in range(3000)])
+    ids = [7 * i - 700 for i in range(0, 3000, 60)]
+    wanted = spark.createDataFrame([(i,) for i in ids], "doc_id bigint")
+    got = [r.doc_id for r in jaccard._near(docs.select("doc_id", "text"), wanted).collect()]
+    assert {*ids, None} <= {*got} and got.count(None) == 3 and len(got) < len(ids) + 3 + 300
+    sets = jaccard._live_sets(docs, wanted, 5)
+    assert sets.count() == len(ids) + 3
+    assert jaccard._live_sets(docs, wanted.where("doc_id is null"), 5).count() == 3
+
+
+def test_jaccard_sketches_join_once_per_node(spark, monkeypatch):
+    seen = []
+    compare = jaccard._compare
+    monkeypatch.setattr(jaccard, "_compare", lambda rows, *more: seen.append(rows.columns) or compare(rows, *more))
+    variants = [BASE] + [BASE + f" and {i} more words that differ" for i in range(40)]
+    jaccard.jaccard_components(docs_of(spark, variants)).collect()
+    assert seen and all("sketch" not in columns for columns in seen)
+
+
 def test_jaccard_odd_rows(spark):
     got = sorted(tuple(r) for r in jaccard.jaccard_components(docs_of(spark, [BASE, BASE, None, BASE], [7, 7, 7, 3])).collect())
     assert got == [(3, len(plain_sets([BASE])[0]), 3), (7, 0, 7), (7, len(plain_sets([BASE])[0]), 3), (7, len(plain_sets([BASE])[0]), 3)]
