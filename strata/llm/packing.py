@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from strata.llm.common import mapped, text_blocks
 from strata.llm.tokens import default_tokenizer, encode
 
+#: Bytes of text that a task tokenises at a time; its arrays take some 50 bytes for each.
+BLOCK_BYTES = 512 << 10
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 
@@ -60,7 +62,7 @@ def _tokenise(path: str, end_id: int, capacity: int):
     """Rows (doc_id, part, ids): full sequences carry their checksum only, the rest of a document its ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, offsets, _ in text_blocks(batches, "text"):
+        for rows, data, offsets, _ in text_blocks(batches, "text", BLOCK_BYTES):
             ids, bounds = encode(path, data, offsets)
             out = ([], [], [], [], [], [], [])
             names = rows.column("doc_id").to_pylist()

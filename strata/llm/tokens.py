@@ -9,6 +9,7 @@ or end a text in another way than such places do are encoded one by one, as they
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -17,6 +18,8 @@ from strata.llm.common import flat
 from strata.llm.words import mix, powers
 
 _BASE = np.uint64(0xA0761D6478BD642F)
+#: Bytes of pieces that are hashed or encoded at a time: both make some 50 bytes of arrays or tokens for each.
+CHUNK = 256 << 10
 
 
 def default_tokenizer() -> str:
@@ -60,23 +63,46 @@ def _splits(data: np.ndarray) -> np.ndarray:
     return at[left & right]
 
 
+def _chunks(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs [first, last) of pieces with about CHUNK bytes together."""
+    reach = np.cumsum(sizes) // CHUNK
+    edges = np.flatnonzero(np.concatenate(([True], reach[1:] != reach[:-1], [True]))).tolist() if len(sizes) else []
+    yield from zip(edges[:-1], edges[1:], strict=True)
+
+
+def _keys(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Hash of each piece; the pieces follow each other without a gap."""
+    out, table, power = np.empty(len(starts), np.uint64), mix(np.arange(1, 257, dtype=np.uint64)), powers(_BASE, int(lengths.max()))
+    for a, b in _chunks(lengths):
+        own, first = data[starts[a]:starts[b - 1] + lengths[b - 1]], starts[a:b] - starts[a]
+        place = np.arange(len(own)) - np.repeat(first, lengths[a:b])
+        out[a:b] = np.add.reduceat(table[own] * power[place], first)
+    return mix(out + lengths.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
 class Known:
-    """Pieces that this process has encoded: their keys (sorted), bytes and ids. Holds MOST pieces, then keeps those it has."""
+    """Pieces that this process has encoded: their keys (sorted, with their rows in ``at``), bytes and ids. Holds MOST pieces or BYTES bytes, then keeps those it has."""
 
     MOST = 600_000
+    BYTES = 16 << 20
 
     def __init__(self) -> None:
         self.keys = np.zeros(0, np.uint64)
-        self.at = np.zeros((0, 4), np.int64)  # first byte, bytes, first id, ids
+        self.row = np.zeros(0, np.int32)
+        self.at = np.zeros((0, 4), np.int32)  # first byte, bytes, first id, ids
         self.data = np.zeros(0, np.uint8)
         self.ids = np.zeros(0, np.uint32)
 
+    def full(self) -> bool:
+        return len(self.keys) > self.MOST or len(self.data) > self.BYTES
+
     def find(self, keys: np.ndarray, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Row of each piece in ``at``, -1 if it is not known. Bytes are compared, so equal keys of different pieces do no harm."""
         if not len(self.keys):
             return np.full(len(keys), -1)
-        row = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        hit = np.flatnonzero((self.keys[row] == keys) & (self.at[row, 1] == lengths))
+        place = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        row = self.row[place]
+        hit = np.flatnonzero((self.keys[place] == keys) & (self.at[row, 1] == lengths))
         sizes = lengths[hit]
         equal = self.data[flat(self.at[row[hit], 0], sizes)] == data[flat(starts[hit], sizes)]
         same = np.logical_and.reduceat(equal, np.cumsum(sizes) - sizes) if len(hit) else np.zeros(0, bool)
@@ -85,10 +111,16 @@ class Known:
         return out
 
     def add(self, keys: np.ndarray, joined: np.ndarray, sizes: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
-        fresh = np.column_stack([np.cumsum(sizes) - sizes + len(self.data), sizes, np.cumsum(counts) - counts + len(self.ids), counts])
+        fresh = np.column_stack([np.cumsum(sizes) - sizes + len(self.data), sizes, np.cumsum(counts) - counts + len(self.ids), counts]).astype(np.int32)
         self.data, self.ids = np.concatenate([self.data, joined]), np.concatenate([self.ids, ids])
-        place = np.searchsorted(self.keys, keys)
-        self.keys, self.at = np.insert(self.keys, place, keys), np.insert(self.at, place, fresh, axis=0)
+        place = np.searchsorted(self.keys, keys) + np.arange(len(keys))
+        old = np.ones(len(self.keys) + len(keys), bool)
+        old[place] = False
+        for name, values in (("keys", keys), ("row", np.arange(len(self.at), len(old), dtype=np.int32))):
+            both = np.empty(len(old), values.dtype)
+            both[place], both[old] = values, getattr(self, name)
+            setattr(self, name, both)
+        self.at = np.concatenate([self.at, fresh])
 
 
 _KNOWN: dict[str, Known] = {}
@@ -109,10 +141,7 @@ def encode(path: str, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray
     ends = np.append(starts[1:], len(data))
     plain = ~edge[starts] & ~edge[ends]  # begins with " x" and is followed by " x"
     lengths = ends - starts
-    place = np.arange(len(data)) - np.repeat(starts, lengths)
-    terms = mix(np.arange(1, 257, dtype=np.uint64))[data] * powers(_BASE, int(lengths.max()))[place]
-    key = mix(np.add.reduceat(terms, starts) + lengths.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    del place, terms
+    key = _keys(data, starts, lengths)
     which = np.flatnonzero(plain)
     keys, chosen, same = np.unique(key[which], return_index=True, return_inverse=True)
     chosen = which[chosen]
@@ -127,7 +156,8 @@ def encode(path: str, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray
     if len(new):
         sizes = lengths[chosen[new]]
         joined = data[flat(starts[chosen[new]], sizes)]
-        ids = _encode(path, [joined.tobytes()])[0]
+        reach = np.concatenate(([0], np.cumsum(sizes)))
+        ids = np.concatenate([_encode(path, [joined[reach[a]:reach[b]].tobytes()])[0] for a, b in _chunks(sizes)])
         reach = np.concatenate(([0], np.cumsum(byte_lengths(path)[ids])))
         if reach[-1] != len(joined):
             raise ValueError("the tokenizer changes its texts; byte-level files are needed")
@@ -135,9 +165,9 @@ def encode(path: str, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray
         own_counts[new], own_begin[new] = np.diff(cut), cut[:-1] + filled_to
         pool.append(ids)
         filled_to += len(ids)
-        if len(known.keys) > Known.MOST and 2 * len(new) > len(row):  # the texts have changed: start anew
+        if known.full() and 2 * len(new) > len(row):  # the texts have changed: start anew
             known = _KNOWN[path] = Known()
-        if len(known.keys) <= Known.MOST:
+        if not known.full() and len(joined) <= Known.BYTES:
             known.add(keys[new], joined, sizes, ids, np.diff(cut))
     counts[which], begin[which] = own_counts[same], own_begin[same]
     rest = np.flatnonzero(~plain)

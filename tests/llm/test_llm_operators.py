@@ -6,9 +6,11 @@ import hashlib
 import itertools
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -475,6 +477,33 @@ def test_first_fit_decreasing():
             assert got[i] == k
 
 
+def test_tokenising_holds_little(monkeypatch):
+    """A long batch of texts is tokenised in small steps: its arrays stay far below what whole blocks of it would take."""
+    monkeypatch.setattr(tokens, "_KNOWN", {})
+    path, texts = tokens.default_tokenizer(), [prose(k, 2000) for k in range(400)]
+    tokens.byte_lengths(path)
+    batch = pa.RecordBatch.from_pydict({"doc_id": range(400), "text": texts, "group": [0] * 400})
+    tracemalloc.start()
+    ids = b"".join(b for out in packing._tokenise(path, 0, 1 << 20)(iter([batch])) for b in out.column("ids").to_pylist())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    wanted = [i for t in texts for i in [*tokens.load(path).encode(t, add_special_tokens=False).ids, 0]]
+    assert np.frombuffer(ids, "<u4").tolist() == wanted
+    assert peak < 64 << 20
+
+
+def test_known_pieces_are_bounded_by_bytes(monkeypatch):
+    """Long pieces fill the memory of known pieces sooner than their number does; what is found stays right."""
+    monkeypatch.setattr(tokens, "_KNOWN", {})
+    monkeypatch.setattr(tokens.Known, "BYTES", 5000)
+    path = tokens.default_tokenizer()
+    for k in range(6):
+        data = (" ".join(w * 40 for w in prose(k, 60).split())).encode()
+        ids, _ = tokens.encode(path, np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+        assert ids.tolist() == tokens.load(path).encode(data.decode(), add_special_tokens=False).ids
+        assert len(tokens._KNOWN[path].data) <= 10_000
+
+
 def test_packing(spark):
     texts = ODD + [prose(k, k % 90) for k in range(120)]
     ids = [None, *range(1, len(texts))]
