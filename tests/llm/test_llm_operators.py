@@ -153,6 +153,22 @@ def test_jaccard_sketches_join_once_per_node(spark, monkeypatch):
     assert seen and all("sketch" not in columns for columns in seen)
 
 
+def test_jaccard_index_rows_are_small(spark):
+    """A row of the largest shuffle has some 20 bytes that are not zero, and what is read from it is the set's name and size."""
+    docs = docs_of(spark, [prose(k, 300) for k in range(10, 30)] + [BASE, " ".join(NEAR)])
+    index = jaccard._index(docs, np.zeros(0, np.uint64), 5)
+    rows = index.collect()
+    assert sum(8 - np.array(r, np.int64).tobytes().count(0) for r in rows for r in r) <= 21 * len(rows)
+    assert all(np.array(r, np.int64).tobytes()[:2] == b"\0\0" for r in {r.signature for r in rows})
+    wanted = {}
+    for text in (BASE, " ".join(NEAR)):
+        own = next(jaccard.sets_of(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]), 5))
+        hi, lo = jaccard.named([jaccard.node_of(own)])
+        wanted[int(hi[0]), int(lo[0])] = len(own)
+    shared = jaccard._shared_signatures(index).collect()
+    assert {(r.hi, r.lo): r.n for r in shared} == wanted and {(r.first_hi, r.first_lo): r.first_n for r in shared}.items() <= wanted.items()
+
+
 def test_jaccard_odd_rows(spark):
     got = sorted(tuple(r) for r in jaccard.jaccard_components(docs_of(spark, [BASE, BASE, None, BASE], [7, 7, 7, 3])).collect())
     assert got == [(3, len(plain_sets([BASE])[0]), 3), (7, 0, 7), (7, len(plain_sets([BASE])[0]), 3), (7, len(plain_sets([BASE])[0]), 3)]
