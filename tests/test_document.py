@@ -4,7 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
+from strata.catalog import FOREIGN_KEYS, SOURCES
+from strata.operators import profile
+from strata.plans import document
+from strata.plans.audits import crossdomain
 from strata.plans.document import metric_rows, read_document
+from strata.plans.layer import Layer
 from strata.plans.versions import Draft, read_layer
 
 
@@ -25,3 +30,29 @@ def test_document_is_json_and_published_whole(spark, tmp_path):
     text = "".join(p.read_text() for p in (tmp_path / "audit" / "versions" / draft.version / "structure").glob("*.json"))
     assert text == '{"section":"structure","name":"x","dims":{"k":"é"},"metric":"n","number":1.0,"text":null}\n'
     assert draft.tables["structure"].digest.rows == 1 and read_layer
+
+
+def test_references_are_audited_once(spark, tmp_path, monkeypatch):
+    """The relations and the evidence of a document show the same reference audit, which is made once; its rows are those of an audit of fewer relations."""
+    bronze = Layer({t: (lambda c=columns: spark.createDataFrame([("1",) * len(c), ("2",) * len(c)], ", ".join(f"{x} string" for x in c)))
+                    for t, (_, columns) in SOURCES.items()})
+    made, audit = [], document.fk_audit
+    for module in (document, crossdomain):
+        monkeypatch.setattr(module, "fk_audit", lambda t, relations: made.append(len(relations)) or audit(t, relations))
+    draft = document.write_document(spark, bronze, "2024-01-01", str(tmp_path / "audit"), ["relations", "evidence"])
+    assert made == [len(FOREIGN_KEYS)]
+    got = {(r.dims["relation"], r.metric): r.number for r in read_document(draft).where("name = 'evi_occupancy'").collect()}
+    own = metric_rows(crossdomain.occupancy(document.typed(bronze), "2024-01-01"), "evidence", "evi_occupancy").collect()
+    assert got and got == {(r.dims["relation"], r.metric): r.number for r in own}
+
+
+def test_table_shape_reads_the_table_once(spark, tmp_path):
+    rows = [("a", "x", 1), ("a", "x", 1), ("a", "y", 1), ("b", None, 2), (None, "x", 3), (None, "x", 3), ("", "x", 3), ("c", "", None)]
+    spark.createDataFrame(rows, "k string, l string, n int").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    shape = profile.table_shape(df, "t", ["k"])
+    assert [tuple(r) for r in shape.collect()] == [("t", 8, 3, 4, 2, 5)]
+    assert shape.columns == ["table_name", "row_count", "column_count", "missing_cells", "exact_duplicate_rows", "rows_in_duplicated_keys"]
+    assert profile.table_shape(df, "t", ["k", "l"]).first().rows_in_duplicated_keys == 4
+    assert tuple(profile.table_shape(df.limit(0), "t", ["k"]).first()) == ("t", 0, 3, 0, 0, 0)
+    assert shape._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
