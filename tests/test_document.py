@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 from strata.catalog import FOREIGN_KEYS, SOURCES
 from strata.operators import profile
@@ -11,6 +12,7 @@ from strata.plans.audits import crossdomain
 from strata.plans.document import metric_rows, read_document
 from strata.plans.layer import Layer
 from strata.plans.versions import Draft, read_layer
+from strata.session import CLEANUP, short_lived_shuffles
 
 
 def test_metric_rows(spark):
@@ -56,3 +58,57 @@ def test_table_shape_reads_the_table_once(spark, tmp_path):
     assert profile.table_shape(df, "t", ["k", "l"]).first().rows_in_duplicated_keys == 4
     assert tuple(profile.table_shape(df.limit(0), "t", ["k"]).first()) == ("t", 0, 3, 0, 0, 0)
     assert shape._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+
+
+def shuffles_on_disk(spark, but: frozenset[str] = frozenset()) -> frozenset[str]:
+    """Shuffles with files in the local folder, ``but`` those. Files of ended queries are deleted in the background, hence the wait."""
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    for _ in range(20):
+        names = blocks.getAllBlocks().mkString(" ").split()
+        found = frozenset(n.split("_")[1] for n in names if n.startswith("shuffle_")) - but
+        if not found:
+            break
+        time.sleep(0.1)
+    return found
+
+
+def two_rows_each(spark) -> Layer:
+    return Layer({t: (lambda c=columns: spark.createDataFrame([("1",) * len(c), ("2",) * len(c)], ", ".join(f"{x} string" for x in c)))
+                  for t, (_, columns) in SOURCES.items()})
+
+
+def test_tables_are_counted_one_after_the_other(spark, tmp_path, monkeypatch):
+    """The shape of each table is one query, whose shuffle files are gone before the next: the disk holds the prints of one table, not of all."""
+    before, left, made, shape, stage = shuffles_on_disk(spark), [], [], profile.table_shape, document.stage
+    monkeypatch.setattr(profile, "table_shape", lambda df, table, keys: made.append(table) or shape(df, table, keys))
+
+    def staged(df):
+        found = stage(df)
+        left.append(shuffles_on_disk(spark, before))
+        return found
+
+    monkeypatch.setattr(document, "stage", staged)
+    draft = document.write_document(spark, two_rows_each(spark), "2024-01-01", str(tmp_path / "audit"), ["structure"])
+    assert sorted(made) == sorted(SOURCES)
+    assert len(left) >= len(SOURCES) and not any(left)
+    whole = {r.metric: r.number for r in read_document(draft).where("name = 'all'").collect()}
+    assert whole["tables"] == len(SOURCES) and whole["row_count"] == 2 * len(SOURCES) and whole["exact_duplicate_rows"] == 0
+
+
+def test_short_lived_shuffles_put_the_setting_back(spark):
+    for value in (None, "false", "true"):
+        spark.conf.unset(CLEANUP) if value is None else spark.conf.set(CLEANUP, value)
+        inherited = spark.conf.get(CLEANUP, None)
+        with short_lived_shuffles(spark):
+            assert spark.conf.get(CLEANUP) == "true"
+        assert spark.conf.get(CLEANUP, None) == inherited
+    spark.conf.unset(CLEANUP)
+
+
+def test_a_row_of_the_shape_shuffle_is_short(spark):
+    """A print is two numbers, and nothing but its count goes with it."""
+    df = spark.createDataFrame([(i % 7, None if i % 3 else "x", None) for i in range(60)], "k int, l string, m string")
+    shape = profile.table_shape(df, "t", ["k"])
+    assert tuple(shape.first()) == ("t", 60, 3, 100, 46, 60)
+    row = next(line for line in shape._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate [p" in line)
+    assert row.split("Aggregate [")[1].split("]")[0].count("#") == 2
