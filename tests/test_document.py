@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+from collections import Counter
 
 from strata.catalog import FOREIGN_KEYS, SOURCES
 from strata.operators import profile
 from strata.plans import document
-from strata.plans.audits import crossdomain
+from strata.plans.audits import crm, crossdomain
 from strata.plans.document import metric_rows, read_document
 from strata.plans.layer import Layer
 from strata.plans.versions import Draft, read_layer
@@ -78,23 +79,39 @@ def two_rows_each(spark) -> Layer:
 
 
 def test_tables_are_counted_one_after_the_other(spark, tmp_path, monkeypatch):
-    """The shape of each table is one query, whose shuffle files are gone before the next: the disk holds the prints of one table, not of all."""
-    before, left, made, shape, stage = shuffles_on_disk(spark), [], [], profile.table_shape, document.stage
+    """A table is counted share by share, each a query whose shuffle files are gone before the next: the disk never holds the prints of all tables."""
+    before, left, made, shape = shuffles_on_disk(spark), [], [], profile.table_shape
     monkeypatch.setattr(profile, "table_shape", lambda df, table, keys: made.append(table) or shape(df, table, keys))
-
-    def staged(df):
-        found = stage(df)
-        left.append(shuffles_on_disk(spark, before))
-        return found
-
-    monkeypatch.setattr(document, "stage", staged)
-    draft = document.write_document(spark, two_rows_each(spark), "2024-01-01", str(tmp_path / "audit"), ["structure"])
-    assert sorted(made) == sorted(SOURCES)
-    assert len(left) >= len(SOURCES) and not any(left)
+    for module in (document, crm):
+        def staged(df, stage=module.stage):
+            found = stage(df)
+            left.append(shuffles_on_disk(spark, before))
+            return found
+
+        monkeypatch.setattr(module, "stage", staged)
+    draft = document.write_document(spark, two_rows_each(spark), "2024-01-01", str(tmp_path / "audit"), ["structure", "evidence"])
+    assert made == [t for t in SOURCES for _ in range(document.SHARES)]
+    assert len(left) > len(made) and not any(left)
     whole = {r.metric: r.number for r in read_document(draft).where("name = 'all'").collect()}
     assert whole["tables"] == len(SOURCES) and whole["row_count"] == 2 * len(SOURCES) and whole["exact_duplicate_rows"] == 0
 
 
+def test_shapes_of_shares_add_up(spark):
+    """Keys of one part or two, NULL in either, rows that repeat: the shares of a table give the shape of the whole, whatever their number."""
+    rows = [(None if i % 11 == 0 else f"k{i % 50}", None if i % 7 == 0 else i % 3, "x" if i % 5 else None) for i in range(600)]
+    df = spark.createDataFrame(rows, "k string, l int, m string")
+    for keys in (["k"], ["k", "l"]):
+        whole = profile.table_shape(df, "t", keys)
+        for shares in (1, 2, 5):
+            parts = [profile.share_of_keys(df, keys, i, shares) for i in range(shares)]
+            added = profile.added_shapes([profile.table_shape(p, "t", keys) for p in parts])
+            assert added.columns == whole.columns and added.dtypes == whole.dtypes
+            assert added.collect() == whole.collect()
+            assert shares == 1 or all(0 < p.count() < len(rows) for p in parts)
+        again = sum(n for n in Counter(r[:len(keys)] for r in rows).values() if n > 1)
+        assert tuple(whole.first()) == ("t", 600, 3, sum(r.count(None) for r in rows), 600 - len(set(rows)), again)
+
+
 def test_short_lived_shuffles_put_the_setting_back(spark):
     for value in (None, "false", "true"):
         spark.conf.unset(CLEANUP) if value is None else spark.conf.set(CLEANUP, value)
