@@ -135,3 +135,16 @@ def test_a_row_of_the_shape_shuffle_is_short(spark):
     assert tuple(shape.first()) == ("t", 60, 3, 100, 46, 60)
     row = next(line for line in shape._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate [p" in line)
     assert row.split("Aggregate [")[1].split("]")[0].count("#") == 2
+
+
+def test_bridge_counts_pairs_without_a_deal_or_a_person(spark, table):
+    """Pairs that repeat, without a key, or of unknown deals and persons are counted, and agree with nobody; a deal known twice counts for each."""
+    tables = {
+        "crm_opportunity_contacts": table("opportunity_id string, contact_id string", ("1", "a"), ("1", "a"), ("1", "b"), ("2", "b"), ("9", "a"), ("1", "z"), (None, "a"), ("2", None)),
+        "crm_opportunities": table("opportunity_id string, account_id string", ("1", "x"), ("2", "y"), ("2", "y"), ("3", None)),
+        "crm_contacts": table("contact_id string, account_id string", ("a", "x"), ("b", "y"), ("c", None)),
+    }
+    got = crm.bridge(tables, "2024-01-01").first().asDict()
+    assert got == {"total_pairs": 8, "duplicate_pairs": 1, "same_account": 4, "expected_same_account": 4.0}
+    none = crm.bridge({name: df.limit(0) for name, df in tables.items()}, "2024-01-01").first().asDict()
+    assert (none["total_pairs"], none["duplicate_pairs"], none["same_account"]) == (0, 0, 0)
